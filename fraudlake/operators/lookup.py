@@ -31,13 +31,16 @@ def attach_by_key(
     hot = (
         stats.orderBy(F.desc(weight), *keys).limit(HOT_KEYS).select(*keys, packed.alias("_hot"))
     )
-    cold = stats.select(*keys, F.lit(0).alias("_lane"), packed.alias("_cold"))
+    # Always 0, but from a column: a literal would be folded out of the join keys, and the
+    # rows would then be shuffled by the key alone.
+    lane_zero = F.least(F.col(weight), F.lit(0).cast("long"))
+    cold = stats.select(*keys, lane_zero.alias("_lane"), packed.alias("_cold"))
 
     complete = F.lit(True)
     for key in keys:
         complete = complete & F.col(key).isNotNull()
-    lane = F.when(complete & F.col("_hot").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(F.col(row_id)), F.lit(SPREAD)).cast("int") + 1
+    lane = F.when(complete & F.col("_hot").isNull(), F.lit(0).cast("long")).otherwise(
+        F.pmod(F.xxhash64(F.col(row_id)), F.lit(SPREAD)) + 1
     )
     placed = rows.join(F.broadcast(hot), keys, "left").withColumn("_lane", lane)
     joined = placed.join(cold, [*keys, "_lane"], "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expressions import DAY, HOUR
@@ -40,32 +40,41 @@ def trailing_counts(
     rows = (
         df.select(row_id, key, time)
         .where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        .withColumn("_chunk", F.floor(F.col(row_id) / TIE_CHUNK))
+        .withColumn("_chunk", F.coalesce(F.floor(F.col(row_id) / TIE_CHUNK), F.lit(0).cast("long")))
         .repartition(*cell)
     )
-    cells = rows.groupBy(*cell).agg(F.count("*").alias("_n"))
+    # Counting the ids keeps the columns of both uses of ``rows`` equal, so they share one
+    # exchange.
+    cells = rows.groupBy(*cell).agg(F.count(row_id).alias("_n"))
 
     own = F.floor(F.col(time) / block_size)
     late = F.col(time) - own * block_size >= block_size - longest
     placed = cells.withColumn("_own", own).withColumn(
         "_block", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own)))
     )
-    by_time = Window.partitionBy(key, "_block").orderBy(time)
-    same_time = (
-        Window.partitionBy(key, "_block", time)
-        .orderBy("_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    block = Window.partitionBy(key, "_block")
+    by_time = block.orderBy(time)
+    by_cell = block.orderBy(time, "_chunk")
+
+    def total(window: Window) -> Column:
+        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+    # The finer order first: its sort also serves the windows ordered by time alone.
+    running = placed.withColumn(
+        "_earlier_cells", total(by_cell.rowsBetween(Window.unboundedPreceding, -1))
+    )
+    earlier_seconds = total(by_time.rangeBetween(Window.unboundedPreceding, -1))
+    sums = (
+        running.select(
+            *cell,
+            "_own",
+            "_block",
+            (F.col("_earlier_cells") - earlier_seconds).alias("_ties"),
+            *[total(by_time.rangeBetween(-w, -1)).alias(name) for name, w in windows.items()],
+        )
+        .where(F.col("_block") == F.col("_own"))
+        .drop("_own", "_block")
     )
-    sums = placed.select(
-        *cell,
-        "_own",
-        "_block",
-        F.coalesce(F.sum("_n").over(same_time), F.lit(0)).alias("_ties"),
-        *[
-            F.coalesce(F.sum("_n").over(by_time.rangeBetween(-width, -1)), F.lit(0)).alias(name)
-            for name, width in windows.items()
-        ],
-    ).where(F.col("_block") == F.col("_own"))
 
     rank = F.row_number().over(Window.partitionBy(*cell).orderBy(row_id)) - 1
     return (
