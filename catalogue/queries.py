@@ -14,7 +14,7 @@ from fraudlake.operators import attribution, audit, boosting, encoding, entity,
 from fraudlake.operators import impute as imputing
 from fraudlake.operators import oversample, segment, split, velocity
 from fraudlake.plans import checks, eda, engineer, reports
-from fraudlake.session import ensure_checkpoint_dir
+from fraudlake.session import ensure_checkpoint_dir, materialize
 from fraudlake.sources import readers
 
 DIGITS = 6
@@ -214,7 +214,7 @@ def fe_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merged(spark, sf_dir).select(
         "TransactionID", "C1", "D1", "V1", "V2", "V3", "id_01", "card2", "addr1", "dist1"
     )
-    return comparable(imputing.impute(rows))
+    return comparable(imputing.impute(materialize(rows)))
 
 
 def column_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +226,7 @@ def column_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fe_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    featured = engineer.engineer_features(merged(spark, sf_dir))
+    featured = engineer.engineer_features(materialize(merged(spark, sf_dir)))
     return comparable(featured, *FLOAT_SUMS, *MEDIAN_FILLED, "log_transaction_amt")
 
 
@@ -254,7 +254,7 @@ def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    featured = engineer.engineer_features(merged(spark, sf_dir))
+    featured = engineer.engineer_features(materialize(merged(spark, sf_dir)))
     return boosting.feature_matrix(
         featured.select("TransactionID", "isFraud", *FIXTURE_FEATURES)
     )
@@ -272,8 +272,14 @@ def smote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oversample.synthetic_minority(rows, ["TransactionAmt", "D1", "C1"])
 
 
-def _fitted(spark: SparkSession, sf_dir: str):
+def _written_model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """As in the batch job, where the features are a table before anything is fitted."""
     rows, features = _model_rows(spark, sf_dir)
+    return materialize(rows), features
+
+
+def _fitted(spark: SparkSession, sf_dir: str):
+    rows, features = _written_model_rows(spark, sf_dir)
     train, test = split.stratified_split(rows)
     return boosting.fit_boosted_trees(train, features, SMALL_MODEL), test, features
 
@@ -284,7 +290,7 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, features = _model_rows(spark, sf_dir)
+    rows, features = _written_model_rows(spark, sf_dir)
     train, _ = split.stratified_split(rows)
     return boosting.trials_table(spark, boosting.search(train, features, SEARCH_MODELS))
 

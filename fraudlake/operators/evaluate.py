@@ -1,7 +1,7 @@
 """Exact evaluation of scores (ML-10..13, 15, 16, SEG-01..04).
 
 Everything starts from one aggregation of the rows to (score, positives, negatives), combined
-before the shuffle; the ordered sums then run over the distinct scores in ranges.
+before the shuffle and written once; the ordered sums then run over the distinct scores.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from fraudlake.functions.expressions import (
     share,
 )
 from fraudlake.operators.running import running_totals
+from fraudlake.session import materialize
 
 AUC_ADVICE = [
     (0.80, "WARNING: AUC below 0.80, check the sparse-column threshold and the encoding"),
@@ -37,12 +38,15 @@ def score_counts(df: DataFrame, label: str = "isFraud", score: str = "fraud_prob
 
 
 def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    counts = score_counts(df, label, score)
+    """(threshold, positives, negatives, tp, fp, all_positives, all_negatives)."""
+    counts = materialize(score_counts(df, label, score))
     sums = {"tp": F.col("positives"), "fp": F.col("negatives")}
-    all_positives = counts.agg(F.sum("positives").alias("n")).scalar()
-    all_negatives = counts.agg(F.sum("negatives").alias("n")).scalar()
+    totals = counts.agg(F.sum("positives"), F.sum("negatives")).first()
     return running_totals(counts, "threshold", sums, descending=True).withColumns(
-        {"all_positives": all_positives, "all_negatives": all_negatives}
+        {
+            name: F.lit(total or 0).cast("long")
+            for name, total in zip(("all_positives", "all_negatives"), totals)
+        }
     )
 
 

@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudlake.functions.expressions import hash_order
 from fraudlake.operators.running import running_totals
 from fraudlake.operators.split import rank_cutoffs
-from fraudlake.functions.expressions import hash_order
+from fraudlake.session import materialize
 
 BLOCK_ROWS = 2048
 DIRECTIONS = 3
@@ -51,11 +52,11 @@ def nearest_neighbors(
                 F.lit(0.0),
                 lambda total, x: total + x,
             )
-            projected = points.withColumn("_along", along)
+            # Ranked without the vectors, which join their block at the end.
+            projected = materialize(points.select(row_id, along.alias("_along")))
             ranked = running_totals(projected, "_along", {"_position": F.lit(1)}, ties=row_id)
-            blocked = ranked.withColumn(
-                "_block", F.floor((F.col("_position") - 1) / BLOCK_ROWS)
-            )
+            block = F.floor((F.col("_position") - 1) / BLOCK_ROWS).alias("_block")
+            blocked = points.join(ranked.select(row_id, block), row_id)
         part = blocked.groupBy("_block").applyInPandas(
             _block_search(row_id, vector, k), f"{row_id} long, neighbor long, distance double"
         )
@@ -118,8 +119,11 @@ def synthetic_minority(
         return None
     each, extra = divmod(missing, minority)
 
-    points = df.where(F.col(label) == 1).select(
-        row_id, F.array(*[F.col(c).cast("double") for c in features]).alias("features")
+    # The minority is read again for every direction and for both ends of a segment.
+    points = materialize(
+        df.where(F.col(label) == 1).select(
+            row_id, F.array(*[F.col(c).cast("double") for c in features]).alias("features")
+        )
     )
     neighbors = nearest_neighbors(
         points, minority, row_id, "features", len(features), min(k, minority - 1), seed

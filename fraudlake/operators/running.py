@@ -26,6 +26,8 @@ def running_totals(
     that of the cells before its cell, of the smaller cells before its smaller cell, and of the
     rows before it there. The windows over cells see at most 1025 rows each, the broadcast
     table of cells has at most 1025 rows, and the rows meet only inside their smaller cell.
+
+    ``df`` is read four times, so pass a written table rather than a long plan.
     """
     order = F.desc if descending else F.asc
     earlier = (Window.unboundedPreceding, -1)
@@ -35,9 +37,9 @@ def running_totals(
 
     summed = df.withColumns({f"_{n}": c for n, c in sums.items()})
     value = F.col(by).cast("double")
-    low = df.agg(F.min(value)).scalar()
-    high = df.agg(F.max(value)).scalar()
-    placed = summed.withColumn("_outer", _cell(value, low, high))
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    outer_cell = _cell(value, F.lit(low).cast("double"), F.lit(high).cast("double"))
+    placed = summed.withColumn("_outer", outer_cell)
 
     over_cells = Window.orderBy(order("_outer")).rowsBetween(*earlier)
     outer = (

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "fraudlake", **conf: str) -> SparkSession:
@@ -40,3 +41,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="fraudlake-checkpoint-")
     context.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` written once as parquet to the shared checkpoint folder and read back.
+
+    For a frame that a plan reads several times. The copy survives the loss of executors, cuts
+    the lineage and can still be pruned by column.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
