@@ -14,7 +14,7 @@ from fraudlake.operators import attribution, audit, boosting, encoding, entity,
 from fraudlake.operators import impute as imputing
 from fraudlake.operators import oversample, segment, split, velocity
 from fraudlake.plans import checks, eda, engineer, reports
-from fraudlake.session import ensure_checkpoint_dir, materialize
+from fraudlake.session import ensure_checkpoint_dir, materialize, small_table
 from fraudlake.sources import readers
 
 DIGITS = 6
@@ -220,9 +220,7 @@ def fe_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
 def column_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     medians = imputing.exact_medians(V.lineitem(spark, sf_dir), columns)
-    return comparable(
-        spark.createDataFrame(list(medians.items()), "col string, median double")
-    )
+    return comparable(small_table(spark, list(medians.items()), "col string, median double"))
 
 
 def fe_all(spark: SparkSession, sf_dir: str) -> DataFrame:

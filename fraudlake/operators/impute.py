@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudlake.session import small_table
+
 ZERO_COLUMNS = [f"C{i}" for i in range(1, 15)]
 MEDIAN_IDENTITY = [f"id_{i:02d}" for i in (*range(1, 12), 13, 14, 17, 18, 19, 20, 32)]
 MEDIAN_BASE = ["card2", "card3", "card5", "addr1", "addr2", "dist1", "dist2"]
@@ -92,8 +94,8 @@ def _narrow(df: DataFrame, searches: dict) -> dict:
             for target, (low, high, rank) in searches.items()
             if (target[0], low, high) in number
         }
-        wanted = df.sparkSession.createDataFrame(
-            sorted({(i, rank) for i, _, rank in ranks}), "i int, rank long"
+        wanted = small_table(
+            df.sparkSession, sorted({(i, rank) for i, _, rank in ranks}), "i int, rank long"
         )
         upto = F.sum("n").over(Window.partitionBy("i").orderBy("cell"))
         located = (

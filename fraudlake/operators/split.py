@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expressions import hash_order
+from fraudlake.session import small_table
 
 PREFIX_DIGITS = 3
 MAX_CLASSES = 1000
@@ -52,8 +53,8 @@ def rank_cutoffs(
     pairs = sorted({(c, r) for c, rs in ranks.items() for r in rs if r > 0 and c is not None})
     if not pairs:
         return {c: [None] * len(rs) for c, rs in ranks.items()}
-    class_type = keyed.schema["class"].dataType.simpleString()
-    wanted = F.broadcast(df.sparkSession.createDataFrame(pairs, f"class {class_type}, rank long"))
+    kind = "string" if isinstance(pairs[0][0], str) else "long"
+    wanted = F.broadcast(small_table(df.sparkSession, pairs, f"class {kind}, rank long"))
 
     upto = F.sum("n").over(Window.partitionBy("class").orderBy("prefix"))
     groups = (

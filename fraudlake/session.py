@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -53,3 +55,24 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_ARROW_TYPES = {
+    "long": pa.int64(),
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "string": pa.string(),
+}
+
+
+def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A few driver-side rows (fitted values, listings) as a DataFrame, without Python tasks.
+
+    ``schema`` is a list such as ``"name string, rank long"``.
+    """
+    fields = [field.split() for field in schema.split(",")]
+    columns = [
+        pa.array([row[i] for row in rows], _ARROW_TYPES[kind])
+        for i, (_, kind) in enumerate(fields)
+    ]
+    return spark.createDataFrame(pa.table(columns, names=[name for name, _ in fields]))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlake.operators.audit import nan_to_null
+from fraudlake.session import small_table
 
 TRANSACTIONS_FILE = "train_transaction.csv"
 IDENTITY_FILE = "train_identity.csv"
@@ -92,8 +93,8 @@ def read_limited(df: DataFrame, rows: int = 200_000) -> DataFrame:
 def list_columns(df: DataFrame) -> DataFrame:
     """(position, column_name, data_type) of a table."""
     listing = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        listing, "position long, column_name string, data_type string"
+    return small_table(
+        df.sparkSession, listing, "position long, column_name string, data_type string"
     )
 
 
