@@ -124,6 +124,9 @@ def test_table_joins_need_no_shuffle(spark, finished):
         joined = readers.with_identity(store.read("raw_transactions"), store.read("raw_identity"))
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
+        # Writing the result in the same buckets needs no shuffle either.
+        placed = joined.repartition(store.buckets, store.key)
+        assert "Exchange" not in placed._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
