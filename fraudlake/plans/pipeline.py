@@ -47,6 +47,7 @@ class Pipeline:
         use_smote: bool = False,
         parallelism: int = 4,
         candidates: Sequence[dict] | None = None,
+        snapshots: bool = True,
     ):
         self.spark = spark
         self.store = TableStore(spark, f"{work_dir.rstrip('/')}/tables", buckets)
@@ -58,6 +59,8 @@ class Pipeline:
         self.use_smote = use_smote
         self.parallelism = parallelism
         self.candidates = candidates
+        # The tables are parquet already; at scale a second copy of the wide ones can be left out.
+        self.snapshots = snapshots
         self.metrics: dict[str, float] = {}
 
     def run(self, only: Sequence[str] = (), skip: Sequence[str] = ()) -> int:
@@ -87,14 +90,16 @@ class Pipeline:
         log.info("merged_data %d rows", rows)
         merged = self.store.read("merged_data")
         write_report(audit_ops.null_rate_audit(merged), f"{self.processed}/v_null_rates.csv")
-        tables.snapshot_once(merged, f"{self.processed}/merged_data.parquet")
+        if self.snapshots:
+            tables.snapshot_once(merged, f"{self.processed}/merged_data.parquet")
 
     def features(self) -> None:
         audit = readers.read_audit_csv(self.spark, f"{self.processed}/v_null_rates.csv")
         merged = self.store.read("merged_data")
         rows = self.store.replace("engineered_features", stored(engineer_features(merged, audit)))
         features = self.store.read("engineered_features")
-        tables.snapshot(features, f"{self.processed}/engineered_features.parquet")
+        if self.snapshots:
+            tables.snapshot(features, f"{self.processed}/engineered_features.parquet")
         log.info("engineered_features %d rows, %d columns", rows, len(features.columns))
 
     def train(self) -> None:
@@ -202,6 +207,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--trials", type=int, default=50)
     parser.add_argument("--use-smote", action="store_true")
     parser.add_argument("--buckets", type=int)
+    parser.add_argument("--no-snapshots", action="store_true")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
     return run_pipeline(
@@ -213,6 +219,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         trials=args.trials,
         use_smote=args.use_smote,
         buckets=args.buckets,
+        snapshots=not args.no_snapshots,
     )
 
 
