@@ -13,6 +13,8 @@ from fraudlake.functions.expressions import (
     tx_dow,
     tx_hour,
 )
+from fraudlake.operators.split import MAX_CLASSES
+from fraudlake.session import small_table
 
 HISTOGRAM_BINS = 60
 CORRELATION_CHUNK = 60
@@ -47,24 +49,30 @@ def amount_histogram(
 ) -> DataFrame:
     """Density of log(1 + amount) per class over the class's own range; bins are numbered from 0.
 
-    The range of each class is a small aggregate that is joined back to counts per (class,
-    value), not to the rows.
+    The ranges are fitted first: one row per class, checked to be few before they are broadcast.
+    The rows are then counted per (class, bin) with a partial aggregation and no join shuffle.
     """
-    values = (
-        df.where(F.col(amount).isNotNull())
-        .groupBy(label, F.log1p(amount).alias("x"))
-        .agg(F.count("*").alias("n"))
+    logged = df.where(F.col(amount).isNotNull()).select(label, F.log1p(amount).alias("x"))
+    fitted = (
+        logged.where(F.col(label).isNotNull())
+        .groupBy(label)
+        .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("total"))
+        .limit(MAX_CLASSES + 1)
+        .collect()
     )
-    ranges = values.groupBy(label).agg(
-        F.min("x").alias("low"), F.max("x").alias("high"), F.sum("n").alias("total")
+    if len(fitted) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    kind = "string" if dict(df.dtypes)[label] == "string" else "long"
+    ranges = small_table(
+        df.sparkSession, fitted, f"{label} {kind}, low double, high double, total long"
     )
     width = (F.col("high") - F.col("low")) / bins
     position = F.try_divide((F.col("x") - F.col("low")) * bins, F.col("high") - F.col("low"))
     bin_number = F.least(F.floor(F.coalesce(position, F.lit(0.0))), F.lit(bins - 1))
     return (
-        values.join(ranges, label)
+        logged.join(F.broadcast(ranges), label)
         .groupBy(label, bin_number.cast("long").alias("bin"), "low", "high", "total")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count("*").alias("n"))
         .select(
             label,
             "bin",

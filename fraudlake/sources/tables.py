@@ -61,15 +61,6 @@ class TableStore:
             )
         return self.spark.table(table)
 
-    def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(name))
-            return True
-        except Exception as error:  # the analysis error of a missing path
-            if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-                return False
-            raise
-
 
 def snapshot_once(df: DataFrame, path: str) -> None:
     """Write parquet only if nothing is there yet."""
