@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The share of missing values above which a column is dropped, and the text
+# columns that are dropped once encoded.
 SPARSE_THRESHOLD = 0.80
 ENCODED_STRINGS = [f"M{i}" for i in range(1, 10)] + [
     "P_emaildomain",

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from fraudlake.functions.expressions import flag_code
 from fraudlake.operators.lookup import attach_by_key
 
+# The columns that get codes, and the label of a missing value.
 LABEL_COLUMNS = ["card4", "card6", "ProductCD", "DeviceType"]
 MISSING = "__missing__"
 MAX_LITERAL_LABELS = 1000

@@ -18,6 +18,7 @@ from fraudlake.functions.expressions import (
 from fraudlake.operators.running import running_totals
 from fraudlake.session import materialize
 
+# The bands of the quality gate.
 AUC_ADVICE = [
     (0.80, "WARNING: AUC below 0.80, check the sparse-column threshold and the encoding"),
     (0.85, "NOTE: AUC 0.80-0.85, check that card1_addr1_count is present"),

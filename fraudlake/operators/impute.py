@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.session import small_table
 
+# Which columns are filled with zero, and which with their median.
 ZERO_COLUMNS = [f"C{i}" for i in range(1, 15)]
 MEDIAN_IDENTITY = [f"id_{i:02d}" for i in (*range(1, 12), 13, 14, 17, 18, 19, 20, 32)]
 MEDIAN_BASE = ["card2", "card3", "card5", "addr1", "addr2", "dist1", "dist2"]

@@ -17,6 +17,7 @@ from fraudlake.session import small_table
 
 PREFIX_DIGITS = 3
 MAX_CLASSES = 1000
+# Fixed value: the class weight is a constant of the assumed rate, not a measurement.
 FRAUD_RATE = 0.035
 POSITIVE_WEIGHT = (1 - FRAUD_RATE) / FRAUD_RATE
 
