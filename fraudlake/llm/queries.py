@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fraudlake.llm.extract import op5_extract
 from fraudlake.llm.simhash import op9_simhash
 from fraudlake.llm.tokens import op10_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_extract": op5_extract,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
 }
