@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fraudlake.llm.decontaminate import OP1_SQL, op1_decontaminate
 from fraudlake.llm.extract import op5_extract
 from fraudlake.llm.simhash import op9_simhash
 from fraudlake.llm.tokens import op10_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op5_extract": op5_extract,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": OP1_SQL,
+}
