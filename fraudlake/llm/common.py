@@ -45,35 +45,39 @@ def hex_digits_for(rows: int, per_bucket: int = ROWS_PER_BUCKET) -> int:
 
 def with_running(
     df: DataFrame,
-    rows: int,
     group: str,
-    order: str,
+    bucket: Column,
+    order: Sequence[str],
     sums: dict[str, Column],
-    ties: Sequence[str] = (),
-    per_group: Sequence[Column] = (),
+    of_group: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds, per ``group``, the sum of all rows before each row, in the order of ``order``.
+    """Adds, per ``group`` (never null), the sum of all rows before each row in the order of ``order``.
 
-    ``order`` is a column of hex digests, evenly spread; its leading digits cut every group into
-    buckets of about 2^16 rows. Bucket totals (one row per bucket) are summed in a window over the
-    few buckets of a group, and a second window runs inside a bucket. So a group of a third of all
-    rows is never in one task; only rows with one digest must fit in one.
-    ``rows`` is the number of all rows; ``sums`` names what is summed.
+    ``bucket`` cuts every group along the order into pieces small enough for one task. Their totals,
+    one row per piece, are summed in a window over the pieces of a group, and a second window runs
+    inside a piece; so a group of a third of all rows is never in one task. ``df`` is read twice.
+    The columns of ``of_group`` (one row per ``group``) come along with the totals.
     """
-    digits = hex_digits_for(rows)
-    cut = df.withColumn("_bucket", F.substring(order, 1, digits) if digits else F.lit(""))
+    cut = df.withColumn("_bucket", bucket)
     totals = cut.groupBy(group, "_bucket").agg(*(F.sum(e).alias(f"_t_{n}") for n, e in sums.items()))
+    if of_group is not None:
+        totals = totals.join(of_group, group)
+    more = [c for c in of_group.columns if c != group] if of_group is not None else []
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         F.col(group).alias("_group"),
         F.col("_bucket").alias("_of"),
         *(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums),
-        *per_group,
-    )
-    inside = (
-        Window.partitionBy(group, "_bucket").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
+        *more,
     )
+    inside = Window.partitionBy(group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     joined = cut.join(offsets, (F.col(group) == F.col("_group")) & (F.col("_bucket") == F.col("_of")))
     return joined.withColumns(
         {n: F.col(f"_o_{n}") + F.coalesce(F.sum(e).over(inside), F.lit(0)) for n, e in sums.items()}
     ).drop("_group", "_of", "_bucket", *(f"_o_{n}" for n in sums))
+
+
+def digest_bucket(digest: str, rows: int) -> Column:
+    """Leading hex digits of an evenly spread digest, for pieces of about 2^16 of ``rows`` rows."""
+    digits = hex_digits_for(rows)
+    return F.substring(digest, 1, digits) if digits else F.lit("")

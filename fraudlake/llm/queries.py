@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fraudlake.llm.decontaminate import OP1_SQL, op1_decontaminate
 from fraudlake.llm.extract import op5_extract
+from fraudlake.llm.mixing import OP4_SQL, op4_mixing
+from fraudlake.llm.sharding import op2_shards
 from fraudlake.llm.simhash import op9_simhash
 from fraudlake.llm.tokens import op10_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_shards": op2_shards,
+    "op4_mixing": op4_mixing,
     "op5_extract": op5_extract,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
@@ -20,4 +24,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
+    "op4_mixing": OP4_SQL,
 }
