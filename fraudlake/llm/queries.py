@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fraudlake.llm.decontaminate import OP1_SQL, op1_decontaminate
 from fraudlake.llm.extract import op5_extract
+from fraudlake.llm.language import op7_language
 from fraudlake.llm.mixing import OP4_SQL, op4_mixing
 from fraudlake.llm.sharding import op2_shards
 from fraudlake.llm.simhash import op9_simhash
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_shards": op2_shards,
     "op4_mixing": op4_mixing,
     "op5_extract": op5_extract,
+    "op7_language": op7_language,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
 }

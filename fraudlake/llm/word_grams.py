@@ -94,8 +94,11 @@ class Words:
         return self.owner[:n] == self.owner[k - 1 :] if n > 0 else np.zeros(0, bool)
 
 
-def word_batches(texts: pa.Array, hasher: Hasher) -> Iterator[tuple[int, int, Words]]:
-    """``(from, to, words)`` for runs of texts of about PART bytes; a longer text is a run of its own."""
+def text_parts(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(from, to, bytes, offsets)`` for runs of texts of about PART bytes; null is empty.
+
+    A longer text is a run of its own.
+    """
     raw = texts.cast(pa.large_binary())
     if raw.null_count:
         raw = raw.fill_null(b"")
@@ -104,10 +107,15 @@ def word_batches(texts: pa.Array, hasher: Hasher) -> Iterator[tuple[int, int, Wo
     at = 0
     while at < len(raw):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PART, side="right")) - 1)
-        yield at, to, Words(LOWER[data[offsets[at] : offsets[to]]], offsets[at : to + 1] - offsets[at], hasher)
+        yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 
 
+def word_batches(texts: pa.Array, hasher: Hasher) -> Iterator[tuple[int, int, Words]]:
+    for a, b, data, offsets in text_parts(texts):
+        yield a, b, Words(LOWER[data], offsets, hasher)
+
+
 def winnowed(words: Words, k: int, window: int) -> np.ndarray:
     """Word positions whose k-gram is the smallest of some ``window`` consecutive ones, ties to the right.
 
