@@ -10,6 +10,7 @@ from fraudlake.llm.decontaminate import OP1_SQL, op1_decontaminate
 from fraudlake.llm.extract import op5_extract
 from fraudlake.llm.language import op7_language
 from fraudlake.llm.mixing import OP4_SQL, op4_mixing
+from fraudlake.llm.neighbours import op8_neighbours
 from fraudlake.llm.sharding import op2_shards
 from fraudlake.llm.simhash import op9_simhash
 from fraudlake.llm.tokens import op10_tokens
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_extract": op5_extract,
     "op7_language": op7_language,
+    "op8_neighbours": op8_neighbours,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
 }
