@@ -14,12 +14,14 @@ from fraudlake.llm.neighbours import op8_neighbours
 from fraudlake.llm.sharding import op2_shards
 from fraudlake.llm.simhash import op9_simhash
 from fraudlake.llm.tokens import op10_tokens
+from fraudlake.llm.warc import OP6_SQL, op6_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_shards": op2_shards,
     "op4_mixing": op4_mixing,
     "op5_extract": op5_extract,
+    "op6_warc": op6_warc,
     "op7_language": op7_language,
     "op8_neighbours": op8_neighbours,
     "op9_simhash": op9_simhash,
@@ -29,4 +31,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
     "op4_mixing": OP4_SQL,
+    "op6_warc": OP6_SQL,
 }
