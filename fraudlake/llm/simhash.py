@@ -137,26 +137,34 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicate_classes(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, max_distance: int = 3
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = 3,
+    max_distance: int = 3,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, fp, component)`` for every row of ``docs``.
+    """``doc_id``, ``keep`` columns, ``fp``, ``class`` and ``component`` for every row of ``docs``.
 
-    ``component`` is the smallest id among all rows reachable over links of fingerprints. Null ids
-    are never the smallest; a class with no id at all has the component null. Repeated rows stay
-    repeated. Null and blank texts have the fingerprint 0 and are linked like any other. An empty
-    table gives an empty result.
+    ``class`` is the smallest fingerprint reachable over links, as a signed number, and ``component``
+    the smallest id among the rows of the class. Null ids are never the smallest; a class with no id
+    at all has the component null. Repeated rows stay repeated. Null and blank texts have the
+    fingerprint 0 and are linked like any other. An empty table gives an empty result.
     """
-    prints = stash(with_fingerprint(docs.select(doc_id, text), [doc_id], text, width))
-    classes = prints.groupBy("fp").agg(F.min(doc_id).alias("first_id"))
-    labels = components(stash(linked_pairs(prints, max_distance)))
-    first = F.col("first_id")
-    named = labels.join(classes.withColumnRenamed("fp", "node"), "node")
-    smallest = named.groupBy("label").agg(F.min(first).alias("smallest"))
-    linked = labels.join(smallest, "label").select(F.col("node").alias("fp"), "smallest")
-    of_class = classes.join(linked, "fp", "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("smallest", first).alias("component")
+    kept = [doc_id, *keep]
+    named = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)), F.col(text).alias("text"))
+    prints = stash(with_fingerprint(named, [f"c{i}" for i in range(len(kept))], "text", width))
+    first = prints.groupBy("fp").agg(F.min("c0").alias("first_id"))
+    labels = components(stash(linked_pairs(prints, max_distance))).withColumnRenamed("node", "fp")
+    smallest = labels.join(first, "fp").groupBy("label").agg(F.min("first_id").alias("smallest"))
+    linked = labels.join(smallest, "label").select("fp", "label", "smallest")
+    of_class = first.join(linked, "fp", "left").select(
+        F.col("fp").alias("_fp"),
+        F.coalesce("label", "fp").alias("class"),
+        F.coalesce("smallest", "first_id").alias("component"),
     )
-    return prints.join(of_class, F.col("fp") == F.col("_fp")).select(doc_id, "fp", "component")
+    found = prints.join(of_class, F.col("fp") == F.col("_fp"))
+    return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), "fp", "class", "component")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
