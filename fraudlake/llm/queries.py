@@ -12,6 +12,7 @@ from fraudlake.llm.extract import op5_extract
 from fraudlake.llm.language import op7_language
 from fraudlake.llm.mixing import OP4_SQL, op4_mixing
 from fraudlake.llm.neighbours import op8_neighbours
+from fraudlake.llm.quality import op3_quality
 from fraudlake.llm.sharding import op2_shards
 from fraudlake.llm.simhash import op9_simhash
 from fraudlake.llm.tokens import op10_tokens
@@ -20,6 +21,7 @@ from fraudlake.llm.warc import OP6_SQL, op6_warc
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_shards": op2_shards,
+    "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_extract": op5_extract,
     "op6_warc": op6_warc,
