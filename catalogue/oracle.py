@@ -16,6 +16,7 @@ SELECT s.TransactionID, s.fraud_prob, {_TIER} AS risk_label, {_TIER_SCORE} AS ri
        t.TransactionAmt, t.card4, i.DeviceType, {_HOUR} AS tx_hour
 FROM scored s JOIN txn t USING (TransactionID) LEFT JOIN idn i USING (TransactionID)
 """
+# The labels and bounds of amount ranges, here and below.
 _AMOUNT_RANGE = """CASE WHEN {0} < 10 THEN '<$10' WHEN {0} < 50 THEN '$10-$50'
     WHEN {0} < 200 THEN '$50-$200' WHEN {0} < 1000 THEN '$200-$1000' ELSE '>$1000' END"""
 _AMOUNT_BUCKET = """CASE WHEN TransactionAmt IS NULL OR TransactionAmt < 0 THEN 'nan'
@@ -177,7 +178,24 @@ round(avg({score}), 6) AS avg_fraud_prob, CAST(sum({label}) AS BIGINT) AS actual
 ORACLE = {
     "csv_roundtrip_scan": with_views("SELECT * FROM txn", "txn"),
     "pruned_scan": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem",
-    "limit_scan": with_views("SELECT * FROM scored LIMIT 200000", "scored"),
+    "limit_scan": with_views("SELECT * FROM scored ORDER BY TransactionID LIMIT 500", "scored"),
+    "table_roundtrip": with_views("SELECT * FROM merged", "merged"),
+    "smote_totals": with_views(
+        """WITH n AS (SELECT count(*) FILTER (isFraud = 1) AS minority,
+               CAST(floor(0.1 * count(*) FILTER (isFraud = 0)) AS BIGINT)
+                 - count(*) FILTER (isFraud = 1) AS missing FROM txn)
+        SELECT missing AS synthetic, minority AS bases, missing // minority AS fewest,
+               (missing + minority - 1) // minority AS most, 5 * minority AS neighbor_pairs FROM n""",
+        "txn",
+    ),
+    "rep_amount_counts": with_views(
+        f"""SELECT amount_range, isFraud, count(*) AS transaction_count,
+               CASE amount_range WHEN '<$10' THEN 1 WHEN '$10-$50' THEN 2 WHEN '$50-$200' THEN 3
+               WHEN '$200-$1000' THEN 4 ELSE 5 END AS range_rank
+        FROM (SELECT {_AMOUNT_RANGE.format('TransactionAmt')} AS amount_range, isFraud FROM txn)
+        GROUP BY amount_range, isFraud""",
+        "txn",
+    ),
     "schema_listing": "SELECT CAST(position AS BIGINT) AS position, column_name, data_type FROM ("
     + " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, '{_TYPES.get(c, 'string')}' AS data_type"
@@ -348,11 +366,8 @@ ORACLE = {
     "quality_gate": with_views(
         f"""WITH {_CURVE}
         SELECT auc AS auc_roc,
-               CASE WHEN auc < 0.80 THEN
-                 'WARNING: AUC below 0.80, check the sparse-column threshold and the encoding'
-               WHEN auc < 0.85 THEN
-                 'NOTE: AUC 0.80-0.85, check that card1_addr1_count is present'
-               WHEN auc < 0.88 THEN 'NOTE: AUC 0.85-0.88, try more search trials' END AS advice
+               CASE WHEN auc < 0.80 THEN 'below_0.80' WHEN auc < 0.85 THEN 'below_0.85'
+               WHEN auc < 0.88 THEN 'below_0.88' END AS band
         FROM (SELECT {_AUC} AS auc FROM curve)""",
         "scored",
     ),
@@ -463,11 +478,13 @@ ORACLE = {
         r AS (SELECT isFraud, min(x) AS lo, max(x) AS hi, count(*) AS total FROM x GROUP BY isFraud),
         b AS (SELECT isFraud, lo, hi, total,
                      CAST(least(floor((x - lo) * 60 / (hi - lo)), 59) AS BIGINT) AS bin
-              FROM x JOIN r USING (isFraud))
-        SELECT isFraud, bin, round(lo + bin * ((hi - lo) / 60), 6) AS bin_start,
-               count(*) AS transaction_count,
-               round(count(*) / (total * ((hi - lo) / 60)), 6) AS density
-        FROM b GROUP BY isFraud, bin, lo, hi, total""",
+              FROM x JOIN r USING (isFraud)),
+        g AS (SELECT isFraud, lo, hi, total, u.bin FROM r, unnest(range(0, 60)) AS u(bin)),
+        c AS (SELECT isFraud, bin, count(*) AS n FROM b GROUP BY isFraud, bin)
+        SELECT g.isFraud, g.bin, round(lo + g.bin * ((hi - lo) / 60), 6) AS bin_start,
+               coalesce(n, 0) AS transaction_count,
+               round(coalesce(n, 0) / (total * ((hi - lo) / 60)), 6) AS density
+        FROM g LEFT JOIN c ON g.isFraud = c.isFraud AND g.bin = c.bin""",
         "txn",
     ),
     "eda_rate_by_bucket": with_views(

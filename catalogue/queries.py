@@ -16,6 +16,7 @@ from fraudlake.operators import oversample, segment, split, velocity
 from fraudlake.plans import checks, eda, engineer, reports
 from fraudlake.session import ensure_checkpoint_dir, materialize, small_table
 from fraudlake.sources import readers
+from fraudlake.sources.tables import TableStore
 
 DIGITS = 6
 FLOAT_SUMS = ["amt_vs_card1_mean", "amt_vs_card1_zscore"]
@@ -77,7 +78,15 @@ def pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def limit_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_limited(V.scored(spark, sf_dir))
+    return readers.read_limited(V.scored(spark, sf_dir), 500)
+
+
+def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both inputs written as bucketed tables, read and joined on the id, without their rows moving."""
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/store-{uuid.uuid4().hex}", 8)
+    store.replace("raw_transactions", V.txn(spark, sf_dir))
+    store.replace("raw_identity", V.idn(spark, sf_dir))
+    return readers.with_identity(store.read("raw_transactions"), store.read("raw_identity"))
 
 
 def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +279,27 @@ def smote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oversample.synthetic_minority(rows, ["TransactionAmt", "D1", "C1"])
 
 
+def smote_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthetic rows and how they spread over bases; pairs of each base and its neighbours."""
+    rows = materialize(
+        V.txn(spark, sf_dir).select(
+            "TransactionID", "isFraud", "TransactionAmt", F.coalesce("D1", F.lit(0.0)).alias("D1"),
+            F.coalesce("C1", F.lit(0.0)).alias("C1"),
+        )
+    )
+    features = ["TransactionAmt", "D1", "C1"]
+    copies = oversample.synthetic_minority(rows, features).groupBy("base_id").count()
+    points = materialize(
+        rows.where("isFraud = 1").select("TransactionID", F.array(*features).alias("features"))
+    )
+    near = oversample.nearest_neighbors(points, points.count(), dimensions=len(features))
+    pairs = near.select("TransactionID", "neighbor").distinct().agg(F.count("*").alias("neighbor_pairs"))
+    return copies.agg(
+        F.sum("count").alias("synthetic"), F.count("*").alias("bases"),
+        F.min("count").alias("fewest"), F.max("count").alias("most"),
+    ).join(pairs)
+
+
 def _written_model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """As in the batch job, where the features are a table before anything is fitted."""
     rows, features = _model_rows(spark, sf_dir)
@@ -387,6 +417,10 @@ def rep_amount_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(report, "avg_amount")
 
 
+def rep_amount_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.amount_counts(V.txn(spark, sf_dir))
+
+
 def rep_amount_distribution_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.lineitem(spark, sf_dir).select("l_quantity", "l_returnflag")
     return reports.amount_distribution(rows, "l_quantity", "l_returnflag")
@@ -457,19 +491,19 @@ def eda_device_info_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        csv_roundtrip_scan, pruned_scan, limit_scan, schema_listing,
+        csv_roundtrip_scan, pruned_scan, limit_scan, schema_listing, table_roundtrip,
         merge_identity, identity_coverage, table_counts, class_share, null_spot_check,
         null_rate_audit, null_rate_audit_lineitem, sparse_column_ranking, drop_sparse_columns,
         fe_time, fe_velocity, fe_velocity_orders, fe_amount_deviation, fe_entity_counts,
         fe_amount_bucket, fe_pair_count, fe_log_amount, fe_flags, fe_label_encode,
         fe_frequency_encode, fe_impute, column_medians, fe_all,
         split_stratified, kfold_stratified, class_weight, seeded_sample, feature_matrix,
-        smote, gbt_scores, search_trials, attribution_top20,
+        smote, smote_totals, gbt_scores, search_trials, attribution_top20,
         eval_auc, eval_average_precision, eval_report, eval_confusion, eval_calibration,
         quality_gate, pr_curve, f1_threshold, cost_threshold, threshold_analysis,
         risk_tiers, tier_counts, risk_segments,
         rep_card_type, rep_device, rep_fraud_rate_over_time, rep_tier_summary,
-        rep_amount_distribution, rep_amount_distribution_lineitem, rep_metrics_long,
+        rep_amount_counts, rep_amount_distribution, rep_amount_distribution_lineitem, rep_metrics_long,
         eda_shape, eda_class_balance, eda_amount_histogram, eda_rate_by_bucket,
         eda_hour_matrix, eda_hourly, eda_rate_by_category, eda_rate_by_card, eda_correlation,
         eda_identity_split, eda_device_type, eda_device_info_top15,

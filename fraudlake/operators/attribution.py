@@ -126,13 +126,15 @@ def mean_attribution(
     df: DataFrame,
     features: Sequence[str],
     row_id: str = "TransactionID",
-    sample: int = SAMPLE_ROWS,
+    sample: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """(feature, mean_abs_shap) over a seeded sample of the rows, largest first."""
+    """(feature, mean_abs_shap) over all rows, or a seeded sample of them, largest first."""
     features = list(features)
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    rows = sample_rows(df, sample, row_id, seed).select(row_id, *features).repartition(tasks, row_id)
+    rows = df.select(row_id, *features)
+    if sample is not None:
+        tasks = df.sparkSession.sparkContext.defaultParallelism
+        rows = sample_rows(rows, sample, row_id, seed).repartition(tasks, row_id)
     explained = shapley_rows(model, rows, features, row_id)
     means = explained.agg(*[F.avg(F.abs(F.col(c))).alias(c) for c in features])
     return means.unpivot([], features, "feature", "mean_abs_shap").orderBy(

@@ -23,6 +23,7 @@ from fraudlake.session import ensure_checkpoint_dir
 
 MODEL_VERSION = "gbt_v1"
 MISSING_VALUE = -999.0
+# Columns that are no features.
 NOT_FEATURES = ["TransactionID", "isFraud", "card4_amt_bucket"]
 
 # The ranges that the search draws from (low, high, kind).

@@ -18,12 +18,8 @@ from fraudlake.functions.expressions import (
 from fraudlake.operators.running import running_totals
 from fraudlake.session import materialize
 
-# The bands of the quality gate.
-AUC_ADVICE = [
-    (0.80, "WARNING: AUC below 0.80, check the sparse-column threshold and the encoding"),
-    (0.85, "NOTE: AUC 0.80-0.85, check that card1_addr1_count is present"),
-    (0.88, "NOTE: AUC 0.85-0.88, try more search trials"),
-]
+# The bounds of the quality gate.
+AUC_BOUNDS = [0.80, 0.85, 0.88]
 
 
 def score_counts(df: DataFrame, label: str = "isFraud", score: str = "fraud_prob") -> DataFrame:
@@ -176,12 +172,10 @@ def metrics_long(metrics: DataFrame) -> DataFrame:
 
 
 def quality_gate(metrics: DataFrame) -> DataFrame:
-    """The AUC with the advice for its band, NULL if it is good enough."""
-    advice = None
-    for bound, text in AUC_ADVICE:
-        below = F.col("auc_roc") < bound
-        advice = F.when(below, text) if advice is None else advice.when(below, text)
-    return metrics.select("auc_roc", advice.alias("advice"))
+    """The AUC and the lowest bound it stays below (``below_0.85``), NULL if it passes them all."""
+    missed = F.array_compact(F.array(*[F.when(F.col("auc_roc") < b, F.lit(b)) for b in AUC_BOUNDS]))
+    band = F.concat(F.lit("below_"), F.format_string("%.2f", F.array_min(missed)))
+    return metrics.select("auc_roc", F.when(F.size(missed) > 0, band).alias("band"))
 
 
 def calibration_table(df: DataFrame, label: str = "isFraud", score: str = "fraud_prob") -> DataFrame:
@@ -224,14 +218,20 @@ def cost_optimal_threshold(
     )
 
 
-def threshold_analysis(df: DataFrame, label: str = "isFraud", score: str = "fraud_prob") -> DataFrame:
+def threshold_analysis(
+    df: DataFrame,
+    label: str = "isFraud",
+    score: str = "fraud_prob",
+    fn_cost: int = 10,
+    fp_cost: int = 1,
+) -> DataFrame:
     """One row: both optimal thresholds, taken from one curve, and the business bounds."""
     p, r = F.col("precision"), F.col("recall")
     precise = _curve(df, label, score).withColumns(
         {
             "precision": F.col("tp") / (F.col("tp") + F.col("fp")),
             "recall": F.try_divide(F.col("tp"), F.col("all_positives")),
-            "cost": (F.col("all_positives") - F.col("tp")) * 10 + F.col("fp"),
+            "cost": (F.col("all_positives") - F.col("tp")) * fn_cost + F.col("fp") * fp_cost,
         }
     )
     ranked = precise.withColumn("f1", 2 * p * r / (p + r + F.lit(1e-9)))

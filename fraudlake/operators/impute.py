@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.session import small_table
@@ -67,7 +69,8 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
             searches = _narrow(df, searches)
 
     for c, (lower, upper) in ranks.items():
-        medians[c] = (found[(c, lower)] + found[(c, upper)]) / 2
+        a, b = found[(c, lower)], found[(c, upper)]
+        medians[c] = a if a == b else (a + b) / 2 if math.isfinite(a + b) else a / 2 + b / 2
     return medians
 
 
@@ -119,6 +122,22 @@ def _bracket_counts(df: DataFrame, brackets: dict[str, dict]) -> dict[str, tuple
     return counts
 
 
+def _cell(value: Column, low: float, high: float) -> Column:
+    """The cell of a value in a bracket: 0 to CELLS, -1 and CELLS + 1 for the infinities.
+
+    ``low`` is in the first cell and a finite ``high`` alone in the last, so every pass narrows a
+    bracket. Halves are taken where the width itself is beyond the largest double.
+    """
+    least, most = max(low, -sys.float_info.max), min(high, sys.float_info.max)
+    scale = 1.0 if math.isfinite(most - least) else 0.5
+    width = most * scale - least * scale
+    share = (value * scale - least * scale) / F.lit(width) if width else F.lit(0.0)
+    inside = F.least(F.floor(share * CELLS), F.lit(CELLS)).cast("int")
+    return (
+        F.when(value == float("-inf"), -1).when(value == float("inf"), CELLS + 1).otherwise(inside)
+    )
+
+
 def _narrow(df: DataFrame, searches: dict) -> dict:
     """One pass: replace each open interval by the cell that holds its rank."""
     intervals = sorted({(c, low, high) for (c, _), (low, high, _) in searches.items()})
@@ -129,7 +148,7 @@ def _narrow(df: DataFrame, searches: dict) -> dict:
         entries = []
         for (c, low, high), i in number.items():
             value = F.col(c).cast("double")
-            cell = F.floor((value - low) / (high - low) * CELLS).cast("int")
+            cell = _cell(value, low, high)
             entry = F.struct(F.lit(i).alias("i"), cell.alias("cell"), value.alias("v"))
             entries.append(F.when(value.between(low, high), entry))
         cells = (
@@ -157,6 +176,8 @@ def _narrow(df: DataFrame, searches: dict) -> dict:
         cell_of = {(r["i"], r["rank"]): r for r in located}
         for i, target, rank in ranks:
             r = cell_of[(i, rank)]
+            if (r["low"], r["high"]) == searches[target][:2]:
+                raise ArithmeticError(f"the search for the median of {target[0]} does not narrow")
             narrowed[target] = (r["low"], r["high"], rank - r["before"])
     return narrowed
 

@@ -34,35 +34,32 @@ def nearest_neighbors(
 ) -> DataFrame:
     """(id, neighbor, rank 1..k) among ``points`` (id, array<double>).
 
-    Up to 2048 points are one block and the neighbours are exact. Beyond that no step compares
-    all pairs: the points are ranked along a few random directions, cut into blocks of 2048
-    consecutive ranks, searched inside each block, and the best k over all directions are
-    kept. Ranks are exact, so blocks never exceed 2048 points however the data cluster, and
-    the result depends on the seed only.
+    No step compares all pairs: the points are ranked along a few random directions, cut into
+    equal blocks of at most 2048 consecutive ranks, searched inside each block, and the best k over
+    all directions are kept. Ranks are exact, so blocks never exceed 2048 points however the data
+    cluster, none is small, and the result depends on the seed only. What fits into one block has
+    its exact neighbours in every direction.
     """
-    exact = rows <= BLOCK_ROWS
+    blocks = max(1, -(-rows // BLOCK_ROWS))
     found = None
-    for d in range(1 if exact else DIRECTIONS):
-        if exact:
-            blocked = points.withColumn("_block", F.lit(0).cast("long"))
-        else:
-            weights = F.array(*[F.lit(w) for w in _direction(dimensions, seed + d)])
-            along = F.aggregate(
-                F.zip_with(F.col(vector), weights, lambda x, w: x * w),
-                F.lit(0.0),
-                lambda total, x: total + x,
-            )
-            # Ranked without the vectors, which join their block at the end.
-            projected = materialize(points.select(row_id, along.alias("_along")))
-            ranked = running_totals(projected, "_along", {"_position": F.lit(1)}, ties=row_id)
-            block = F.floor((F.col("_position") - 1) / BLOCK_ROWS).alias("_block")
-            blocked = points.join(ranked.select(row_id, block), row_id)
+    for d in range(DIRECTIONS):
+        weights = F.array(*[F.lit(w) for w in _direction(dimensions, seed + d)])
+        along = F.aggregate(
+            F.zip_with(F.col(vector), weights, lambda x, w: x * w),
+            F.lit(0.0),
+            lambda total, x: total + x,
+        )
+        # Ranked without the vectors, which join their block at the end.
+        projected = materialize(points.select(row_id, along.alias("_along")))
+        ranked = running_totals(projected, "_along", {"_position": F.lit(1)}, ties=row_id)
+        block = F.floor((F.col("_position") - 1) * blocks / rows).alias("_block")
+        blocked = points.join(ranked.select(row_id, block), row_id)
         part = blocked.groupBy("_block").applyInPandas(
             _block_search(row_id, vector, k), f"{row_id} long, neighbor long, distance double"
         )
         found = part if found is None else found.unionByName(part)
-    if not exact:
-        found = found.distinct()
+    # Each block centres its points on its own mean, so one pair's distances differ in the last bits.
+    found = found.groupBy(row_id, "neighbor").agg(F.min("distance").alias("distance"))
     best = Window.partitionBy(row_id).orderBy("distance", "neighbor")
     return (
         found.withColumn("rank", F.row_number().over(best))

@@ -63,3 +63,23 @@ def verify_report(
     return report.agg(
         F.count("*").alias("rows"), first.cast("string").alias("first_value")
     ).select(F.lit(name).alias("report"), F.lit(True).alias("present"), "rows", "first_value")
+
+
+def require_row_ids(df: DataFrame, row_id: str, name: str) -> None:
+    """Raise unless every row has an id of its own.
+
+    Only ids are counted, combined before the shuffle; a table bucketed by the id is not shuffled.
+    """
+    found = (
+        df.groupBy(row_id)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(
+            F.sum(F.when(F.col(row_id).isNull(), F.col("rows"))).alias("missing"),
+            F.count_if((F.col("rows") > 1) & F.col(row_id).isNotNull()).alias("repeated"),
+        )
+        .first()
+    )
+    if found["missing"] or found["repeated"]:
+        raise ValueError(
+            f"{name}: {found['missing'] or 0} rows without {row_id}, {found['repeated']} ids that occur again"
+        )

@@ -13,8 +13,7 @@ from fraudlake.functions.expressions import (
     tx_dow,
     tx_hour,
 )
-from fraudlake.operators.split import MAX_CLASSES
-from fraudlake.session import small_table
+from fraudlake.session import materialize
 
 HISTOGRAM_BINS = 60
 CORRELATION_CHUNK = 60
@@ -49,37 +48,34 @@ def amount_histogram(
 ) -> DataFrame:
     """Density of log(1 + amount) per class over the class's own range; bins are numbered from 0.
 
-    The ranges are fitted first: one row per class, checked to be few before they are broadcast.
-    The rows are then counted per (class, bin) with a partial aggregation and no join shuffle.
+    Every class has all bins, empty ones with the count and density 0. The ranges, one row per
+    class, are joined back to the rows as Spark sees fit; the rows are then counted per (class, bin)
+    with a partial aggregation, and the counts meet the grid of bins.
     """
-    logged = df.where(F.col(amount).isNotNull()).select(label, F.log1p(amount).alias("x"))
-    fitted = (
-        logged.where(F.col(label).isNotNull())
-        .groupBy(label)
-        .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("total"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
+    logged = df.where(F.col(amount).isNotNull() & F.col(label).isNotNull()).select(
+        label, F.log1p(amount).alias("x")
     )
-    if len(fitted) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    kind = "string" if dict(df.dtypes)[label] == "string" else "long"
-    ranges = small_table(
-        df.sparkSession, fitted, f"{label} {kind}, low double, high double, total long"
+    ranges = materialize(
+        logged.groupBy(label).agg(
+            F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("total")
+        )
     )
     width = (F.col("high") - F.col("low")) / bins
     position = F.try_divide((F.col("x") - F.col("low")) * bins, F.col("high") - F.col("low"))
     bin_number = F.least(F.floor(F.coalesce(position, F.lit(0.0))), F.lit(bins - 1))
-    return (
-        logged.join(F.broadcast(ranges), label)
-        .groupBy(label, bin_number.cast("long").alias("bin"), "low", "high", "total")
+    counted = (
+        logged.join(ranges, label)
+        .groupBy(label, bin_number.cast("long").alias("bin"))
         .agg(F.count("*").alias("n"))
-        .select(
-            label,
-            "bin",
-            (F.col("low") + F.col("bin") * width).alias("bin_start"),
-            F.col("n").alias("transaction_count"),
-            F.try_divide(F.col("n"), F.col("total") * width).alias("density"),
-        )
+    )
+    grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long"))
+    n = F.coalesce(F.col("n"), F.lit(0))
+    return grid.join(counted, [label, "bin"], "left").select(
+        label,
+        "bin",
+        (F.col("low") + F.col("bin") * width).alias("bin_start"),
+        n.alias("transaction_count"),
+        F.try_divide(n, F.col("total") * width).alias("density"),
     )
 
 

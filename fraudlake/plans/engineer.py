@@ -15,6 +15,7 @@ from fraudlake.operators.entity import (
 )
 from fraudlake.operators.impute import exact_medians, impute, median_targets
 from fraudlake.operators.velocity import DEFAULT_WINDOWS, trailing_counts
+from fraudlake.plans.checks import require_row_ids
 
 ROW_ID = "TransactionID"
 
@@ -99,12 +100,14 @@ def engineer_features(
 
     Statistics (means, counts, frequencies, codes, medians) come from ``df`` itself, or from
     ``fit_on`` to learn them on the training rows only. Medians and codes are fitted first, on
-    the raw columns; the rest is one lazy plan.
+    the raw columns; the rest is one lazy plan. The features of other rows come back by the id, so
+    a missing or repeated id is refused: it would lose or multiply rows.
     """
+    require_row_ids(df, ROW_ID, "the feature input")
     kept = drop_sparse_columns(df, audit=audit)
     source = fit_on if fit_on is not None else kept
     featured = (
-        kept.join(keyed_features(kept, fit_on), ROW_ID)
+        kept.join(keyed_features(kept, fit_on), ROW_ID, "left")
         .transform(with_time_features)
         .transform(with_amount_bucket)
         .transform(with_log_amount)

@@ -22,16 +22,18 @@ from fraudlake.session import build_session, ensure_checkpoint_dir
 from fraudlake.sources import readers, tables
 from fraudlake.sources.tables import TableStore, write_report
 
+# The steps, the option names and the report file names below.
 STEPS = ["ingest", "etl", "features", "train", "segment", "export"]
 log = logging.getLogger("fraudlake")
 
 
 def select_steps(only: Sequence[str] = (), skip: Sequence[str] = ()) -> list[str]:
     """Steps in their fixed order; ``only`` wins over ``skip``."""
-    unknown = (set(only) | set(skip)) - set(STEPS)
+    unknown = {*only, *skip}.difference(STEPS)
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
-    return [s for s in STEPS if (s in only if only else s not in skip)]
+    wanted = set(only) or set(STEPS).difference(skip)
+    return sorted(wanted, key=STEPS.index)
 
 
 class Pipeline:
@@ -50,7 +52,11 @@ class Pipeline:
         snapshots: bool = True,
     ):
         self.spark = spark
-        self.store = TableStore(spark, f"{work_dir.rstrip('/')}/tables", buckets)
+        # One number of buckets for all tables: as asked for, as resumed, or from the input's size.
+        folder = f"{work_dir.rstrip('/')}/tables"
+        recorded = TableStore(spark, folder).layout("raw_transactions") if buckets is None else None
+        self.sized = buckets is not None
+        self.store = TableStore(spark, folder, recorded[1] if recorded else buckets)
         self.exports = f"{work_dir.rstrip('/')}/exports"
         self.processed = f"{work_dir.rstrip('/')}/processed"
         self.model_path = f"{work_dir.rstrip('/')}/models/fraud_model"
@@ -77,8 +83,13 @@ class Pipeline:
         if self.data_dir is None:
             raise ValueError("ingest needs data_dir")
         transactions, identity = readers.read_inputs(self.spark, self.data_dir)
+        if not self.sized:
+            files = [f"{self.data_dir.rstrip('/')}/{f}" for f in (readers.TRANSACTIONS_FILE, readers.IDENTITY_FILE)]
+            self.store.buckets = tables.buckets_for(self.spark, *files)
         n_tx = self.store.replace("raw_transactions", transactions)
         n_id = self.store.replace("raw_identity", identity)
+        for name in ("raw_transactions", "raw_identity"):
+            checks.require_row_ids(self.store.read(name), "TransactionID", name)
         coverage = 100.0 * n_id / n_tx if n_tx else 0.0
         log.info("transactions %d, identity %d, coverage %.1f%%", n_tx, n_id, coverage)
 
@@ -141,8 +152,8 @@ class Pipeline:
         self.metrics = {c: row[c] for c in evaluate.METRIC_NAMES}
         result = self.spark.createDataFrame([row], metrics.schema)
         gate = evaluate.quality_gate(result).first()
-        if gate["advice"]:
-            log.warning("%s (AUC %.4f)", gate["advice"], gate["auc_roc"])
+        if gate["band"]:
+            log.warning("quality gate: AUC %.4f is %s", gate["auc_roc"], gate["band"])
         return result
 
     def segment(self) -> None:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlake.functions.expressions import day_name, report_amount_range, share
+from fraudlake.functions.expressions import REPORT_AMOUNT_RANGES, day_name, report_amount_range, share
 
+# The digits of report files.
 ROUNDING = {
     "total_amount": 2,
     "avg_fraud_prob": 4,
@@ -123,6 +124,20 @@ def tier_summary(segments: DataFrame) -> DataFrame:
     )
 
 
+def amount_counts(
+    df: DataFrame, amount: str = "TransactionAmt", label: str = "isFraud"
+) -> DataFrame:
+    """Rows per amount range and class, in the order of the ranges."""
+    names = [name for _, name in REPORT_AMOUNT_RANGES]
+    rank = F.array_position(F.array(*map(F.lit, names)), F.col("amount_range")).cast("int")
+    return (
+        df.groupBy(report_amount_range(F.col(amount)).alias("amount_range"), F.col(label))
+        .agg(F.count("*").alias("transaction_count"))
+        .withColumn("range_rank", rank)
+        .orderBy("range_rank", label)
+    )
+
+
 def amount_distribution(
     df: DataFrame, amount: str = "TransactionAmt", label: str = "isFraud"
 ) -> DataFrame:

@@ -86,8 +86,9 @@ def read_key_columns(
     return df.select(*[c for c in columns if c in df.columns])
 
 
-def read_limited(df: DataFrame, rows: int = 200_000) -> DataFrame:
-    return df.limit(rows)
+def read_limited(df: DataFrame, rows: int = 200_000, row_id: str = "TransactionID") -> DataFrame:
+    """The ``rows`` first rows by id: which ones they are does not depend on the plan."""
+    return df.orderBy(row_id).limit(rows)
 
 
 def list_columns(df: DataFrame) -> DataFrame:

@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from zlib import crc32
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from fraudlake.session import small_table
+
+BUCKET_BYTES = 1 << 30
+
+
+def buckets_for(spark: SparkSession, *paths: str) -> int:
+    """Buckets for tables made from these files: about 1 GB of input each, and no fewer than the
+    shuffle partitions, so that joins with other rows need no exchange of the tables."""
+    sizes = spark.read.format("binaryFile").load(list(paths)).agg(F.sum("length")).first()[0] or 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sizes // BUCKET_BYTES))
+
 
 class TableStore:
     """Parquet tables below one folder, bucketed by the transaction id.
@@ -14,7 +26,8 @@ class TableStore:
     All tables of the pipeline are joined on that id. Each table is written once in buckets of
     the id, sorted inside, so later joins between the tables read matching buckets and need no
     shuffle of the wide rows. The folder is the only state: a new session declares the tables
-    again from it.
+    again from it, with the number of buckets that is recorded beside each table. A table without
+    a record (its write did not end) is read as plain parquet.
     """
 
     def __init__(
@@ -24,6 +37,7 @@ class TableStore:
         self.folder = folder.rstrip("/")
         self.key = key
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.layouts = f"{self.folder}/_layouts"
         # One name per folder, so stores of one session do not meet in the catalog.
         self.prefix = "fl_" + format(crc32(self.folder.encode()), "08x") + "_"
 
@@ -37,6 +51,7 @@ class TableStore:
         """
         observation = Observation(f"rows_{name}")
         self.spark.sql(f"DROP TABLE IF EXISTS {self.prefix}{name}")
+        self._record(name, 0)
         (
             df.observe(observation, F.count(F.lit(1)).alias("rows"))
             .repartition(self.buckets, self.key)
@@ -47,17 +62,34 @@ class TableStore:
             .sortBy(self.key)
             .saveAsTable(f"{self.prefix}{name}")
         )
+        self._record(name, self.buckets)
         return observation.get["rows"]
 
+    def _record(self, name: str, buckets: int) -> None:
+        layout = small_table(self.spark, [(self.key, buckets)], "key string, buckets int")
+        layout.write.mode("overwrite").parquet(f"{self.layouts}/{name}")
+
+    def layout(self, name: str) -> tuple[str, int] | None:
+        """The bucket column and the number of buckets a table was written with, if recorded."""
+        try:
+            recorded = self.spark.read.parquet(f"{self.layouts}/{name}").first()
+        except AnalysisException:
+            return None
+        return (recorded["key"], recorded["buckets"]) if recorded["buckets"] else None
+
     def read(self, name: str) -> DataFrame:
         table = f"{self.prefix}{name}"
         if not self.spark.catalog.tableExists(table):
             schema = self.spark.read.parquet(self.path(name)).schema
+            layout = self.layout(name)
+            if layout is None:
+                return self.spark.read.schema(schema).parquet(self.path(name))
+            key, buckets = layout
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             self.spark.sql(
                 f"CREATE TABLE {table} ({columns}) USING parquet "
-                f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) "
-                f"INTO {self.buckets} BUCKETS LOCATION '{self.path(name)}'"
+                f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                f"INTO {buckets} BUCKETS LOCATION '{self.path(name)}'"
             )
         return self.spark.table(table)
 

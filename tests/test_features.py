@@ -215,6 +215,30 @@ def test_medians_equal_the_sorted_middle(spark, values):
     assert impute.exact_medians(df, ["v"])["v"] == want
 
 
+@pytest.mark.parametrize(
+    "values, want",
+    [
+        ([1.0, float("inf")], float("inf")),
+        ([float("-inf"), 1.0, 2.0], 1.0),
+        ([float("-inf"), -1.0, 3.0, float("inf")], 1.0),
+        ([-1.7e308, 1.7e308, 5.0, 6.0], 5.5),
+        ([1.7e308, 1.7e308, 1.6e308], 1.7e308),
+        ([0.0, 5e-324, 1e-323], 5e-324),
+    ],
+)
+def test_medians_of_extreme_values(spark, values, want):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert impute.exact_medians(df, ["v"])["v"] == want
+
+
+@pytest.mark.parametrize("ids", [[1, 1, 2], [1, None, 2]])
+def test_features_refuse_missing_and_repeated_ids(spark, ids):
+    rows = [(i, 0, 100, 5.0, 7) for i in ids]
+    df = spark.createDataFrame(rows, "TransactionID long, isFraud long, TransactionDT long, TransactionAmt double, card1 long")
+    with pytest.raises(ValueError, match="1 rows without|1 ids that occur again"):
+        engineer.engineer_features(df)
+
+
 def test_medians_of_many_columns_with_outliers(spark):
     df = spark.range(2001).selectExpr(
         *[f"CAST(pow(id, {1 + i % 4}) + {i} AS DOUBLE) AS c{i}" for i in range(70)]

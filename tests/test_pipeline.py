@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue import views as V
 from fraudlake.plans.pipeline import STEPS, Pipeline, run_pipeline, select_steps
 from fraudlake.sources import readers
+from fraudlake.sources.tables import TableStore
 
 SMALL = [
     {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3, "subsample": 1.0,
@@ -116,6 +117,25 @@ def test_resume_from_tables_in_a_new_store(spark, finished):
     assert report(spark, work, "risk_segments_summary").count() >= 1
 
 
+def test_tables_keep_the_buckets_they_were_written_with(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id AS TransactionID", "id % 7 AS x")
+    first = TableStore(spark, str(tmp_path), 8)
+    for name in ("left_rows", "right_rows"):
+        assert first.replace(name, rows) == 1000
+        spark.sql(f"DROP TABLE {first.prefix}{name}")
+    again = TableStore(spark, str(tmp_path), 4)
+    assert again.layout("left_rows") == ("TransactionID", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = again.read("left_rows").join(again.read("right_rows"), "TransactionID")
+        assert joined.count() == 1000
+        again._record("left_rows", 0)  # as after a write that did not end
+        spark.sql(f"DROP TABLE {again.prefix}left_rows")
+        assert again.read("left_rows").join(again.read("right_rows"), "TransactionID").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_table_joins_need_no_shuffle(spark, finished):
     _, pipeline = finished
     store = pipeline.store
