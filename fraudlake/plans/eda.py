@@ -68,7 +68,7 @@ def amount_histogram(
         .groupBy(label, bin_number.cast("long").alias("bin"))
         .agg(F.count("*").alias("n"))
     )
-    grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long"))
+    grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))
     n = F.coalesce(F.col("n"), F.lit(0))
     return grid.join(counted, [label, "bin"], "left").select(
         label,
