@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from fraudlake.session import materialize
 
-ROWS_PER_BUCKET = 1 << 16
+ROWS_PER_BUCKET = 1 << 13
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,6 @@ def with_running(
 
 
 def digest_bucket(digest: str, rows: int) -> Column:
-    """Leading hex digits of an evenly spread digest, for pieces of about 2^16 of ``rows`` rows."""
+    """Leading hex digits of an evenly spread digest, for pieces of about 2^13 of ``rows`` rows."""
     digits = hex_digits_for(rows)
     return F.substring(digest, 1, digits) if digits else F.lit("")

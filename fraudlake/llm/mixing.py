@@ -101,7 +101,7 @@ def schedule(sources: DataFrame, block: int) -> DataFrame:
     """``(slot, source_key, round, block, take)``: the mix in order, a block of a source per slot.
 
     Points find their source by an equal join on the cell of a grid over [0, 1), so there is no
-    join of all slots with all sources. Ranks are counted in pieces of 2^16 slots.
+    join of all slots with all sources. Ranks are counted in pieces of 2^13 slots.
     """
     spark = sources.sparkSession
     slots = sources.agg(F.max("all_slots")).first()[0] or 0
@@ -118,7 +118,7 @@ def schedule(sources: DataFrame, block: int) -> DataFrame:
         .select("slot", "source_key")
     )
     ranked = with_running(
-        drawn, "source_key", F.shiftright("slot", 16), ["slot"], {"rank": F.lit(1).cast("long")}
+        drawn, "source_key", F.shiftright("slot", 13), ["slot"], {"rank": F.lit(1).cast("long")}
     ).select("slot", "source_key", "rank")
     got = drawn.groupBy("source_key").agg(F.count(F.lit(1)).alias("got"))
     missing = (
@@ -206,7 +206,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = r"""
-WITH d AS (SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size,
+WITH d AS (SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size,
       coalesce('s' || source, 't') AS k,
       md5(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-') || '|' ||
           coalesce(strlen(text) || ':' || text, '-')) AS o FROM documents),
