@@ -158,10 +158,14 @@ def near_duplicate_classes(
     labels = components(stash(linked_pairs(prints, max_distance))).withColumnRenamed("node", "fp")
     smallest = labels.join(first, "fp").groupBy("label").agg(F.min("first_id").alias("smallest"))
     linked = labels.join(smallest, "label").select("fp", "label", "smallest")
-    of_class = first.join(linked, "fp", "left").select(
-        F.col("fp").alias("_fp"),
-        F.coalesce("label", "fp").alias("class"),
-        F.coalesce("smallest", "first_id").alias("component"),
+    # Written, so that the last join is one of two plain tables: there Spark splits the partition of
+    # a fingerprint that very many rows have.
+    of_class = stash(
+        first.join(linked, "fp", "left").select(
+            F.col("fp").alias("_fp"),
+            F.coalesce("label", "fp").alias("class"),
+            F.coalesce("smallest", "first_id").alias("component"),
+        )
     )
     found = prints.join(of_class, F.col("fp") == F.col("_fp"))
     return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), "fp", "class", "component")
