@@ -19,7 +19,7 @@ from fraudlake.operators.audit import numeric_columns
 from fraudlake.operators.evaluate import auc_roc
 from fraudlake.operators.oversample import oversample
 from fraudlake.operators.split import with_class_weight, with_fold
-from fraudlake.session import ensure_checkpoint_dir
+from fraudlake.session import ensure_checkpoint_dir, materialize
 
 MODEL_VERSION = "gbt_v1"
 MISSING_VALUE = -999.0
@@ -150,24 +150,30 @@ def search(
 
     Fits of different candidates and folds are independent Spark jobs and share the cluster
     through a small thread pool. The held-out fold stops the boosting and gives the score;
-    oversampling sees the other folds only.
+    oversampling sees the other folds only. The rows of each fold, oversampled ones included, are
+    written once and read by the fits of all candidates.
     """
     spark = train.sparkSession
     folded = with_fold(train, label, row_id, folds, seed)
+    columns = [row_id, label, *features]
 
-    def run_fold(params: dict[str, float], fold: int) -> float:
+    def fold_rows(fold: int) -> DataFrame:
         held = F.col("fold") == fold
         fitted, valid = folded.where(~held), folded.where(held)
         if use_smote:
             fitted = oversample(fitted, features, label, row_id, seed=seed)
-        columns = [row_id, label, *features]
-        both = (
+        return materialize(
             fitted.select(*columns)
             .withColumn("is_validation", F.lit(False))
             .unionByName(valid.select(*columns).withColumn("is_validation", F.lit(True)))
         )
-        model = fit_boosted_trees(both, features, params, label, seed, "is_validation")
-        return auc_roc(score(model, valid, label, row_id), label).first()["auc_roc"]
+
+    written = [fold_rows(fold) for fold in range(folds)]
+
+    def run_fold(params: dict[str, float], fold: int) -> float:
+        model = fit_boosted_trees(written[fold], features, params, label, seed, "is_validation")
+        held = written[fold].where("is_validation")
+        return auc_roc(score(model, held, label, row_id), label).first()["auc_roc"]
 
     def run_trial(number: int) -> dict:
         params = candidates[number]

@@ -96,6 +96,6 @@ def with_label_codes(
     for c in present:
         if small[c] is None:
             stats = label_dictionary(source, c).withColumnsRenamed({"value": "_value", "rows": "_rows"})
-            joined = attach_by_key(result.withColumn("_value", _text(c)), stats, ["_value"], "_rows", row_id)
+            joined = attach_by_key(result.withColumn("_value", _text(c)), stats, ["_value"], "_rows", row_id, fit_on is None)
             result = joined.withColumn(c, F.coalesce(F.col("code"), F.lit(-1)).cast("long")).select(*order)
     return result

@@ -25,6 +25,11 @@ def _group(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame
     return df.where(present).groupBy(*keys).agg(F.count("*").alias("_rows"), *aggregates)
 
 
+def _own(fit_on: DataFrame | None, own_weights: bool | None) -> bool:
+    """Whether the statistics are of the rows themselves: by default if there is no ``fit_on``."""
+    return fit_on is None if own_weights is None else own_weights
+
+
 def with_amount_deviation(
     df: DataFrame,
     key: str = "card1",
@@ -33,6 +38,7 @@ def with_amount_deviation(
     mean_name: str = "amt_vs_card1_mean",
     zscore_name: str = "amt_vs_card1_zscore",
     fit_on: DataFrame | None = None,
+    own_weights: bool | None = None,
 ) -> DataFrame:
     """Distance of the amount from the key's mean, plain and in sample standard deviations."""
     stats = _group(
@@ -42,7 +48,7 @@ def with_amount_deviation(
         F.stddev_samp(amount).alias("_std"),
     )
     gap = F.col(amount) - F.col("_mean")
-    return attach_by_key(df, stats, [key], "_rows", row_id).select(
+    return attach_by_key(df, stats, [key], "_rows", row_id, _own(fit_on, own_weights)).select(
         *df.columns,
         gap.alias(mean_name),
         (gap / (F.coalesce(F.col("_std"), F.lit(1.0)) + F.lit(1e-8))).alias(zscore_name),
@@ -55,10 +61,11 @@ def with_group_count(
     name: str,
     row_id: str = "TransactionID",
     fit_on: DataFrame | None = None,
+    own_weights: bool | None = None,
 ) -> DataFrame:
     """Rows that share the row's key values; 0 if any key is missing."""
     stats = _group(fit_on if fit_on is not None else df, keys)
-    return attach_by_key(df, stats, keys, "_rows", row_id).select(
+    return attach_by_key(df, stats, keys, "_rows", row_id, _own(fit_on, own_weights)).select(
         *df.columns, F.coalesce(F.col("_rows"), F.lit(0)).cast("long").alias(name)
     )
 
@@ -68,11 +75,12 @@ def with_entity_counts(
     columns: Mapping[str, str] = DEFAULT_COUNTS,
     row_id: str = "TransactionID",
     fit_on: DataFrame | None = None,
+    own_weights: bool | None = None,
 ) -> DataFrame:
-    source = fit_on if fit_on is not None else df
+    source, own = fit_on if fit_on is not None else df, _own(fit_on, own_weights)
     for column, name in columns.items():
         if column in df.columns:
-            df = with_group_count(df, [column], name, row_id, source)
+            df = with_group_count(df, [column], name, row_id, source, own)
     return df
 
 
@@ -82,8 +90,9 @@ def with_pair_count(
     name: str = "card1_addr1_count",
     row_id: str = "TransactionID",
     fit_on: DataFrame | None = None,
+    own_weights: bool | None = None,
 ) -> DataFrame:
-    return with_group_count(df, keys, name, row_id, fit_on)
+    return with_group_count(df, keys, name, row_id, fit_on, own_weights)
 
 
 def with_entity_profile(
@@ -93,11 +102,12 @@ def with_entity_profile(
     frequency_name: str | None,
     row_id: str = "TransactionID",
     fit_on: DataFrame | None = None,
+    own_weights: bool | None = None,
 ) -> DataFrame:
     """Count and share of the row's value from one aggregation and one join."""
     source = fit_on if fit_on is not None else df
     total = source.agg(F.count(column).alias("_total"))
-    found = attach_by_key(df, _group(source, [column]), [column], "_rows", row_id)
+    found = attach_by_key(df, _group(source, [column]), [column], "_rows", row_id, _own(fit_on, own_weights))
     added = []
     if count_name:
         added.append(F.coalesce(F.col("_rows"), F.lit(0)).cast("long").alias(count_name))
@@ -112,10 +122,11 @@ def with_frequencies(
     columns: Mapping[str, str] = DEFAULT_FREQUENCIES,
     row_id: str = "TransactionID",
     fit_on: DataFrame | None = None,
+    own_weights: bool | None = None,
 ) -> DataFrame:
     """Share of the row's value among the non-missing values; 0.0 for missing or unknown."""
-    source = fit_on if fit_on is not None else df
+    source, own = fit_on if fit_on is not None else df, _own(fit_on, own_weights)
     for column, name in columns.items():
         if column in df.columns:
-            df = with_entity_profile(df, column, None, name, row_id, source)
+            df = with_entity_profile(df, column, None, name, row_id, source, own)
     return df

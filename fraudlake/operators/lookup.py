@@ -17,20 +17,28 @@ def attach_by_key(
     keys: Sequence[str],
     weight: str,
     row_id: str,
+    own_weights: bool = True,
 ) -> DataFrame:
     """Left join ``rows`` with ``stats`` (one row per key, ``weight`` = rows of that key).
 
-    The 256 heaviest keys are broadcast: that side has at most 256 rows whatever the data.
-    Their rows, and rows without a key, need no partner any more and are spread over the
-    shuffle by a hash of the row id. Every key left for the shuffled join holds less than
-    1/256 of the rows, so no task gets a hot group, and no key is dropped.
+    The heaviest keys, four per shuffle partition and at least 256, are broadcast: that side is
+    bounded whatever the data. Their rows, and rows without a key, need no partner any more and are
+    spread over the shuffle by a hash of the row id. Every key left for the shuffled join holds less
+    than a quarter of an even partition, so no task gets a hot group, and no key is dropped.
+
+    With ``own_weights=False`` the statistics are of other rows, and the heavy keys are counted
+    among ``rows``, where a key that the statistics lack may be heavy too.
     """
     keys = list(keys)
     values = [c for c in stats.columns if c not in keys]
     packed = F.struct(*values)
-    hot = (
-        stats.orderBy(F.desc(weight), *keys).limit(HOT_KEYS).select(*keys, packed.alias("_hot"))
-    )
+    most = max(HOT_KEYS, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    known = stats.select(*keys, packed.alias("_hot"), F.col(weight).alias("_weight"))
+    if not own_weights:
+        counted = rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_weight"))
+        heavy = counted.orderBy(F.desc("_weight"), *keys).limit(most)
+        known = heavy.join(known.drop("_weight"), keys, "left")
+    hot = known.orderBy(F.desc("_weight"), *keys).limit(most).select(*keys, "_hot", F.lit(True).alias("_heavy"))
     # Always 0, but from a column: a literal would be folded out of the join keys, and the
     # rows would then be shuffled by the key alone.
     lane_zero = F.least(F.col(weight), F.lit(0).cast("long"))
@@ -39,7 +47,7 @@ def attach_by_key(
     complete = F.lit(True)
     for key in keys:
         complete = complete & F.col(key).isNotNull()
-    lane = F.when(complete & F.col("_hot").isNull(), F.lit(0).cast("long")).otherwise(
+    lane = F.when(complete & F.col("_heavy").isNull(), F.lit(0).cast("long")).otherwise(
         F.pmod(F.xxhash64(F.col(row_id)), F.lit(SPREAD)) + 1
     )
     placed = rows.join(F.broadcast(hot), keys, "left").withColumn("_lane", lane)

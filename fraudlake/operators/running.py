@@ -7,13 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 1024
-
-
-def _cell(value: Column, low: Column, high: Column) -> Column:
-    """0 .. CELLS by position between ``low`` and ``high``; non-decreasing in ``value``."""
-    position = F.try_divide((value - low) * CELLS, high - low)
-    return F.floor(F.coalesce(position, F.lit(0.0))).cast("int")
+from fraudlake.session import materialize
 
 
 def running_totals(
@@ -21,56 +15,29 @@ def running_totals(
 ) -> DataFrame:
     """``df`` plus running sums in the order of the numeric column ``by`` (then ``ties``).
 
-    ``by`` (with ``ties``) must order the rows uniquely. Its range is cut into 1024 cells, and
-    each cell into 1024 smaller ones over the values that really occur in it. A row's total is
-    that of the cells before its cell, of the smaller cells before its smaller cell, and of the
-    rows before it there. The windows over cells see at most 1025 rows each, the broadcast
-    table of cells has at most 1025 rows, and the rows meet only inside their smaller cell.
-
-    ``df`` is read four times, so pass a written table rather than a long plan.
+    ``by`` (with ``ties``) must order the rows uniquely. The rows are dealt to ranges of that order
+    by a range exchange, which cuts at sampled quantiles, so the ranges are even however the values
+    pile up; the copy is written with the number of each row's range. A row's total is that of the
+    ranges before its own and of the rows before it there. There are as many ranges as shuffle
+    partitions: the window over ranges sees, and the broadcast holds, one row for each.
     """
-    order = F.desc if descending else F.asc
-    earlier = (Window.unboundedPreceding, -1)
-
-    def before(window: Window, name: str) -> Column:
-        return F.coalesce(F.sum(name).over(window), F.lit(0))
-
-    summed = df.withColumns({f"_{n}": c for n, c in sums.items()})
-    value = F.col(by).cast("double")
-    low, high = df.agg(F.min(value), F.max(value)).first()
-    outer_cell = _cell(value, F.lit(low).cast("double"), F.lit(high).cast("double"))
-    placed = summed.withColumn("_outer", outer_cell)
-
-    over_cells = Window.orderBy(order("_outer")).rowsBetween(*earlier)
-    outer = (
-        placed.groupBy("_outer")
-        .agg(
-            F.min(value).alias("_low"),
-            F.max(value).alias("_high"),
-            *[F.sum(f"_{n}").alias(f"_{n}") for n in sums],
-        )
-        .select(
-            "_outer", "_low", "_high", *[before(over_cells, f"_{n}").alias(f"_outer_{n}") for n in sums]
-        )
-    )
-    refined = placed.join(F.broadcast(outer), "_outer").withColumn(
-        "_inner", _cell(value, F.col("_low"), F.col("_high"))
+    order = [F.desc(by) if descending else F.asc(by), *([F.asc(ties)] if ties else [])]
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(
+        df.withColumns({f"_{n}": c for n, c in sums.items()})
+        .repartitionByRange(ranges, *order)
+        .withColumn("_range", F.spark_partition_id())
     )
-    over_inner = Window.partitionBy("_outer").orderBy(order("_inner")).rowsBetween(*earlier)
-    inner = (
-        refined.groupBy("_outer", "_inner")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_range")
         .agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in sums])
-        .select("_outer", "_inner", *[before(over_inner, f"_{n}").alias(f"_inner_{n}") for n in sums])
+        .select("_range", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in sums])
     )
     rows = (
-        Window.partitionBy("_outer", "_inner")
-        .orderBy(order(by), *([F.asc(ties)] if ties else []))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return refined.join(inner, ["_outer", "_inner"]).select(
+    return ranged.join(F.broadcast(offsets), "_range").select(
         *df.columns,
-        *[
-            (F.sum(f"_{n}").over(rows) + F.col(f"_outer_{n}") + F.col(f"_inner_{n}")).alias(n)
-            for n in sums
-        ],
+        *[(F.sum(f"_{n}").over(rows) + F.col(f"_before_{n}")).alias(n) for n in sums],
     )

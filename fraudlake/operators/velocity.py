@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expressions import DAY, HOUR
+from fraudlake.session import materialize
 
 DEFAULT_WINDOWS = {"tx_count_card1_1h": HOUR, "tx_count_card1_24h": DAY}
-TIE_CHUNK = 1 << 20
 BLOCK_WINDOWS = 4
 
 
@@ -24,62 +24,59 @@ def trailing_counts(
     """(row_id, one count per window) for the rows that have a key and a time.
 
     A row counts the rows of its key at most W seconds older, and those of the same second
-    with a smaller id. No group grows with the share of one key:
-
-    * rows are first folded into cells (key, second, chunk of 2^20 consecutive ids);
-    * the trailing sums run over cells inside time blocks of 4 windows, where the cells of
-      the last window of a block are also given to the next block;
-    * ties are ranked by id inside one cell, which can hold at most 2^20 rows.
-
-    The plan has three exchanges of narrow rows: the cells, the blocks, and the way back.
+    with a smaller id. No group grows with the share of one key, however ids run:
+
+    * rows are dealt to ranges of the id, cut at sampled quantiles, and written narrow; they are
+      folded into cells (key, second, range), so a second with very many rows is split evenly;
+    * the trailing sums run over seconds inside time blocks of 4 windows, where the seconds of
+      the last window of a block are also given to the next block: a block has at most as many
+      rows as seconds;
+    * inside a second, whole ranges are added up, one row each, and only the rows of one cell
+      are ranked by id.
     """
     longest = max(windows.values())
     block_size = BLOCK_WINDOWS * longest
-    cell = [key, time, "_chunk"]
+    second, cell = [key, time], [key, time, "_chunk"]
 
-    rows = (
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(
         df.select(row_id, key, time)
         .where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        .withColumn("_chunk", F.coalesce(F.floor(F.col(row_id) / TIE_CHUNK), F.lit(0).cast("long")))
-        .repartition(*cell)
-    )
+        .repartitionByRange(ranges, row_id)
+        .withColumn("_chunk", F.spark_partition_id())
+    ).repartition(*cell)
     # Counting the ids keeps the columns of both uses of ``rows`` equal, so they share one
     # exchange.
     cells = rows.groupBy(*cell).agg(F.count(row_id).alias("_n"))
 
     own = F.floor(F.col(time) / block_size)
     late = F.col(time) - own * block_size >= block_size - longest
-    placed = cells.withColumn("_own", own).withColumn(
+    seconds = cells.groupBy(*second).agg(F.sum("_n").alias("_n"))
+    placed = seconds.withColumn("_own", own).withColumn(
         "_block", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own)))
     )
-    block = Window.partitionBy(key, "_block")
-    by_time = block.orderBy(time)
-    by_cell = block.orderBy(time, "_chunk")
+    by_time = Window.partitionBy(key, "_block").orderBy(time)
 
     def total(window: Window) -> Column:
         return F.coalesce(F.sum("_n").over(window), F.lit(0))
 
-    # The finer order first: its sort also serves the windows ordered by time alone.
-    running = placed.withColumn(
-        "_earlier_cells", total(by_cell.rowsBetween(Window.unboundedPreceding, -1))
-    )
-    earlier_seconds = total(by_time.rangeBetween(Window.unboundedPreceding, -1))
     sums = (
-        running.select(
-            *cell,
+        placed.select(
+            *second,
             "_own",
             "_block",
-            (F.col("_earlier_cells") - earlier_seconds).alias("_ties"),
             *[total(by_time.rangeBetween(-w, -1)).alias(name) for name, w in windows.items()],
         )
         .where(F.col("_block") == F.col("_own"))
         .drop("_own", "_block")
     )
+    earlier_ids = Window.partitionBy(*second).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    of_cell = cells.withColumn("_ties", total(earlier_ids)).drop("_n").join(sums, second)
 
     rank = F.row_number().over(Window.partitionBy(*cell).orderBy(row_id)) - 1
     return (
         rows.withColumn("_rank", rank)
-        .join(sums, cell)
+        .join(of_cell, cell)
         .select(
             row_id,
             *[(F.col(n) + F.col("_ties") + F.col("_rank")).cast("long").alias(n) for n in windows],

@@ -68,11 +68,11 @@ def keyed_features(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
         "R_emaildomain",
     ]
     rows = df.select(*[c for c in needed if c in df.columns])
-    source = fit_on if fit_on is not None else rows
+    learned = {"fit_on": fit_on if fit_on is not None else rows, "own_weights": fit_on is None}
     inputs = rows.columns
-    result = with_amount_deviation(rows, fit_on=source)
+    result = with_amount_deviation(rows, **learned)
     if "addr1" in inputs:
-        result = with_pair_count(result, fit_on=source)
+        result = with_pair_count(result, **learned)
     for column, count_name in (
         ("DeviceInfo", "tx_count_device"),
         ("P_emaildomain", "tx_count_pdomain"),
@@ -80,7 +80,7 @@ def keyed_features(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     ):
         if column in inputs:
             result = with_entity_profile(
-                result, column, count_name, f"{column}_freq", fit_on=source
+                result, column, count_name, f"{column}_freq", **learned
             )
     added = [ROW_ID, *[c for c in result.columns if c not in inputs]]
     return (

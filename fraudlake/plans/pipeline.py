@@ -18,7 +18,7 @@ from fraudlake.operators.segment import risk_segments
 from fraudlake.operators.split import stratified_split
 from fraudlake.plans import checks, reports
 from fraudlake.plans.engineer import engineer_features, stored
-from fraudlake.session import build_session, ensure_checkpoint_dir
+from fraudlake.session import build_session, copies_released, ensure_checkpoint_dir
 from fraudlake.sources import readers, tables
 from fraudlake.sources.tables import TableStore, write_report
 
@@ -76,7 +76,8 @@ class Pipeline:
             return 1
         for step in steps:
             log.info("step %s", step)
-            getattr(self, step)()
+            with copies_released(self.spark):
+                getattr(self, step)()
         return 0
 
     def ingest(self) -> None:

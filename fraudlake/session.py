@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths of the copies that ``materialize`` made and nothing has deleted yet.
+_copies: list[str] = []
+
+
 def build_session(app_name: str = "fraudlake", **conf: str) -> SparkSession:
     """A session with the settings the library relies on; master and sizes come from spark-submit."""
     builder = (
@@ -49,14 +55,44 @@ def materialize(df: DataFrame) -> DataFrame:
     """``df`` written once as parquet to the shared checkpoint folder and read back.
 
     For a frame that a plan reads several times. The copy survives the loss of executors, cuts
-    the lineage and can still be pruned by column.
+    the lineage and can still be pruned by column. It stays until ``copies_released`` or the
+    driver ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    _copies.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete copies, on whatever file system they are."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+
+
+@contextlib.contextmanager
+def copies_released(spark: SparkSession) -> Iterator[None]:
+    """Deletes the copies that were made inside, for a step whose results have been written."""
+    start = len(_copies)
+    try:
+        yield
+    finally:
+        made = _copies[start:]
+        del _copies[start:]
+        release(spark, made)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _copies else None
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the session may be ending
+            release(spark, _copies)
+
+
 _ARROW_TYPES = {
     "long": pa.int64(),
     "int": pa.int32(),

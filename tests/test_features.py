@@ -55,9 +55,9 @@ def test_velocity_equals_brute_force(spark, events):
 
 def test_velocity_across_blocks_and_id_chunks(spark):
     rng = random.Random(5)
-    ids = rng.sample(range(0, 5 * velocity.TIE_CHUNK), 300)
-    rows = [(i, rng.choice([1, 1, 1, 2]), rng.randrange(0, 400)) for i in ids]
-    rows += [(i + 10 * velocity.TIE_CHUNK, 1, 77) for i in rng.sample(range(3 << 20), 60)]
+    ids = [rng.getrandbits(63) - (1 << 62) for _ in range(360)]  # as hashed ids are: in no order of time
+    rows = [(i, rng.choice([1, 1, 1, 2]), rng.randrange(0, 400)) for i in ids[:300]]
+    rows += [(i, 1, 77) for i in ids[300:]]
     got = velocity_of(spark, rows, {"w": 30})
     assert {i: v[0] for i, v in got.items()} == brute_velocity(rows, 30)
 
@@ -73,6 +73,25 @@ def test_velocity_has_no_window_over_a_whole_key(spark):
             assert "_block" in line or "_chunk" in line
 
 
+def test_velocity_splits_a_second_that_has_most_rows(spark):
+    df = spark.range(20_000).selectExpr(
+        "xxhash64(id) AS TransactionID", "1L AS card1", "IF(id % 3 = 0, id, 50L) AS TransactionDT"
+    )
+    plan = velocity.trailing_counts(df, windows={"w": 10})
+    assert plan.agg(F.max("w")).first()[0] >= 13_333 - 1
+    cells = df.repartitionByRange(4, "TransactionID").withColumn("c", F.spark_partition_id())
+    assert cells.where("TransactionDT = 50").groupBy("c").count().agg(F.max("count")).first()[0] < 20_000 / 2
+
+
+@pytest.mark.parametrize("seen", [True, False])
+def test_heavy_keys_unknown_to_the_statistics_are_spread(spark, seen):
+    df = spark.range(3000).selectExpr("id AS TransactionID", "IF(id % 3 = 0, id, -1L) AS k")
+    fit = df if seen else df.where("k >= 0")
+    got = by_id(entity.with_group_count(df, ["k"], "n", fit_on=fit), "k", "n")
+    assert len(got) == 3000
+    assert all(n == (1 if k >= 0 else 2000 if seen else 0) for k, n in got.values())
+
+
 @pytest.mark.parametrize("hot_keys", [1, 256])
 def test_attach_by_key_is_exact_for_hot_cold_and_missing_keys(spark, monkeypatch, hot_keys):
     monkeypatch.setattr(lookup, "HOT_KEYS", hot_keys)
