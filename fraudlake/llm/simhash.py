@@ -156,10 +156,10 @@ def near_duplicate_classes(
     prints = stash(with_fingerprint(named, [f"c{i}" for i in range(len(kept))], "text", width))
     first = prints.groupBy("fp").agg(F.min("c0").alias("first_id"))
     labels = components(stash(linked_pairs(prints, max_distance))).withColumnRenamed("node", "fp")
-    smallest = labels.join(first, "fp").groupBy("label").agg(F.min("first_id").alias("smallest"))
+    smallest = stash(labels.join(first, "fp").groupBy("label").agg(F.min("first_id").alias("smallest")))
     linked = labels.join(smallest, "label").select("fp", "label", "smallest")
-    # Written, so that the last join is one of two plain tables: there Spark splits the partition of
-    # a fingerprint that very many rows have.
+    # Both written, so that the joins are of two plain tables: there Spark splits the partition of a
+    # class that very many fingerprints have, and of a fingerprint that very many rows have.
     of_class = stash(
         first.join(linked, "fp", "left").select(
             F.col("fp").alias("_fp"),
