@@ -6,15 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fraudlake.functions.expressions import flag_code
-from fraudlake.operators.lookup import attach_by_key
+from fraudlake.operators.running import running_totals
+from fraudlake.session import materialize
 
 # The columns that get codes, and the label of a missing value.
 LABEL_COLUMNS = ["card4", "card6", "ProductCD", "DeviceType"]
 MISSING = "__missing__"
-MAX_LITERAL_LABELS = 1000
 
 
 def with_flag_codes(df: DataFrame, flags: Sequence[str] | None = None) -> DataFrame:
@@ -27,75 +26,32 @@ def _text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
 
 
-def small_dictionaries(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str] | None]:
-    """Sorted distinct values per column, or None for a column with too many for literals.
-
-    One scan for all columns; a column brings at most ``MAX_LITERAL_LABELS`` + 1 values to the
-    driver, enough to see whether it is within the bound.
-    """
-    pairs = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("name"), _text(c).alias("value")) for c in columns])
-        ).alias("pair")
-    ).select("pair.name", "pair.value")
-    distinct = pairs.distinct()
-    sizes = {r["name"]: r["n"] for r in distinct.groupBy("name").agg(F.count("*").alias("n")).collect()}
-    within = [c for c in columns if sizes.get(c, 0) <= MAX_LITERAL_LABELS]
-    found: dict[str, list[str] | None] = {c: None for c in columns}
-    found.update({c: [] for c in within})
-    for row in distinct.where(F.col("name").isin(within)).collect():
-        found[row["name"]].append(row["value"])
-    for c in within:
-        found[c].sort()
-    return found
-
-
 def label_dictionary(df: DataFrame, column: str) -> DataFrame:
     """(value, code, rows) with code = 0-based rank in code-point order, for any number of values.
 
-    The sort is a range exchange and the index is built from per-partition counts, so the
-    values of a large dictionary never meet in one task.
+    The ranks are running counts over ranges of the values, so the values of a large dictionary
+    never meet in one task.
     """
     counted = df.groupBy(_text(column).alias("value")).agg(F.count("*").alias("rows"))
-    schema = T.StructType(
-        [
-            T.StructField("value", T.StringType()),
-            T.StructField("rows", T.LongType()),
-            T.StructField("code", T.LongType()),
-        ]
-    )
-    indexed = counted.orderBy("value").rdd.zipWithIndex().map(lambda p: (p[0][0], p[0][1], p[1]))
-    return df.sparkSession.createDataFrame(indexed, schema)
+    ranked = running_totals(counted, "value", {"code": F.lit(1).cast("long")})
+    return materialize(ranked.withColumn("code", F.col("code") - 1))
 
 
 def with_label_codes(
     df: DataFrame,
     columns: Sequence[str] = tuple(LABEL_COLUMNS),
-    row_id: str = "TransactionID",
     fit_on: DataFrame | None = None,
 ) -> DataFrame:
     """Replace each category by its code; a value unknown to ``fit_on`` gets -1.
 
-    Dictionaries up to ``MAX_LITERAL_LABELS`` values become a map literal: no join, no shuffle
-    of the rows. Larger ones are joined.
+    The rows are joined with the written dictionary, whose size Spark knows: it broadcasts a small
+    one, and the rows are then not moved.
     """
-    present = [c for c in columns if c in df.columns]
-    if not present:
-        return df
-    source = fit_on if fit_on is not None else df
-    small = small_dictionaries(source, present)
-    replaced = {}
-    for c in present:
-        labels = small[c]
-        if labels:
-            entries = [F.lit(x) for i, label in enumerate(labels) for x in (label, i)]
-            code = F.try_element_at(F.create_map(*entries), _text(c))
-            replaced[c] = F.coalesce(code, F.lit(-1)).cast("long")
     order = df.columns
-    result = df.withColumns(replaced) if replaced else df
-    for c in present:
-        if small[c] is None:
-            stats = label_dictionary(source, c).withColumnsRenamed({"value": "_value", "rows": "_rows"})
-            joined = attach_by_key(result.withColumn("_value", _text(c)), stats, ["_value"], "_rows", row_id, fit_on is None)
-            result = joined.withColumn(c, F.coalesce(F.col("code"), F.lit(-1)).cast("long")).select(*order)
+    source = fit_on if fit_on is not None else df
+    result = df
+    for c in [c for c in columns if c in order]:
+        codes = label_dictionary(source, c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        joined = result.join(codes, _text(c) == F.col("_value"), "left")
+        result = joined.withColumn(c, F.coalesce(F.col("_code"), F.lit(-1)).cast("long")).select(*order)
     return result

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.functions.expressions import hash_order
 from fraudlake.operators.running import running_totals
-from fraudlake.operators.split import rank_cutoffs
+from fraudlake.operators.split import first_key
 from fraudlake.session import materialize
 
 BLOCK_ROWS = 2048
@@ -129,7 +129,7 @@ def synthetic_minority(
         F.array_sort(F.collect_list(F.struct("rank", "neighbor"))).alias("near")
     )
 
-    cut = rank_cutoffs(points, None, row_id, seed, lambda n: [extra])[0][0]
+    cut = first_key(points, row_id, seed, extra)
     copies = F.lit(each)
     if cut is not None:
         copies = copies + (hash_order(F.col(row_id), seed) <= F.lit(cut)).cast("int")

@@ -2,7 +2,8 @@
 
 Rows are ordered by a seeded hash of their id. A split is a set of ranks in that order, and a
 set of ranks is described by a few cut-off hashes per class. Finding the cut-offs takes narrow
-aggregations; applying them is a comparison per row, so wide rows are never shuffled or sorted.
+aggregations; applying them is a join with the small table of cut-offs, one row per class, which
+Spark broadcasts or shuffles by its size, and a comparison per row.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.functions.expressions import hash_order
-from fraudlake.session import small_table
+from fraudlake.session import materialize
 
 PREFIX_DIGITS = 3
-MAX_CLASSES = 1000
+GROUP_ROWS = 1 << 16
+HASH_DIGITS = 32
 # Fixed value: the class weight is a constant of the assumed rate, not a measurement.
 FRAUD_RATE = 0.035
 POSITIVE_WEIGHT = (1 - FRAUD_RATE) / FRAUD_RATE
@@ -27,66 +29,65 @@ def rank_cutoffs(
     stratum: str | None,
     row_id: str,
     seed: int,
-    targets: Callable[[int], list[int]],
-) -> dict[object, list[str | None]]:
-    """Per class, the order key at each wanted rank (``targets`` maps class size to ranks).
+    targets: Callable[[Column], list[Column]],
+) -> DataFrame:
+    """``(class, cuts)``: per class the order key at each wanted rank, by number of the rank.
 
-    Rank 0 gives None. Two passes over (class, id): the first counts the rows per class and
-    leading hash digits (4096 groups per class), the second ranks only inside the groups that
-    contain a wanted rank, each about 1/4096 of its class because the hash is uniform.
+    ``targets`` makes the ranks from the class size; rank 0 has no key. Classes that are null have
+    no row. Rows are counted by three more leading hash digits in each pass, only in the groups that
+    hold a wanted rank, until these have at most 2^16 rows; only those are ranked. Any number of
+    classes is possible, and no group that is sorted grows with the table.
     """
     keyed = df.select(
         (F.col(stratum) if stratum else F.lit(0)).alias("class"),
         hash_order(F.col(row_id), seed).alias("key"),
-    ).withColumn("prefix", F.substring("key", 1, PREFIX_DIGITS))
-
-    sizes = {
-        r["class"]: r["n"]
-        for r in keyed.groupBy("class")
-        .agg(F.count("*").alias("n"))
-        .orderBy("class")
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    }
-    if len(sizes) > MAX_CLASSES:
-        raise ValueError(f"{stratum} has more than {MAX_CLASSES} classes")
-    ranks = {c: targets(n) for c, n in sizes.items()}
-    pairs = sorted({(c, r) for c, rs in ranks.items() for r in rs if r > 0 and c is not None})
-    if not pairs:
-        return {c: [None] * len(rs) for c, rs in ranks.items()}
-    kind = "string" if isinstance(pairs[0][0], str) else "long"
-    wanted = F.broadcast(small_table(df.sparkSession, pairs, f"class {kind}, rank long"))
-
-    upto = F.sum("n").over(Window.partitionBy("class").orderBy("prefix"))
-    groups = (
-        keyed.groupBy("class", "prefix")
-        .agg(F.count("*").alias("n"))
-        .withColumn("before", upto - F.col("n"))
-        .join(wanted, "class")
-        .where((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n")))
-        .select("class", "prefix", (F.col("rank") - F.col("before")).alias("local"), "rank")
+    ).where("class is not null")
+    sizes = keyed.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    ranks = F.array(*[t.cast("long") for t in targets(F.col("n"))])
+    open_ = materialize(
+        sizes.select("class", "n", F.posexplode(ranks).alias("i", "local"))
+        .where("local > 0")
+        .withColumn("prefix", F.lit(""))
     )
-    # One row per class and wanted rank, at most MAX_CLASSES times the number of cut-offs.
+    digits = 0
+    while digits < HASH_DIGITS:
+        if (open_.agg(F.max("n")).first()[0] or 0) <= GROUP_ROWS:
+            break
+        digits += PREFIX_DIGITS
+        parents = open_.select("class", "prefix").distinct()
+        counted = (
+            keyed.withColumn("prefix", F.substring("key", 1, digits - PREFIX_DIGITS))
+            .join(parents, ["class", "prefix"])
+            .groupBy("class", "prefix", F.substring("key", 1, digits).alias("longer"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+        )
+        upto = F.sum("_n").over(Window.partitionBy("class", "prefix").orderBy("longer"))
+        open_ = materialize(
+            counted.withColumn("before", upto - F.col("_n"))
+            .join(open_.drop("n"), ["class", "prefix"])
+            .where("before < local and local <= before + _n")
+            .select("class", F.col("_n").alias("n"), "i", (F.col("local") - F.col("before")).alias("local"), F.col("longer").alias("prefix"))
+        )
     position = F.row_number().over(Window.partitionBy("class", "prefix").orderBy("key"))
-    needed = groups.select("class", "prefix").distinct()
-    keys = (
-        keyed.join(F.broadcast(needed), ["class", "prefix"])
-        .withColumn("local", position)
-        .join(F.broadcast(groups), ["class", "prefix", "local"])
-        .select("class", "rank", "key")
+    located = (
+        keyed.withColumn("prefix", F.substring("key", 1, digits) if digits else F.lit(""))
+        .join(open_.select("class", "prefix").distinct(), ["class", "prefix"])
+        .withColumn("local", position.cast("long"))
+        .join(open_.drop("n"), ["class", "prefix", "local"])
     )
-    found = {(r["class"], r["rank"]): r["key"] for r in keys.collect()}
-    return {c: [found.get((c, r)) for r in rs] for c, rs in ranks.items()}
+    cuts = F.map_from_entries(F.collect_list(F.struct("i", "key")))
+    return materialize(located.groupBy("class").agg(cuts.alias("cuts")))
+
 
+def _with_cuts(df: DataFrame, cuts: DataFrame, stratum: str) -> DataFrame:
+    named = cuts.select(F.col("class").alias("_class"), F.col("cuts").alias("_cuts"))
+    return df.join(named, F.col(stratum) == F.col("_class"), "left").drop("_class")
 
-def _pick(stratum: str | None, per_class: dict[object, Column], default: Column) -> Column:
-    if stratum is None:
-        return per_class.get(0, default)
-    result = None
-    for value, column in per_class.items():
-        condition = F.col(stratum).eqNullSafe(F.lit(value))
-        result = F.when(condition, column) if result is None else result.when(condition, column)
-    return default if result is None else result.otherwise(default)
+
+def first_key(df: DataFrame, row_id: str, seed: int, rank: int) -> str | None:
+    """The order key of the row at ``rank``, of the last row if there are fewer; None for rank 0."""
+    found = rank_cutoffs(df, None, row_id, seed, lambda n: [F.least(n, F.lit(rank))]).first()
+    return found["cuts"].get(0) if found else None
 
 
 def with_test_flag(
@@ -97,13 +98,10 @@ def with_test_flag(
     seed: int = 42,
     name: str = "is_test",
 ) -> DataFrame:
-    """Mark round(share * n) rows of every class for the hold-out."""
-    cuts = rank_cutoffs(df, label, row_id, seed, lambda n: [int(n * test_share + 0.5)])
-    key = hash_order(F.col(row_id), seed)
-    flags = {
-        c: (key <= F.lit(cut)) if cut is not None else F.lit(False) for c, (cut,) in cuts.items()
-    }
-    return df.withColumn(name, _pick(label, flags, F.lit(False)))
+    """Mark round(share * n) rows of every class for the hold-out; rows without a class are not in it."""
+    cuts = rank_cutoffs(df, label, row_id, seed, lambda n: [F.floor(n * test_share + 0.5)])
+    inside = hash_order(F.col(row_id), seed) <= F.col("_cuts")[0]
+    return _with_cuts(df, cuts, label).select(*df.columns, F.coalesce(inside, F.lit(False)).alias(name))
 
 
 def stratified_split(
@@ -130,22 +128,18 @@ def with_fold(
 ) -> DataFrame:
     """Fold number 0..k-1; per class the fold sizes differ by at most one."""
     cuts = rank_cutoffs(
-        df, label, row_id, seed, lambda n: [(f + 1) * n // folds for f in range(folds - 1)]
+        df, label, row_id, seed, lambda n: [F.floor((f + 1) * n / folds) for f in range(folds - 1)]
     )
     key = hash_order(F.col(row_id), seed)
-    numbers = {}
-    for c, keys in cuts.items():
-        fold = F.lit(folds - 1)
-        for f in reversed(range(folds - 1)):
-            if keys[f] is not None:
-                fold = F.when(key <= F.lit(keys[f]), F.lit(f)).otherwise(fold)
-        numbers[c] = fold
-    return df.withColumn(name, _pick(label, numbers, F.lit(folds - 1)).cast("long"))
+    fold = F.lit(folds - 1)
+    for f in reversed(range(folds - 1)):
+        fold = F.when(key <= F.col("_cuts")[f], F.lit(f)).otherwise(fold)
+    return _with_cuts(df, cuts, label).select(*df.columns, fold.cast("long").alias(name))
 
 
 def sample_rows(df: DataFrame, n: int, row_id: str = "TransactionID", seed: int = 42) -> DataFrame:
     """Exactly min(n, all) rows, repeatable, picked by a filter and not by a sort of wide rows."""
-    cut = rank_cutoffs(df, None, row_id, seed, lambda size: [min(n, size)]).get(0, [None])[0]
+    cut = first_key(df, row_id, seed, n)
     if cut is None:
         return df.where(F.lit(False))
     return df.where(hash_order(F.col(row_id), seed) <= F.lit(cut))

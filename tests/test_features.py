@@ -182,9 +182,9 @@ def test_flags_as_text_and_as_boolean(spark):
     assert by_id(encoding.with_flag_codes(flags), "M1_enc") == {1: (1,), 2: (0,), 3: (-1,)}
 
 
-@pytest.mark.parametrize("bound", [1000, 1])
-def test_label_codes_are_ranks_in_code_point_order(spark, monkeypatch, bound):
-    monkeypatch.setattr(encoding, "MAX_LITERAL_LABELS", bound)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_label_codes_are_ranks_in_code_point_order(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     df = spark.createDataFrame(
         [(1, "visa", "x"), (2, None, "x"), (3, "Amex", "x"), (4, "visa", "x")],
         "TransactionID long, card4 string, card6 string",
@@ -192,6 +192,16 @@ def test_label_codes_are_ranks_in_code_point_order(spark, monkeypatch, bound):
     coded = encoding.with_label_codes(df)
     assert coded.columns == df.columns
     assert by_id(coded, "card4", "card6") == {1: (2, 0), 2: (1, 0), 3: (0, 0), 4: (2, 0)}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_label_codes_of_many_values_and_of_an_empty_dictionary(spark):
+    df = spark.range(3000).selectExpr("id AS TransactionID", "CAST(id % 1500 AS STRING) AS card4")
+    coded = by_id(encoding.with_label_codes(df), "card4")
+    order = {v: i for i, v in enumerate(sorted(map(str, range(1500))))}
+    assert all(code == order[str(i % 1500)] for i, (code,) in coded.items())
+    unknown = encoding.with_label_codes(df, fit_on=df.limit(0))
+    assert unknown.dtypes[1] == ("card4", "bigint") and unknown.select("card4").distinct().collect() == [(-1,)]
 
 
 def test_sparse_threshold_is_strict(spark):

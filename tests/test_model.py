@@ -143,7 +143,18 @@ def test_split_and_folds_are_exact_per_class(spark, planted):
 
 def test_split_moves_no_rows(spark, planted):
     plan = split.with_test_flag(planted)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    # The cut-offs are broadcast by their size; the rows stay where they are.
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+
+
+def test_splits_refine_groups_and_take_any_number_of_classes(spark, monkeypatch):
+    monkeypatch.setattr(split, "GROUP_ROWS", 3)
+    df = spark.range(20_000).selectExpr("id AS TransactionID", "IF(id < 10000, -1L, id % 1200) AS isFraud")
+    sizes = {r[0]: (r[1], r[2]) for r in split.with_test_flag(df).groupBy("isFraud").agg(F.count("*"), F.count_if("is_test")).collect()}
+    assert len(sizes) == 1201 and all(test == int(n * 0.2 + 0.5) for n, test in sizes.values())
+    folds = split.with_fold(df).groupBy("isFraud", "fold").count().where("isFraud = -1").collect()
+    assert sorted(r["count"] for r in folds) == [3333, 3333, 3334]
+    assert split.sample_rows(df, 777).count() == 777
 
 
 def test_tiny_classes_split_and_fold(spark):
