@@ -263,7 +263,7 @@ def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     featured = engineer.engineer_features(materialize(merged(spark, sf_dir)))
     return boosting.feature_matrix(
-        featured.select("TransactionID", "isFraud", *FIXTURE_FEATURES)
+        materialize(featured.select("TransactionID", "isFraud", *FIXTURE_FEATURES))
     )
 
 
@@ -302,8 +302,7 @@ def smote_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written_model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """As in the batch job, where the features are a table before anything is fitted."""
-    rows, features = _model_rows(spark, sf_dir)
-    return materialize(rows), features
+    return _model_rows(spark, sf_dir)
 
 
 def _fitted(spark: SparkSession, sf_dir: str):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -51,9 +52,18 @@ def feature_matrix(
     df: DataFrame, label: str = "isFraud", row_id: str = "TransactionID"
 ) -> tuple[DataFrame, list[str]]:
     """Id, label and the numeric features as doubles; what imputation left missing becomes a
-    value below every real one, so a split can set the missing rows apart."""
+    value below every real one, so a split can set the missing rows apart.
+
+    That is MISSING_VALUE, or the next number below the column's least value where that is not
+    above it; one scan finds the least values.
+    """
     features = numeric_columns(df, [*NOT_FEATURES, label, row_id])
-    filled = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING_VALUE)).alias(c) for c in features]
+    least = df.agg(*[F.min(F.col(c).cast("double")).alias(c) for c in features]).first() if features else {}
+    marks = {
+        c: MISSING_VALUE if least[c] is None or least[c] > MISSING_VALUE else math.nextafter(least[c], -math.inf)
+        for c in features
+    }
+    filled = [F.coalesce(F.col(c).cast("double"), F.lit(marks[c])).alias(c) for c in features]
     return df.select(row_id, F.col(label).cast("long").alias(label), *filled), features
 
 

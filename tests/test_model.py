@@ -295,6 +295,9 @@ def test_matrix_keeps_numbers_and_marks_missing(spark):
     )
     matrix, features = boosting.feature_matrix(df)
     assert features == ["D1", "n"] and matrix.first()[:] == (1, 0, boosting.MISSING_VALUE, 2.0)
+    low = spark.createDataFrame([(1, 0, -5e6), (2, 0, None)], "TransactionID long, isFraud long, D1 double")
+    values = {r[0]: r[2] for r in boosting.feature_matrix(low)[0].collect()}
+    assert values[2] < values[1] == -5e6
 
 
 def test_constant_column_has_no_correlation(spark):
