@@ -38,18 +38,25 @@ TOKEN = re.compile(
     re.S,
 )
 MARKED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Words of class that describe a page and not the element's part in it (has-sidebar, comments-open).
+STATE = re.compile(r"(?:has|no|with|without|is|layout)[-_]|.*[-_](?:open|closed|enabled|disabled)$", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|(?<![\w-])hidden(?![\w-])(?!\s*=\s*[\"']?false)", re.I)
 
 
 def is_furniture(name: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element is page furniture by name or marks. A header in the main text is kept."""
+    """Whether an element is page furniture by name or marks. A header in the main text is kept.
+
+    An article or main element is furniture only if a word of its marks begins like one.
+    """
     if name in FURNITURE or (name == "header" and not in_main):
         return True
     if not attributes or name in ("html", "body"):
         return False
     if HIDDEN.search(attributes):
         return True
-    return any(MARKS.search(a or b or c) for a, b, c in MARKED.findall(attributes))
+    words = (w for found in MARKED.findall(attributes) for w in "".join(found).split())
+    find = MARKS.match if name in MAIN else MARKS.search
+    return any(find(w) for w in words if not STATE.match(w))
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
@@ -63,6 +70,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     linked = 0
     stack: list[tuple[str, bool]] = []  # open elements that matter, and whether each is furniture
     furniture = main = links = 0
+    seen_main = False
     at, end = 0, len(page)
 
     def close_line() -> None:
@@ -118,14 +126,15 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             continue
         if name == "p" and stack and stack[-1][0] == "p":
             leave(len(stack) - 1)  # a paragraph ends the one before
-        if name in MAIN and not main and not MARKED.search(attributes) and furniture:
-            leave(0)  # furniture that was never closed ends where the main text begins
         marked = is_furniture(name, attributes, main > 0)
+        if name in MAIN and furniture and not marked and not seen_main:
+            leave(0)  # furniture that was never closed ends where the main text begins
         if marked and not furniture:
             close_line()
             lines.append(("", 0, False))
         furniture += marked
         main += name in MAIN and not marked
+        seen_main |= main > 0
         stack.append((name, marked))
     close_line()
     return lines

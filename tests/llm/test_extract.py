@@ -29,6 +29,10 @@ LONG_TEXT = ("A sentence of the story that goes on for a while. " * 4).strip()
         (f"<nav><ul><li>never closed<article>{BODY}</article>", TEXT),
         (f"<div class='sidebar'><p>x</p></div><div class='content'>{LONG}<p>Be.</p></div><div class='footer'>y</div>", LONG_TEXT + " Be."),
         (f"<ul><li><a href=a>one</a></li><li><a href=b>two</a></li></ul><div>{LONG}</div>", LONG_TEXT),
+        (f"<body class='has-sidebar'><div><article class='post comments-open'>{BODY}</article></div></body>", TEXT),
+        (f"<article>{BODY}</article><section id='comments'><article><p>me too</p></article></section>", TEXT),
+        (f"<main>{BODY}<article class='comment-12'><p>nice</p></article></main>", TEXT),
+        (f"<nav><li>not closed<article class='post'>{BODY}</article>", TEXT),
         ("<nav>only</nav><footer>furniture</footer>", ""),
         ("<article><p>a < b and c > d &am</article>", "a < b and c > d &am"),
         ("<article><script>var t='</p><p>no</p>';</script><style>p{}</style><!-- <p>no</p> --><p>yes</p></article>", "yes"),
