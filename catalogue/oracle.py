@@ -179,6 +179,8 @@ ORACLE = {
     "csv_roundtrip_scan": with_views("SELECT * FROM txn", "txn"),
     "pruned_scan": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem",
     "limit_scan": with_views("SELECT * FROM scored ORDER BY TransactionID LIMIT 500", "scored"),
+    "identity_csv_roundtrip": with_views("SELECT * FROM idn", "idn"),
+    "eda_preview": with_views("SELECT * FROM merged ORDER BY TransactionID LIMIT 5", "merged"),
     "table_roundtrip": with_views("SELECT * FROM merged", "merged"),
     "smote_totals": with_views(
         """WITH n AS (SELECT count(*) FILTER (isFraud = 1) AS minority,
@@ -196,6 +198,14 @@ ORACLE = {
         GROUP BY amount_range, isFraud""",
         "txn",
     ),
+    "report_roundtrip": with_views(
+        f"""SELECT amount_range, isFraud, count(*) AS transaction_count,
+               CASE amount_range WHEN '<$10' THEN 1 WHEN '$10-$50' THEN 2 WHEN '$50-$200' THEN 3
+               WHEN '$200-$1000' THEN 4 ELSE 5 END AS range_rank
+        FROM (SELECT {_AMOUNT_RANGE.format('TransactionAmt')} AS amount_range, isFraud FROM txn)
+        GROUP BY amount_range, isFraud""",
+        "txn",
+    ),
     "schema_listing": "SELECT CAST(position AS BIGINT) AS position, column_name, data_type FROM ("
     + " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, '{_TYPES.get(c, 'string')}' AS data_type"

@@ -16,7 +16,7 @@ from fraudlake.operators import oversample, segment, split, velocity
 from fraudlake.plans import checks, eda, engineer, reports
 from fraudlake.session import ensure_checkpoint_dir, materialize, small_table
 from fraudlake.sources import readers
-from fraudlake.sources.tables import TableStore
+from fraudlake.sources.tables import TableStore, write_report
 
 DIGITS = 6
 FLOAT_SUMS = ["amt_vs_card1_mean", "amt_vs_card1_zscore"]
@@ -71,6 +71,20 @@ def csv_roundtrip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_transactions_csv(spark, folder)
 
 
+def identity_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    V.idn(spark, sf_dir).write.csv(folder, header=True)
+    return readers.read_identity_csv(spark, folder)
+
+
+def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report as its file has it."""
+    report = reports.amount_counts(V.txn(spark, sf_dir))
+    path = f"{ensure_checkpoint_dir(spark)}/report-{uuid.uuid4().hex}.csv"
+    write_report(report, path)
+    return spark.read.schema(report.schema).csv(path, header=True)
+
+
 def pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_key_columns(
         spark, f"{sf_dir}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_extendedprice"]
@@ -436,6 +450,10 @@ def eda_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eda.shape(merged(spark, sf_dir))
 
 
+def eda_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return eda.preview(merged(spark, sf_dir))
+
+
 def eda_class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eda.class_balance(V.txn(spark, sf_dir))
 
@@ -490,7 +508,7 @@ def eda_device_info_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        csv_roundtrip_scan, pruned_scan, limit_scan, schema_listing, table_roundtrip,
+        csv_roundtrip_scan, identity_csv_roundtrip, report_roundtrip, pruned_scan, limit_scan, schema_listing, table_roundtrip,
         merge_identity, identity_coverage, table_counts, class_share, null_spot_check,
         null_rate_audit, null_rate_audit_lineitem, sparse_column_ranking, drop_sparse_columns,
         fe_time, fe_velocity, fe_velocity_orders, fe_amount_deviation, fe_entity_counts,
@@ -503,7 +521,7 @@ QUERIES = {
         risk_tiers, tier_counts, risk_segments,
         rep_card_type, rep_device, rep_fraud_rate_over_time, rep_tier_summary,
         rep_amount_counts, rep_amount_distribution, rep_amount_distribution_lineitem, rep_metrics_long,
-        eda_shape, eda_class_balance, eda_amount_histogram, eda_rate_by_bucket,
+        eda_shape, eda_preview, eda_class_balance, eda_amount_histogram, eda_rate_by_bucket,
         eda_hour_matrix, eda_hourly, eda_rate_by_category, eda_rate_by_card, eda_correlation,
         eda_identity_split, eda_device_type, eda_device_info_top15,
     )

@@ -29,6 +29,11 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
+def preview(df: DataFrame, rows: int = 5, row_id: str = "TransactionID") -> DataFrame:
+    """The first rows by id."""
+    return df.orderBy(row_id).limit(rows)
+
+
 def class_balance(df: DataFrame, label: str = "isFraud") -> DataFrame:
     """Counts per class with the overall rate and the number of rows per positive."""
     counted = df.groupBy(label).agg(F.count("*").alias("transaction_count"))
