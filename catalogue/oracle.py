@@ -182,6 +182,11 @@ ORACLE = {
     "identity_csv_roundtrip": with_views("SELECT * FROM idn", "idn"),
     "eda_preview": with_views("SELECT * FROM merged ORDER BY TransactionID LIMIT 5", "merged"),
     "table_roundtrip": with_views("SELECT * FROM merged", "merged"),
+    "model_checks": with_views(
+        f"""SELECT isFraud, count(*) AS rows, 0 AS outside, 0 AS contradicted, 0 AS not_adding_up
+        FROM ({_RANKED}) WHERE rn <= floor(n * 0.2::DOUBLE + 0.5) GROUP BY isFraud""",
+        "txn",
+    ),
     "smote_totals": with_views(
         """WITH n AS (SELECT count(*) FILTER (isFraud = 1) AS minority,
                CAST(floor(0.1 * count(*) FILTER (isFraud = 0)) AS BIGINT)

@@ -311,7 +311,7 @@ def smote_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.agg(
         F.sum("count").alias("synthetic"), F.count("*").alias("bases"),
         F.min("count").alias("fewest"), F.max("count").alias("most"),
-    ).join(pairs)
+    ).withColumn("neighbor_pairs", pairs.scalar())
 
 
 def _written_model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
@@ -330,10 +330,31 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosting.score(model, test)
 
 
+def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per class of the hold-out: rows, scores outside 0 to 1, labels that contradict the score, and
+    rows whose base and attributions do not add up to the score."""
+    model, test, features = _fitted(spark, sf_dir)
+    explained = attribution.shapley_rows(model, test, features)
+    margin = sum((F.col(c) for c in features), F.col("base"))
+    p = F.col("fraud_prob")
+    return (
+        boosting.score(model, test)
+        .join(explained.select("TransactionID", margin.alias("margin")), "TransactionID", "left")
+        .groupBy("isFraud")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(~p.between(0, 1)).alias("outside"),
+            F.count_if(F.col("predicted_label") != (p >= 0.5).cast("long")).alias("contradicted"),
+            F.count_if(~(F.abs(1 / (1 + F.exp(-2 * F.col("margin"))) - p) < 1e-9)).alias("not_adding_up"),
+        )
+    )
+
+
 def search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, features = _written_model_rows(spark, sf_dir)
     train, _ = split.stratified_split(rows)
-    return boosting.trials_table(spark, boosting.search(train, features, SEARCH_MODELS))
+    trials = boosting.trials_table(spark, boosting.search(train, features, SEARCH_MODELS))
+    return trials.drop("datetime_start", "datetime_complete", "duration_sec")
 
 
 def attribution_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -515,7 +536,7 @@ QUERIES = {
         fe_amount_bucket, fe_pair_count, fe_log_amount, fe_flags, fe_label_encode,
         fe_frequency_encode, fe_impute, column_medians, fe_all,
         split_stratified, kfold_stratified, class_weight, seeded_sample, feature_matrix,
-        smote, smote_totals, gbt_scores, search_trials, attribution_top20,
+        smote, smote_totals, model_checks, gbt_scores, search_trials, attribution_top20,
         eval_auc, eval_average_precision, eval_report, eval_confusion, eval_calibration,
         quality_gate, pr_curve, f1_threshold, cost_threshold, threshold_analysis,
         risk_tiers, tier_counts, risk_segments,
