@@ -1,6 +1,7 @@
 """Approximate nearest neighbours by inner product: a robust-pruned graph per shard, beam-searched.
 
-Equal vectors are one point. Points are dealt to shards of bounded size by a hash; a task builds the
+Equal vectors are one point. Points are dealt to shards of bounded size by the power of two of their
+length and by a hash, so that vectors of very different lengths share no graph; a task builds the
 graph of its shard: each new point is searched for greedily, and of what the search met it keeps
 diverse neighbours, so that edges lead into every direction. Queries go to every shard in blocks of
 bounded size, each block with its copy of the shard's graph; the best of all shards are merged.
@@ -11,12 +12,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fraudlake.llm.common import stash, table
-from fraudlake.llm.pruned_graph import BATCH, NONE, PrunedGraph, lifted
+from fraudlake.llm.pruned_graph import BATCH, NONE, PrunedGraph, directions, lifted
 
 SHARD_ROWS = 8192
 QUERY_BLOCK = 8192
@@ -41,6 +42,16 @@ def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     )
 
 
+def norm_band() -> Column:
+    """The power of two nearest to the length of ``vector``, which is not 0.
+
+    The length is taken in double precision, where no single-precision vector overflows or vanishes.
+    Unit vectors, whose lengths differ by rounding, are in one band.
+    """
+    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    return F.floor(F.log2(square) / 2 + 0.5).cast("int")
+
+
 def build_index(rows: DataFrame, nearest: int = NEAREST, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The graphs of all ``(id, vector)`` rows: a row per distinct vector, see INDEX_SQL.
 
@@ -55,14 +66,15 @@ def build_index(rows: DataFrame, nearest: int = NEAREST, shard_rows: int = SHARD
         .where(F.col("place") <= nearest + 1)
         .groupBy("vector")
         .agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        .withColumn("band", norm_band())
     )
-    per_length = F.size("vector").alias("length")
-    shards = classes.groupBy(per_length).count().orderBy("length").collect()
+    kinds = {"length": F.size("vector"), "band": F.col("band")}
+    shards = classes.groupBy(*(c.alias(n) for n, c in kinds.items())).count().orderBy(*kinds).collect()
     number, base = F.lit(None).cast("int"), 0
-    for r in shards:  # one entry per vector length
+    for r in shards:  # one entry per vector length and norm band
         parts = -(-r["count"] // shard_rows)
         place = (F.pmod(F.xxhash64("vector"), F.lit(parts)) + base).cast("int")
-        number = F.when(F.size("vector") == r["length"], place).otherwise(number)
+        number = F.when((kinds["length"] == r["length"]) & (kinds["band"] == r["band"]), place).otherwise(number)
         base += parts
 
     def build(shard: pa.Table) -> pa.Table:
@@ -112,7 +124,7 @@ def search_index(
             wanted, own = matrix(asked["vector"], np.float32), asked["id"].to_numpy()
             for a in range(0, len(own), BATCH):
                 some = wanted[a : a + BATCH]
-                found = graph.search(np.column_stack((some, np.zeros(len(some)))), max(beam, nearest + 1))[0]
+                found = graph.search(directions(some), max(beam, nearest + 1))[0]
                 for query, vector, nodes in zip(own[a : a + BATCH], some.astype(np.float64), found):
                     nodes = nodes[nodes != NONE]
                     scores = vectors[nodes].astype(np.float64) @ vector

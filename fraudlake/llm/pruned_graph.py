@@ -13,20 +13,34 @@ NONE = -1
 
 
 def lifted(vectors: np.ndarray) -> np.ndarray:
-    """Vectors with one more coordinate that makes them equally long.
+    """Vectors with one more coordinate that makes them equally long, scaled by one power of two.
 
-    Among them the nearest to a query (with 0 added) is the one with the largest inner product.
+    Among them the nearest to a query (with 0 added) is the one with the largest inner product. The
+    scale brings the largest component to 0.5 to 1, so no square overflows or vanishes.
     """
+    vectors = np.asarray(vectors, np.float64)
+    vectors = np.ldexp(vectors, -int(np.frexp(np.abs(vectors).max(initial=0))[1]))
     squares = np.einsum("ij,ij->i", vectors, vectors)
-    extra = np.sqrt(np.maximum(0, squares.max() - squares))
-    return np.column_stack((vectors, extra)).astype(np.float32)
+    extra = np.sqrt(np.maximum(0, squares.max(initial=0) - squares))
+    return np.column_stack((vectors, extra))
+
+
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """Queries of length 1 with 0 added: the length of a query does not change its order of points."""
+    vectors = np.asarray(vectors, np.float64)
+    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    return np.column_stack((vectors / norms[:, None], np.zeros(len(vectors))))
 
 
 class PrunedGraph:
-    """``edges[i]``: up to DEGREE neighbours of point i, filled up with NONE."""
+    """``edges[i]``: up to DEGREE neighbours of point i, filled up with NONE.
+
+    Distances are taken in double precision, in which squares of single-precision points are exact
+    enough to tell points apart that differ in their last bits.
+    """
 
     def __init__(self, points: np.ndarray, edges: np.ndarray | None = None, entry: int = 0):
-        self.points = np.ascontiguousarray(points, np.float32)
+        self.points = np.ascontiguousarray(points, np.float64)
         self.squares = np.einsum("ij,ij->i", self.points, self.points)
         self.entry = entry
         self.edges = edges if edges is not None else np.full((len(points), DEGREE), NONE, np.int32)
@@ -112,10 +126,10 @@ class PrunedGraph:
         query's own square.
         """
         m = len(queries)
-        queries = np.ascontiguousarray(queries, np.float32)
+        queries = np.ascontiguousarray(queries, np.float64)
         seen = np.zeros((m, len(self.points)), bool)
         ids = np.full((m, beam), NONE, np.int32)
-        far = np.full((m, beam), np.inf, np.float32)
+        far = np.full((m, beam), np.inf)
         closed = np.ones((m, beam), bool)
         ids[:, 0], closed[:, 0], seen[:, self.entry] = self.entry, False, True
         far[:, 0] = self.squares[self.entry] - 2 * queries @ self.points[self.entry]
@@ -136,7 +150,7 @@ class PrunedGraph:
             found = near[row, col]
             seen[live[row], found] = True
             distance = self.squares[found] - 2 * np.einsum("ij,ij->i", queries[live[row]], self.points[found])
-            more = np.full(near.shape, np.inf, np.float32)
+            more = np.full(near.shape, np.inf)
             more[row, col] = distance
             all_ids = np.concatenate((ids[live], near), axis=1)
             all_far = np.concatenate((far[live], more), axis=1)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.llm.common import table
 from fraudlake.llm.neighbours import build_index, op8_neighbours, search_index, usable
-from fraudlake.llm.pruned_graph import DEGREE, NONE, PrunedGraph, lifted
+from fraudlake.llm.pruned_graph import DEGREE, NONE, PrunedGraph, directions, lifted
 
 
 def brute(rows, queries, k=20):
@@ -73,3 +73,30 @@ def test_few_and_no_rows(spark):
     assert found(search_index(build_index(few), few.where("id = 0"))) == {0: [(1, 2.0), (2, 0.0)]}
     none = few.limit(0)
     assert search_index(build_index(none), none).count() == 0
+
+
+def test_recall_beside_one_huge_vector(spark):
+    rng = np.random.default_rng(2)
+    unit = rng.normal(size=(1500, 16))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    for scale in (3e3, 1e6, 3e19, 1e38):
+        data = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(unit)]
+        data[7] = (7, (unit[7] * scale).astype(np.float32).tolist())
+        rows = spark.createDataFrame(data, "id long, vector array<float>")
+        some = [r for r in data if r[0] % 50 == 0]
+        want = brute(data, some)
+        got = found(search_index(build_index(rows), rows.where("id % 50 = 0")))
+        assert got.keys() == want.keys()
+        hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+        assert hits >= 0.95 * sum(map(len, want.values()))
+
+
+def test_one_graph_over_many_lengths():
+    rng = np.random.default_rng(3)
+    vectors = (rng.normal(size=(1000, 8)) * 1e-30).astype(np.float32)
+    vectors[3] = 1e-26
+    points = lifted(vectors)
+    queries = directions(vectors[::20])
+    exact = np.argsort(-(queries[:, :-1] @ vectors.astype(np.float64).T), axis=1)[:, :10]
+    got = PrunedGraph(points).search(queries, 96)[0]
+    assert np.mean([len(set(g[:10]) & set(e)) / 10 for g, e in zip(got, exact)]) > 0.95
