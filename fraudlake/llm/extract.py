@@ -15,8 +15,9 @@ from fraudlake.llm.line_blocks import main_text
 def extract_text(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """``keep`` columns and ``text``, the main text of each page: see ``line_blocks``.
 
-    Null and empty pages, and pages of furniture alone, give an empty text. Rows are not shuffled;
-    a page is read whole by the task that has it.
+    Null and empty pages, and pages of furniture alone, give an empty text; a block that only its marks
+    make furniture is none if it holds most of the page's text. Rows are not shuffled; a page is read
+    whole by the task that has it.
     """
     names = [f"k{i}" for i in range(len(keep))]
     narrow = pages.select(*(F.col(c).alias(n) for c, n in zip(keep, names)), F.col(html).alias("html"))

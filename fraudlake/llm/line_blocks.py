@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 WINDOW = 3  # lines in a window
 SURGE = 86  # characters in a window that begin a main text
@@ -23,53 +24,105 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title svg iframe object select head".split())
 FURNITURE = frozenset("nav aside footer form menu dialog button".split())
 MAIN = frozenset(("article", "main"))
-MARKS = re.compile(
-    r"(?<![a-z])(?:ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|"
-    r"nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side-bar|aside|complementary|"
-    r"footer|contentinfo|masthead|site-header|page-header|banner|topbar|toolbar|"
-    r"cookie|cookies|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|signup|login|"
-    r"comment|comments|commentlist|comment-list|disqus|replies|reply|respond|"
-    r"share|sharing|social|related|recommended|pagination|pager|widget|search|searchbox|form)(?![a-z])",
-    re.I,
+LAYOUT = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion "
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar side-bar aside complementary "
+    "footer contentinfo masthead site-header page-header banner topbar toolbar "
+    "share sharing social related recommended pagination pager widget search searchbox form".split()
+)
+#: Marks of texts by others or beside the page: however long, they are not its main text.
+OTHERS = frozenset(
+    "cookie cookies consent gdpr notice popup modal overlay newsletter subscribe signup login "
+    "comment comments commentlist comment-list disqus replies reply respond".split()
+)
+#: Words that may follow a mark and leave it one (ad-slot, related-posts), as numbers may.
+HOLDERS = frozenset(
+    "area author bar block body bottom box button buttons center column container content desktop group header "
+    "heading icon icons inner item items label left link links list main menu meta mobile module outer panel post "
+    "posts primary right row secondary section slot thread title top unit widget widgets wrap wrapper".split()
 )
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))",
     re.S,
 )
-MARKED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Words of class that describe a page and not the element's part in it (has-sidebar, comments-open).
-STATE = re.compile(r"(?:has|no|with|without|is|layout)[-_]|.*[-_](?:open|closed|enabled|disabled)$", re.I)
-HIDDEN = re.compile(r"display\s*:\s*none|(?<![\w-])hidden(?![\w-])(?!\s*=\s*[\"']?false)", re.I)
+STATE = re.compile(
+    r"(?:is|layout)[-_]|(?:.*[-_])?(?:has|no|with|without)[-_]|.*[-_](?:open|closed|enabled|disabled)$", re.I
+)
+HIDDEN = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+NUMBER = re.compile(r"\d+(?:x\d+)?")
+#: What kind of furniture an element is. LAID and OTHER are by marks; see ``reopened``.
+NO, SURE, LAID, OTHER = range(4)
 
 
-def is_furniture(name: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element is page furniture by name or marks. A header in the main text is kept.
+@lru_cache(1 << 16)
+def mark(word: str, first: bool) -> int:
+    """LAID or OTHER if a class, id or role word as a whole is a mark, else NO.
 
-    An article or main element is furniture only if a word of its marks begins like one.
+    A mark may be the last part of the word (cookie-notice) unless ``first`` is asked for, or its first
+    part with only HOLDERS after it (ad-slot). A widget is what page builders call any block, so it is
+    not a mark as a last part.
     """
-    if name in FURNITURE or (name == "header" and not in_main):
-        return True
-    if not attributes or name in ("html", "body"):
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    words = (w for found in MARKED.findall(attributes) for w in "".join(found).split())
-    find = MARKS.match if name in MAIN else MARKS.search
-    return any(find(w) for w in words if not STATE.match(w))
+    if STATE.match(word):
+        return NO
+    parts = [x for x in re.split(r"[^a-z0-9]+", word.lower()) if x and not NUMBER.fullmatch(x)]
+    for n in (1, 2):
+        begin, end = "-".join(parts[:n]), "-".join(parts[-n:])
+        if all(x in HOLDERS for x in parts[n:]) and (begin in LAYOUT or begin in OTHERS):
+            return LAID if begin in LAYOUT else OTHER
+        if not first and end != "widget" and (end in LAYOUT or end in OTHERS):
+            return LAID if end in LAYOUT else OTHER
+    return NO
+
+
+def furniture_kind(name: str, attributes: str, in_main: bool) -> int:
+    """Whether an element is page furniture by name or marks, and how sure that is.
+
+    A header in the main text is kept. An article or main element is furniture only if a word of its
+    marks begins like one. Hidden is what has the attribute of that name or a style that hides it.
+    """
+    kind = LAID if name == "form" else SURE if name in FURNITURE or (name == "header" and not in_main) else NO
+    if kind == SURE or len(attributes) < 2 or name in ("html", "body"):
+        return kind
+    values: dict[str, str] = {}
+    for key, *value in ATTRIBUTE.findall(attributes):
+        values.setdefault(key.lower(), "".join(value))
+    if values.get("hidden", "false").lower() != "false" or HIDDEN.search(values.get("style", "")):
+        return SURE
+    words = (w for key in ("class", "id", "role") for w in values.get(key, "").split())
+    return max(kind, *(mark(w, name in MAIN) for w in words), NO)
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
+    """See ``read_lines``; marked blocks that are the page's main text are read as others are."""
+    lines, again = read_lines(page, frozenset())
+    return read_lines(page, again)[0] if again else lines
+
+
+def reopened(marked: list[tuple[int, int, int]], total: int) -> frozenset[int]:
+    """Places of the marked blocks that are no furniture, of ``(place, kind, unlinked text)``.
+
+    They hold most of the page's unlinked ``total``; all of it if the marks are of OTHERS.
+    """
+    return frozenset(at for at, kind, held in marked if held and (2 * held > total if kind == LAID else held == total))
+
+
+def read_lines(page: str, opened: frozenset[int]) -> tuple[list[tuple[str, int, bool]], frozenset[int]]:
     """``(text, length, declared)`` of each line that is not furniture, in page order.
 
     The length leaves out link texts. ``declared``: inside an article or main element. An empty
-    furniture line comes as ``("", 0, False)``, so that it takes part in the windows.
+    furniture line comes as ``("", 0, False)``, so that it takes part in the windows. Marked blocks at
+    the places ``opened`` are no furniture; the second result has those that should be opened.
     """
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool]] = []  # open elements that matter, and whether each is furniture
-    furniture = main = links = 0
+    # Open elements that matter: whether each is furniture, its place, its kind, the text before it.
+    stack: list[tuple[str, bool, int, int, int]] = []
+    marks: list[tuple[int, int, int]] = []
+    furniture = sure = main = links = total = 0
     seen_main = False
     at, end = 0, len(page)
 
@@ -82,15 +135,20 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         linked = 0
 
     def leave(count: int) -> None:
-        nonlocal furniture, main
-        for name, marked in stack[count:]:
+        nonlocal furniture, sure, main
+        for name, marked, place, kind, before in stack[count:]:
             furniture -= marked
+            sure -= kind == SURE
+            if kind > SURE:
+                marks.append((place, kind, total - before))
             main -= name in MAIN and not marked
         del stack[count:]
 
     while at < end:
         found = TOKEN.search(page, at)
         stop = found.start() if found else end
+        if stop > at and not sure and not links:
+            total += len(page[at:stop].strip())
         if stop > at and not furniture:
             piece = page[at:stop]
             parts.append(piece)
@@ -126,18 +184,21 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             continue
         if name == "p" and stack and stack[-1][0] == "p":
             leave(len(stack) - 1)  # a paragraph ends the one before
-        marked = is_furniture(name, attributes, main > 0)
+        kind = furniture_kind(name, attributes, main > 0)
+        marked = kind != NO and found.start() not in opened
         if name in MAIN and furniture and not marked and not seen_main:
             leave(0)  # furniture that was never closed ends where the main text begins
         if marked and not furniture:
             close_line()
             lines.append(("", 0, False))
         furniture += marked
+        sure += kind == SURE
         main += name in MAIN and not marked
         seen_main |= main > 0
-        stack.append((name, marked))
+        stack.append((name, marked, found.start(), kind, total))
     close_line()
-    return lines
+    leave(0)
+    return lines, reopened(marks, total)
 
 
 def main_text(page: str | None) -> str:

@@ -65,3 +65,22 @@ def test_hard_rows(spark):
     got = extract_text(pages, ["page_id", "url"]).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, None, ""), (None, "u", ""), (2, "u", "x"), (2, "u", "x")], key=str)
     assert extract_text(pages.limit(0), ["page_id"]).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<article style='overflow:hidden'>{BODY}</article>", TEXT),
+        (f"<div title='The hidden river'>{LONG}</div>", LONG_TEXT),
+        (f"<article>{BODY}<div hidden>x</div><p style='color:red; visibility: hidden'>y</p><p style='display:none'>z</p></article>", TEXT),
+        (f"<div class='content-with-sidebar'>{LONG}</div><div class='sidebar'><p>x</p></div>", LONG_TEXT),
+        (f"<div class='right-sidebar'>{LONG}</div><div class='left-sidebar'><p>x</p></div>", LONG_TEXT),
+        (f"<section class='article-ad-free'>{LONG}</section><p class='ad-slot'>x</p><ul id='related-posts'><li>y</ul>", LONG_TEXT),
+        (f"<div class='elementor-widget elementor-widget-text-editor'>{LONG}</div>" * 3, " ".join([LONG_TEXT] * 3)),
+        (f"<div data-id='menu' data-testid='ad'>{LONG}</div>", LONG_TEXT),
+        (f"<form id='page'><div class='menu'>m</div><div>{LONG}</div></form>", LONG_TEXT),
+        (f"<div>{LONG}</div><section class='comments'>{LONG * 5}</section>", LONG_TEXT),
+    ],
+)
+def test_marks_are_whole_words_of_parsed_attributes(page, want):
+    assert main_text(page) == want
