@@ -2,7 +2,8 @@
 
 A page is stripped to lines, one per block element. Each line has a text length; lines of menus,
 notices and the like have none. Sums over sliding windows of lines rise sharply where the main text
-begins and fall to nothing where it ends, and the text between such points is kept.
+begins and fall to nothing where it ends. In the container of such a rise everything from its first
+line to its last one with text of its own is kept, furniture aside.
 """
 
 from __future__ import annotations
@@ -24,14 +25,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea title svg iframe object select head".split())
 FURNITURE = frozenset("nav aside footer form menu dialog button".split())
 MAIN = frozenset(("article", "main"))
+GROUPS = frozenset("article main section div td center".split())  # may contain a main text
 LAYOUT = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar side-bar aside complementary "
     "footer contentinfo masthead site-header page-header banner topbar toolbar "
     "share sharing social related recommended pagination pager widget search searchbox form".split()
 )
 #: Marks of texts by others or beside the page: however long, they are not its main text.
 OTHERS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion "
     "cookie cookies consent gdpr notice popup modal overlay newsletter subscribe signup login "
     "comment comments commentlist comment-list disqus replies reply respond".split()
 )
@@ -95,32 +97,41 @@ def furniture_kind(name: str, attributes: str, in_main: bool) -> int:
     return max(kind, *(mark(w, name in MAIN) for w in words), NO)
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
+Line = tuple[str, int, bool, int]
+
+
+def lines_of(page: str) -> tuple[list[Line], list[int]]:
     """See ``read_lines``; marked blocks that are the page's main text are read as others are."""
-    lines, again = read_lines(page, frozenset())
-    return read_lines(page, again)[0] if again else lines
+    lines, parents, again = read_lines(page, frozenset())
+    return read_lines(page, again)[:2] if again else (lines, parents)
 
 
-def reopened(marked: list[tuple[int, int, int]], total: int) -> frozenset[int]:
+def reopened(marked: list[tuple[int, int, int]], total: int, alone: bool) -> frozenset[int]:
     """Places of the marked blocks that are no furniture, of ``(place, kind, unlinked text)``.
 
-    They hold most of the page's unlinked ``total``; all of it if the marks are of OTHERS.
+    They hold most of the page's unlinked ``total``; with marks of OTHERS they hold all of it, and are
+    ``alone``: no other line is left.
     """
-    return frozenset(at for at, kind, held in marked if held and (2 * held > total if kind == LAID else held == total))
+    most = {LAID: total // 2 + 1, OTHER: total if alone else total + 1}
+    return frozenset(at for at, kind, held in marked if held and held >= most[kind])
 
 
-def read_lines(page: str, opened: frozenset[int]) -> tuple[list[tuple[str, int, bool]], frozenset[int]]:
-    """``(text, length, declared)`` of each line that is not furniture, in page order.
+def read_lines(page: str, opened: frozenset[int]) -> tuple[list[Line], list[int], frozenset[int]]:
+    """``(text, length, declared, group)`` of each line that is not furniture, in page order.
 
-    The length leaves out link texts. ``declared``: inside an article or main element. An empty
-    furniture line comes as ``("", 0, False)``, so that it takes part in the windows. Marked blocks at
-    the places ``opened`` are no furniture; the second result has those that should be opened.
+    The length leaves out link texts. ``declared``: inside an article or main element. ``group``: the
+    innermost of GROUPS around it, 0 if none; the second result has the group around each group. An
+    empty furniture line comes as ``("", 0, False, 0)``, so that it takes part in the windows. Marked
+    blocks at the places ``opened`` are no furniture; the third result has those that should be opened.
     """
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[Line] = []
+    parents = [0]
+    group = 0
     parts: list[str] = []
     linked = 0
-    # Open elements that matter: whether each is furniture, its place, its kind, the text before it.
-    stack: list[tuple[str, bool, int, int, int]] = []
+    # Open elements that matter: whether each is furniture, its place, its kind, the text before it,
+    # and the group around it.
+    stack: list[tuple[str, bool, int, int, int, int]] = []
     marks: list[tuple[int, int, int]] = []
     furniture = sure = main = links = total = 0
     seen_main = False
@@ -130,13 +141,14 @@ def read_lines(page: str, opened: frozenset[int]) -> tuple[list[tuple[str, int,
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append((text, max(0, len(text) - linked), main > 0))
+            lines.append((text, max(0, len(text) - linked), main > 0, group))
         parts.clear()
         linked = 0
 
     def leave(count: int) -> None:
-        nonlocal furniture, sure, main
-        for name, marked, place, kind, before in stack[count:]:
+        nonlocal furniture, sure, main, group
+        group = stack[count][5] if count < len(stack) else group
+        for name, marked, place, kind, before, _ in stack[count:]:
             furniture -= marked
             sure -= kind == SURE
             if kind > SURE:
@@ -190,49 +202,76 @@ def read_lines(page: str, opened: frozenset[int]) -> tuple[list[tuple[str, int,
             leave(0)  # furniture that was never closed ends where the main text begins
         if marked and not furniture:
             close_line()
-            lines.append(("", 0, False))
+            lines.append(("", 0, False, 0))
         furniture += marked
         sure += kind == SURE
         main += name in MAIN and not marked
         seen_main |= main > 0
-        stack.append((name, marked, found.start(), kind, total))
+        stack.append((name, marked, found.start(), kind, total, group))
+        if name in GROUPS and not furniture:
+            parents.append(group)
+            group = len(parents) - 1
     close_line()
     leave(0)
-    return lines, reopened(marks, total)
+    return lines, parents, reopened(marks, total, not any(text for text, *_ in lines))
+
+
+def containers(lines: list[Line], parents: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """For each group its container, first line and last line with a length.
+
+    A group of one line is a paragraph; its container is the next group around it that has more.
+    """
+    count = [0] * len(parents)
+    first, last = [len(lines)] * len(parents), [-1] * len(parents)
+    for i, (text, length, _, group) in enumerate(lines):
+        count[group] += bool(text)
+        if length:
+            first[group], last[group] = min(first[group], i), i
+    for group in range(len(parents) - 1, 0, -1):  # a group comes after the one around it
+        around = parents[group]
+        count[around] += count[group]
+        first[around], last[around] = min(first[around], first[group]), max(last[around], last[group])
+    nearest = [0] * len(parents)
+    for group in range(1, len(parents)):
+        nearest[group] = group if count[group] > 1 else nearest[parents[group]]
+    return nearest, first, last
 
 
 def main_text(page: str | None) -> str:
     """The main text: lines joined by one space, empty if there is none.
 
-    If the page declares a main text (article, main), lines outside it have no length and any text
-    begins it; else a window of SURGE characters does. From a surge the text reaches to the dive:
-    in both directions up to a line of furniture or a window without length.
+    If the page declares a main text (article, main) that holds the larger part of its unlinked text,
+    every line inside is kept and none outside. Else a window of SURGE characters begins a main text,
+    which reaches in both directions up to a line of furniture or a window without length, and beyond
+    these from the first to the last line with a length in the container of the window. What is in no
+    container but the page is kept from the first surge on.
     """
-    lines = lines_of(page or "")
-    if not lines:
-        return ""
-    declared = any(d for _, _, d in lines)
-    # In a declared text every line counts; elsewhere a line of links alone has no length.
-    lengths = [max(n, 1) if d else 0 if declared else n for _, n, d in lines]
-    least = 1 if declared else SURGE
+    lines, parents = lines_of(page or "")
+    inside = sum(n for _, n, d, _ in lines if d)
+    if any(d for _, _, d, _ in lines) and 2 * inside >= sum(n for _, n, _, _ in lines):
+        return " ".join(text for text, _, d, _ in lines if d)
+    lengths = [n for _, n, _, _ in lines]
+    nearest, first, last = containers(lines, parents)
     kept = [False] * len(lines)
-    reach = 0  # lines below it are decided
-    for i in range(len(lines)):
-        if i < reach or not lengths[i]:
-            continue
-        span = lengths[i : i + WINDOW]
-        if 0 in span:
-            span = span[: span.index(0)]  # a window does not look past furniture
-        if sum(span) < least:
-            continue
-        begin = i
-        while begin > reach and lengths[begin - 1]:
-            begin -= 1
-        stop = i
+    regions = set()
+    begin = 0
+    while begin < len(lines):
+        stop = begin
         while stop < len(lines) and lengths[stop]:
             stop += 1
-        kept[begin:stop] = [True] * (stop - begin)
-        reach = stop
-    if not any(kept):  # no window is long enough: the page is short, all its own text is the text
-        kept = [n > 0 for n in lengths]
-    return " ".join(text for (text, _, _), k in zip(lines, kept) if k)
+        # A window does not look past furniture.
+        surges = [i for i in range(begin, stop) if sum(lengths[i : min(i + WINDOW, stop)]) >= SURGE]
+        if surges:
+            kept[begin:stop] = [True] * (stop - begin)
+            regions.update(nearest[lines[i][3]] for i in surges)
+        begin = stop + 1
+    if 0 in regions:
+        first[0] = kept.index(True)
+    if not regions:  # no window is long enough: the page is short, all its own text is the text
+        regions.add(0)
+    at = 0
+    for low, high in sorted((first[r], last[r]) for r in regions):  # one holds another or is apart
+        for i in range(max(low, at), high + 1):
+            kept[i] = True
+        at = max(at, high + 1)
+    return " ".join(text for (text, _, _, _), k in zip(lines, kept) if k and text)

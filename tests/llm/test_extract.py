@@ -79,8 +79,29 @@ def test_hard_rows(spark):
         (f"<div class='elementor-widget elementor-widget-text-editor'>{LONG}</div>" * 3, " ".join([LONG_TEXT] * 3)),
         (f"<div data-id='menu' data-testid='ad'>{LONG}</div>", LONG_TEXT),
         (f"<form id='page'><div class='menu'>m</div><div>{LONG}</div></form>", LONG_TEXT),
+        (f"<div class='ad'>{LONG}</div><article>{BODY}</article>", TEXT),
         (f"<div>{LONG}</div><section class='comments'>{LONG * 5}</section>", LONG_TEXT),
     ],
 )
 def test_marks_are_whole_words_of_parsed_attributes(page, want):
     assert main_text(page) == want
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<div>{LONG}<div class=ad>x</div><p>Short closing line.</p></div>", LONG_TEXT + " Short closing line."),
+        (f"<div><h1>Title</h1><div class=share>x</div>{LONG}</div><div><p>Else.</p></div>", "Title " + LONG_TEXT + " Else."),
+        (f"<div>{LONG}<p><a href=a>one link</a></p><p>End.</p></div>", LONG_TEXT + " one link End."),
+        (f"<div>{LONG}</div><div class=ad>x</div><div>End.</div>", LONG_TEXT + " End."),
+        (f"<div>{LONG * 2}</div><div class=ad>x</div><div><p>Beside</p><p>it.</p></div>", LONG_TEXT + " " + LONG_TEXT),
+        (f"<div class='ad'>{LONG}</div><article><h1>Head.</h1><p>Short.</article>", "Head. Short."),
+        (f"<div>{LONG * 2}</div><nav>n</nav><article><p>A teaser.</p></article>", LONG_TEXT + " " + LONG_TEXT),
+        (f"<main>{LONG}</main><div><p>Beside it.</p></div>", LONG_TEXT),
+        ("<p>Short.</p><p><a href=a>link</a></p><p>End.</p>", "Short. link End."),
+        ("<ul><li><a href=a>one</a></li></ul>", ""),
+        ("<div><p>w</p>" * 20_000, " ".join("w" * 20_000)),
+    ],
+)
+def test_windows_bound_one_region_per_container(page, want):
+    assert main_text(page) == want
