@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,7 @@ from fraudlake.session import materialize
 
 BLOCK_ROWS = 2048
 DIRECTIONS = 3
+ASKED_ROWS = 8192  # points that one task compares with a block
 
 
 def _direction(size: int, seed: int) -> list[float]:
@@ -32,63 +33,139 @@ def nearest_neighbors(
     k: int = 5,
     seed: int = 42,
 ) -> DataFrame:
-    """(id, neighbor, rank 1..k) among ``points`` (id, array<double>).
+    """(id, neighbor, rank 1..k) among ``points`` (id, array<double>): the exact nearest.
 
-    No step compares all pairs: the points are ranked along a few random directions, cut into
-    equal blocks of at most 2048 consecutive ranks, searched inside each block, and the best k over
-    all directions are kept. Ranks are exact, so blocks never exceed 2048 points however the data
-    cluster, none is small, and the result depends on the seed only. What fits into one block has
-    its exact neighbours in every direction.
+    The points are ranked along a few random directions, cut into equal blocks of at most 2048
+    consecutive ranks and searched inside each block. The k-th distance found so bounds the search:
+    no projection of two points differs by more than their distance, so a point is then compared with
+    those other blocks of the first direction whose ranges in all directions its bound reaches. Few
+    do where the data have few directions of their own; at worst all pairs are compared, block by
+    block. A point whose k-th distance is 0 needs no more. Ranks are exact, so blocks never exceed
+    2048 points however the data cluster, and the result depends on the seed only.
     """
     blocks = max(1, -(-rows // BLOCK_ROWS))
-    found = None
-    for d in range(DIRECTIONS):
+    projections = [f"_along{d}" for d in range(DIRECTIONS)]
+    along = {}
+    for d, name in enumerate(projections):
         weights = F.array(*[F.lit(w) for w in _direction(dimensions, seed + d)])
-        along = F.aggregate(
+        along[name] = F.aggregate(
             F.zip_with(F.col(vector), weights, lambda x, w: x * w),
             F.lit(0.0),
             lambda total, x: total + x,
         )
+    found_schema = f"{row_id} long, neighbor long, distance double"
+    found = first = None
+    for name in projections:
         # Ranked without the vectors, which join their block at the end.
-        projected = materialize(points.select(row_id, along.alias("_along")))
+        projected = materialize(points.select(row_id, along[name].alias("_along")))
         ranked = running_totals(projected, "_along", {"_position": F.lit(1)}, ties=row_id)
         block = F.floor((F.col("_position") - 1) * blocks / rows).alias("_block")
         blocked = points.join(ranked.select(row_id, block), row_id)
-        part = blocked.groupBy("_block").applyInPandas(
-            _block_search(row_id, vector, k), f"{row_id} long, neighbor long, distance double"
-        )
+        if first is None:
+            first = blocked = materialize(blocked.select(row_id, vector, "_block", *(e.alias(n) for n, e in along.items())))
+        part = blocked.select(row_id, vector, "_block").groupBy("_block").applyInPandas(_block_search(row_id, vector, k), found_schema)
         found = part if found is None else found.unionByName(part)
-    # Each block centres its points on its own mean, so one pair's distances differ in the last bits.
-    found = found.groupBy(row_id, "neighbor").agg(F.min("distance").alias("distance"))
+        if blocks == 1:
+            break  # all pairs are compared
     best = Window.partitionBy(row_id).orderBy("distance", "neighbor")
-    return (
-        found.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select(row_id, "neighbor", "rank")
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        ranked = pairs.distinct().withColumn("rank", F.row_number().over(best))
+        return ranked.where(F.col("rank") <= k)
+
+    if blocks == 1:
+        return nearest(found).select(row_id, "neighbor", "rank")
+    found = materialize(nearest(found).drop("rank"))
+    more = _beyond_blocks(first, found, projections, row_id, vector, k, found_schema)
+    return nearest(found.unionByName(more)).select(row_id, "neighbor", "rank")
+
+
+def _beyond_blocks(
+    blocked: DataFrame, found: DataFrame, projections: list[str], row_id: str, vector: str, k: int, schema: str
+) -> DataFrame:
+    """Pairs of points and their nearest in the other blocks that may hold something nearer than found.
+
+    The ranges of the blocks, one row per 2048 points, go through the driver.
+    """
+    bounds = blocked.groupBy("_block").agg(
+        *(f(c).alias(f"{n}{c}") for c in projections for n, f in (("low", F.min), ("high", F.max)))
     )
+    ranges = bounds.orderBy("_block").toPandas()
+    numbers = ranges["_block"].to_numpy()
+    low = ranges[[f"low{c}" for c in projections]].to_numpy()
+    high = ranges[[f"high{c}" for c in projections]].to_numpy()
+
+    def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            place = batch[projections].to_numpy()
+            x = np.stack(batch[vector].to_numpy()) if len(batch) else np.zeros((0, 1))
+            radius = np.sqrt(batch["distance"].to_numpy())
+            # A little more than the distance, for what rounding takes off a projection.
+            radius = radius + 1e-12 * x.shape[1] * (radius + np.sqrt((x * x).sum(axis=1)))
+            begin = np.searchsorted(high[:, 0], place[:, 0] - radius, "left")
+            end = np.searchsorted(low[:, 0], place[:, 0] + radius, "right")
+            for i, own in enumerate(batch["_block"].to_numpy()):
+                some = slice(begin[i], end[i])
+                near = (low[some] <= place[i] + radius[i]) & (high[some] >= place[i] - radius[i])
+                to = numbers[some][near.all(axis=1)]
+                to = to[to != own]
+                if len(to):
+                    yield pd.DataFrame({row_id: batch[row_id].iat[i], "_to": to})
+
+    bound = F.when(F.count("*") < k, float("inf")).otherwise(F.max("distance")).alias("distance")
+    bound = found.groupBy(row_id).agg(bound).where("distance > 0")
+    sent = materialize(blocked.join(bound, row_id).mapInPandas(reached, f"{row_id} long, _to long"))
+    parts = sent.groupBy(F.col("_to").alias("_block")).agg(F.ceil(F.count("*") / ASKED_ROWS).alias("_parts"))
+    parts = materialize(parts)
+    asked = sent.join(F.broadcast(parts), F.col("_to") == F.col("_block")).select(
+        row_id, "_to", F.pmod(F.xxhash64(row_id), F.col("_parts")).alias("_part")
+    )
+    asked = asked.join(blocked.select(row_id, vector), row_id)
+    copies = blocked.select(row_id, vector, "_block").join(F.broadcast(parts), "_block")
+    copies = copies.select(
+        F.col(row_id).alias("neighbor"), F.col(vector).alias("_toward"), "_block",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_copy"),
+    )
+
+    def compare(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(block):
+            return pd.DataFrame({row_id: [], "neighbor": [], "distance": []})
+        block = block.sort_values("neighbor")
+        return _nearest_pairs(
+            asked[row_id].to_numpy(), np.stack(asked[vector].to_numpy()),
+            block["neighbor"].to_numpy(), np.stack(block["_toward"].to_numpy()), row_id, k,
+        )
+
+    return asked.groupBy("_to", "_part").cogroup(copies.groupBy("_block", "_copy")).applyInPandas(compare, schema)
+
+
+def _nearest_pairs(ids, x, others, y, row_id: str, k: int) -> pd.DataFrame:
+    """The k nearest of ``others`` (in id order) to each of ``ids``, itself left out.
+
+    Squared distances are sums of squared differences in the order of the dimensions, so that a
+    pair has one distance wherever it is compared.
+    """
+    out = []
+    for a in range(0, len(ids), 256):
+        distance = np.zeros((len(ids[a : a + 256]), len(others)))
+        for j in range(x.shape[1]):
+            distance += (x[a : a + 256, j, None] - y[None, :, j]) ** 2
+        same = ids[a : a + 256, None] == others[None]
+        distance[same] = np.inf
+        order = np.argsort(distance, axis=1, kind="stable")[:, :k]
+        least = np.take_along_axis(distance, order, axis=1).ravel()
+        pairs = pd.DataFrame(
+            {row_id: np.repeat(ids[a : a + 256], order.shape[1]), "neighbor": others[order].ravel(), "distance": least}
+        )
+        out.append(pairs[~np.take_along_axis(same, order, axis=1).ravel()])
+    return pd.concat(out)
 
 
 def _block_search(row_id: str, vector: str, k: int):
     def search(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(row_id)
-        ids = block[row_id].to_numpy()
-        x = np.stack(block[vector].to_numpy())
-        # Centring keeps the expanded square distance accurate.
-        x = x - x.mean(axis=0)
-        squares = (x * x).sum(axis=1)
-        distance = np.maximum(squares[:, None] + squares[None, :] - 2.0 * (x @ x.T), 0.0)
-        np.fill_diagonal(distance, np.inf)
-        wanted = min(k, len(ids) - 1)
-        if wanted < 1:
-            return pd.DataFrame({row_id: ids[:0], "neighbor": ids[:0], "distance": squares[:0]})
-        order = np.argsort(distance, axis=1, kind="stable")[:, :wanted]
-        return pd.DataFrame(
-            {
-                row_id: np.repeat(ids, wanted),
-                "neighbor": ids[order].ravel(),
-                "distance": np.take_along_axis(distance, order, axis=1).ravel(),
-            }
-        )
+        ids, x = block[row_id].to_numpy(), np.stack(block[vector].to_numpy())
+        return _nearest_pairs(ids, x, ids, x, row_id, k)
 
     return search
 

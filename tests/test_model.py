@@ -304,3 +304,16 @@ def test_constant_column_has_no_correlation(spark):
     df = spark.createDataFrame([(0, 1.0, 2.0), (1, 1.0, 4.0), (1, 1.0, None)], "isFraud long, k double, x double")
     got = {r[0]: r[1] for r in eda.label_correlation(df, ["k", "x"]).collect()}
     assert got["k"] is None and got["x"] == pytest.approx(1.0)
+
+
+def test_neighbors_above_one_block_are_those_of_brute_force(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate((rng.normal(size=(4500, 4)), rng.normal(size=(300, 4)) * 1e-3, np.zeros((200, 4))))
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "TransactionID long, features array<double>")
+    got = np.full((len(x), 5), -1)
+    for r in oversample.nearest_neighbors(points, len(x), dimensions=4).collect():
+        got[r.TransactionID, r["rank"] - 1] = r.neighbor
+    assert (got >= 0).all() and not (got == np.arange(len(x))[:, None]).any()
+    squares = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(squares, np.inf)
+    assert np.allclose(np.take_along_axis(squares, got, axis=1), np.sort(squares, axis=1)[:, :5], rtol=1e-9, atol=0)
