@@ -54,9 +54,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Documents in one of the languages learned from all of them that name theirs.
 
     Texts that are null or have no letter go, and texts of whose n-grams less than a fifth is in any
-    learned language.
+    learned language. If no document names its language, none is learned, and all texts with a letter stay.
     """
-    found = with_language(docs, learn(docs), docs.columns)
+    model = learn(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = with_language(docs, model, docs.columns)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
 
 

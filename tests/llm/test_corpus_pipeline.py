@@ -118,3 +118,10 @@ def test_hard_rows_through_every_stage(spark, sf_dir):
 
 def test_names():
     assert corpus_pipeline.ORACLE_SQL is None and len(STAGES) == 5
+
+
+def test_texts_stay_if_no_row_names_a_language(spark, sf_dir):
+    rows = [(1, "a clean text", None, "s", 12), (2, "12 34", None, "s", 5), (3, None, None, "s", 0), (4, "\u00e9t\u00e9", None, None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, sf_dir)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4]
