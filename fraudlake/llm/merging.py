@@ -39,7 +39,8 @@ class Merger:
     """Counts tokens of texts as the tokenizer described by ``config`` (the text of its JSON file)."""
 
     def __init__(self, config: str):
-        spec = json.loads(config)
+        self.spec = spec = json.loads(config)
+        self.require_known_form()
         vocab = spec["model"]["vocab"]
         self.byte_ids = np.array([vocab[c] for c in printable_bytes()], np.int64)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
@@ -50,10 +51,25 @@ class Merger:
         special = [t["content"] for t in spec.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.pattern = regex.compile(PRE_TOKENS)
-        self.inside_white = regex.compile(f"[{WHITE}] [{WHITE}]")
+        self.inside_white = regex.compile(rf"[{WHITE}] (?:[{WHITE}]|\Z)")
         self.words_known: dict[str, int] = {}
         self.pieces_known: dict[str, int] = {}
 
+    def require_known_form(self) -> None:
+        """Refuses files whose tokens would need steps that are not taken here."""
+        model, split = self.spec["model"], self.spec.get("pre_tokenizer") or {}
+        known = (
+            model.get("type") == "BPE"
+            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+            and self.spec.get("normalizer") is None
+            and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True)
+            and not split.get("add_prefix_space")
+            and not any(t.get(k) for t in self.spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        )
+        if not known:
+            raise ValueError("not a plain byte-level BPE vocabulary")
+
     @staticmethod
     def hashed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """An open-addressing table of the pairs, at most a quarter full: keys (-1: free) and ranks."""
@@ -157,7 +173,8 @@ class Merger:
         """Parts that can be counted apart: cut before each space.
 
         A pre-token has a space only as its first character or inside a run of white space. A cut
-        is safe unless the space has white space on both sides; a text with such a place stays whole.
+        is safe unless the space has white space before it and behind it, or the text's end there; a
+        text with such a place stays whole.
         """
         if self.inside_white.search(text):
             return [text]

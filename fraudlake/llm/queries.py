@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from fraudlake.llm.codes import op11_codes
 from fraudlake.llm.decontaminate import OP1_SQL, op1_decontaminate
 from fraudlake.llm.extract import op5_extract
 from fraudlake.llm.language import op7_language
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
+    "op11_codes": op11_codes,
     "pipeline": corpus_pipeline.run,
 }
 
