@@ -7,7 +7,7 @@ pre-tokens begin are known without the text.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 
@@ -19,7 +19,8 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 FIRST = np.uint32(1 << 31)
 ID = np.uint32(FIRST - 1)
 AHEAD = 8  # bytes: the pattern looks at most two characters beyond the end of a pre-token
-TOKENS = 64  # tokens on each side that a join is first looked at with
+TOKENS = 16  # tokens on each side that a join is first looked at with
+WIDER = 8
 EMPTY = np.zeros(0, np.uint32)
 
 
@@ -177,36 +178,44 @@ class Coder(Merger):
     def begins(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where pre-tokens begin: numbers of their first tokens, and their places in bytes."""
         sizes = self.sizes[codes & ID]
-        first = np.flatnonzero(codes & FIRST)
-        return first, (np.cumsum(sizes) - sizes)[first]
+        first = (codes >= FIRST).nonzero()[0]
+        return first, (sizes.cumsum() - sizes)[first]
 
-    def joined(self, parts: Iterable[np.ndarray]) -> np.ndarray:
-        """The codes of a text whose consecutive parts have the codes ``parts``.
+    def joined(self, texts: Sequence[Sequence[np.ndarray]]) -> list[np.ndarray]:
+        """The codes of each text, given the codes of its consecutive parts.
 
         The codes of the text up to a join are those of its own, so the pre-tokens at its end that
         other characters after them could have changed are re-encoded with the head of the next
         part. Matching goes from left to right, so as soon as the re-encoded window and the part
         begin a pre-token at the same place, far enough from the window's end, they agree from there
-        on: the rest of the part is taken over. Until then the window is doubled.
+        on: the rest of the part is taken over. Until then the window is made wider. The first windows
+        of all joins are encoded together.
         """
+        texts = [[p for p in parts if len(p)] for parts in texts]
+        joins = [(left, right) for parts in texts for left, right in zip(parts, parts[1:])]
+        windows = []
+        for left, right in joins:
+            keep = self.settled(left)
+            windows.append((keep, self.window(left[keep:], self.head(right, TOKENS)) if keep else ""))
+        ready = iter(zip(windows, self.encode([w for _, w in windows])))
+        return [self.joined_parts(parts, ready) for parts in texts]
+
+    def joined_parts(self, parts: Sequence[np.ndarray], ready: Iterator) -> np.ndarray:
+        if not parts:
+            return EMPTY
         done: list[np.ndarray] = []
-        tail = EMPTY
-        for right in parts:
-            if not len(tail):
-                tail = right
-                continue
-            if not len(right):
-                continue
-            keep = self.settled(tail)
-            while keep == 0 and done:
-                tail = np.concatenate((done.pop(), tail))
-                keep = self.settled(tail)
-            begin, again, rest = self.repaired(tail[keep:], right)
+        tail, begin = parts[0], 0
+        for right, ((keep, _), again) in zip(parts[1:], ready):
+            if keep > begin and len(tail):  # the part before still ends as it did
+                keep -= begin
+            else:
+                again, keep = None, self.settled(tail)
+                while keep == 0 and done:
+                    tail = np.concatenate((done.pop(), tail))
+                    keep = self.settled(tail)
+            begin, again = self.repaired(tail[keep:], right, again)
             done += [tail[:keep], again]
-            tail = right[begin:] if rest else EMPTY
-            if not len(tail):
-                tail = np.concatenate(done)
-                done = []
+            tail = right[begin:]
         return np.concatenate([*done, tail])
 
     def settled(self, codes: np.ndarray) -> int:
@@ -214,42 +223,50 @@ class Coder(Merger):
         n = TOKENS
         while True:
             part = codes[-n:]
-            to_end = np.cumsum(self.sizes[part & ID][::-1])[::-1]
-            good = np.flatnonzero(((part & FIRST) != 0) & (to_end >= self.guard))
+            to_end = self.sizes[part & ID][::-1].cumsum()[::-1]
+            good = ((part >= FIRST) & (to_end >= self.guard)).nonzero()[0]
             if len(good):
                 return len(codes) - len(part) + int(good[-1])
             if n >= len(codes):
                 return 0
-            n *= 2
+            n *= WIDER
+
+    def head(self, codes: np.ndarray, n: int) -> np.ndarray:
+        """The first pre-tokens, about ``n`` tokens; none if the first one is longer than that."""
+        return codes if n >= len(codes) else codes[: (codes[: n + 1] >= FIRST).nonzero()[0][-1]]
 
-    def repaired(self, left: np.ndarray, right: np.ndarray) -> tuple[int, np.ndarray, bool]:
-        """``(token of right, codes, rest)``: the codes that stand for ``left`` and ``right`` up to that
-        token; ``rest`` is false if they stand for all of ``right``."""
+    def window(self, left: np.ndarray, head: np.ndarray) -> str:
+        return self.decode(np.concatenate((left, head))).decode()
+
+    def repaired(self, left: np.ndarray, right: np.ndarray, again: np.ndarray | None) -> tuple[int, np.ndarray]:
+        """``(token of right, codes)``: the codes that stand for ``left`` and ``right`` up to that token.
+
+        ``again`` is the first window's encoding, if it is known.
+        """
         base = int(self.sizes[left & ID].sum())
         n = TOKENS
         while True:
-            whole = n >= len(right)
-            first, places = self.begins(right if whole else right[: n + 1])
-            n *= 2
-            if not whole:
-                if first[-1] == 0:
-                    continue
-                head = right[: first[-1]]
-                first, places = first[:-1], places[:-1]
-            else:
-                head = right
-            again = self.encode([self.decode(np.concatenate((left, head))).decode()])[0]
+            head, whole = self.head(right, n), n >= len(right)
+            n *= WIDER
+            if not len(head):
+                again = None
+                continue
+            if again is None:
+                again = self.encode([self.window(left, head)])[0]
+            first, places = self.begins(head)
             end = base + int(self.sizes[head & ID].sum())
+            sure = end if whole else end - self.guard
             mine, at = self.begins(again)
-            _, i, j = np.intersect1d(at, places + base, assume_unique=True, return_indices=True)
-            ok = at[i] <= end - (0 if whole else self.guard)
-            if ok.any():
-                i, j = int(mine[i[ok][0]]), int(first[j[ok][0]])
-                same = min(int(mine[at <= end - self.guard][-1]) if (at <= end - self.guard).any() else 0, len(again))
-                if same <= i or np.array_equal(again[i:same], right[j : j + same - i]):
-                    return j, again[:i], True
+            theirs = np.minimum(places.searchsorted(at - base), len(places) - 1)
+            both = ((places[theirs] + base == at) & (at <= sure)).nonzero()[0]
+            if len(both):
+                i, to = int(mine[both[0]]), int(mine[both[-1]])
+                j = int(first[theirs[both[0]]])
+                if np.array_equal(again[i:to], right[j : j + to - i]):
+                    return j, again[:i]
             if whole:
-                return len(right), again, False
+                return len(right), again
+            again = None
 
     def result(self, codes: np.ndarray) -> tuple[int, str, str]:
         """Number of tokens, digest of the ids, digest of the decoded text."""

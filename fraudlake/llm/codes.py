@@ -147,19 +147,21 @@ def put_together(pieces: DataFrame, names: list[str], vocabulary: Broadcast) ->
         row, own, held, fields = None, (), [], []
         for batch in batches:
             fields = [*((n, batch.schema.field(n).type) for n in names), *RESULT]
-            out = []
+            ended = []
             keeps = zip(*(batch.column(n).to_pylist() for n in names)) if names else ((),) * len(batch)
             for number, keep, codes in zip(batch.column("_row").to_pylist(), keeps, batch.column("codes")):
                 if number != row:
                     if held:
-                        out.append((*own, *coder.result(coder.joined(held))))
+                        ended.append((own, held))
                     row, own, held = number, keep, []
                 held.append(np.frombuffer(codes.as_py(), np.uint32))
-            yield packed(out, fields)
+            yield packed(coder, ended, fields)
         if held:
-            yield packed([(*own, *coder.result(coder.joined(held)))], fields)
+            yield packed(coder, [(own, held)], fields)
 
-    def packed(out: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
+    def packed(coder: Coder, ended: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
+        codes = coder.joined([held for _, held in ended])
+        out = [(*own, *coder.result(c)) for (own, _), c in zip(ended, codes)]
         columns = [pa.array([o[i] for o in out], kind) for i, (_, kind) in enumerate(fields)]
         return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])
 
