@@ -10,6 +10,7 @@ import corpus_pipeline
 from fraudlake.llm.codes import op11_codes
 from fraudlake.llm.decontaminate import OP1_SQL, op1_decontaminate
 from fraudlake.llm.extract import op5_extract
+from fraudlake.llm.hard_negatives import OP13_SQL, op13_negatives
 from fraudlake.llm.language import op7_language
 from fraudlake.llm.mixing import OP4_SQL, op4_mixing
 from fraudlake.llm.neighbours import op8_neighbours
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
     "op11_codes": op11_codes,
+    "op13_negatives": op13_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -38,4 +40,5 @@ ORACLE: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
     "op4_mixing": OP4_SQL,
     "op6_warc": OP6_SQL,
+    "op13_negatives": OP13_SQL,
 }
