@@ -14,6 +14,7 @@ from fraudlake.llm.hard_negatives import OP13_SQL, op13_negatives
 from fraudlake.llm.language import op7_language
 from fraudlake.llm.mixing import OP4_SQL, op4_mixing
 from fraudlake.llm.neighbours import op8_neighbours
+from fraudlake.llm.phrases import OP12_SQL, op12_phrases
 from fraudlake.llm.quality import op3_quality
 from fraudlake.llm.sharding import op2_shards
 from fraudlake.llm.simhash import op9_simhash
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_tokens": op10_tokens,
     "op11_codes": op11_codes,
+    "op12_phrases": op12_phrases,
     "op13_negatives": op13_negatives,
     "pipeline": corpus_pipeline.run,
 }
@@ -40,5 +42,6 @@ ORACLE: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
     "op4_mixing": OP4_SQL,
     "op6_warc": OP6_SQL,
+    "op12_phrases": OP12_SQL,
     "op13_negatives": OP13_SQL,
 }
