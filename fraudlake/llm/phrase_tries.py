@@ -16,7 +16,7 @@ _codes = np.arange(256)
 ENDS_PIECE = np.isin(_codes, [ord(c) for c in ".,;:!?\n\v\f\r"])
 IN_WORD = ~(ENDS_PIECE | np.isin(_codes, [ord(" "), ord("\t")]))
 NONE, TOP_BIT = np.uint64(0), np.uint64(1 << 63)
-ROOM = 4  # cells of a double array for each node
+GAPS = 64  # looked at for a node of several children
 
 
 def text_hash(text: str) -> int:
@@ -114,78 +114,48 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class PhraseTrie:
-    """A double array over words: from cell ``s`` the word with code ``c`` leads to ``base[s] + c`` if that
-    cell's ``check`` is ``s``. Codes are the places of the words' hashes in ``words``; the first symbol of a
-    phrase is its language, whose cells are ``roots``. ``accepts`` numbers the phrases, -1 for inner cells."""
+    """A double array of phrases: from cell ``s`` the symbol ``c`` leads to ``base[s] + c`` if that cell's
+    ``check`` is ``s``. A word is the place of its hash in ``words``, written with ``digits`` symbols of 8
+    bits, so that no cell has more than 256 children. A phrase begins at the cell of its language in
+    ``roots``; ``accepts`` numbers the phrases, -1 for inner cells."""
 
     ARRAYS = ("words", "base", "check", "accepts")
 
+    def __init__(self, langs: Sequence[str], arrays: Sequence[np.ndarray]):
+        self.roots = {lang: i for i, lang in enumerate(langs)}
+        self.words, self.base, self.check, self.accepts = arrays
+        self.digits = max(1, -(-int(len(self.words) - 1).bit_length() // 8))
+
     @classmethod
     def built(cls, langs: Sequence[str], phrases: Sequence[Sequence[int]]) -> PhraseTrie:
-        self = cls()
         rows = [np.array(p, np.int64).view(np.uint64) for p in phrases]
-        self.words = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.uint64)
+        words = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.uint64)
         names = sorted(set(langs))
+        empty = np.zeros(0, np.int32)
+        digits = cls(names, [words, empty, empty, empty]).digits
+        symbols = words_symbols(len(words), digits)
+        root = {lang: i for i, lang in enumerate(names)}
         children: list[dict[int, int]] = [{} for _ in names]
         accepts = [-1] * len(names)
         for number, (lang, row) in enumerate(zip(langs, rows)):
-            node = names.index(lang)
-            for code in np.searchsorted(self.words, row).tolist():
-                to = children[node].setdefault(code, len(children))
+            node = root[lang]
+            for symbol in symbols[np.searchsorted(words, row)].ravel().tolist():
+                to = children[node].setdefault(symbol, len(children))
                 if to == len(children):
                     children.append({})
                     accepts.append(-1)
                 node = to
             accepts[node] = number
-        size = ROOM * len(children) + len(self.words) + 1
-        self.base = np.zeros(size, np.int32)
-        self.check = np.full(size, -1, np.int32)
-        self.accepts = np.full(size, -1, np.int32)
-        self.roots = {lang: i for i, lang in enumerate(names)}
-        self.check[: len(names)] = -2  # taken, and no cell's child
-        self.place(children, accepts, len(names))
-        return self
+        return cls(names, [words, *placed(children, accepts, len(names))])
 
     @classmethod
-    def of_arrays(cls, langs: Sequence[str], arrays: Sequence[bytes]) -> PhraseTrie:
-        self = cls()
-        for name, raw in zip(cls.ARRAYS, arrays):
-            setattr(self, name, np.frombuffer(raw, np.uint64 if name == "words" else np.int32))
-        self.roots = {lang: i for i, lang in enumerate(langs)}
-        return self
+    def of_bytes(cls, langs: Sequence[str], raw: Sequence[bytes]) -> PhraseTrie:
+        kinds = {"words": np.uint64}
+        return cls(langs, [np.frombuffer(r, kinds.get(n, np.int32)) for n, r in zip(cls.ARRAYS, raw)])
 
-    def arrays(self) -> list[bytes]:
+    def to_bytes(self) -> list[bytes]:
         return [getattr(self, name).tobytes() for name in self.ARRAYS]
 
-    def place(self, children: list[dict[int, int]], accepts: list[int], roots: int) -> None:
-        """Gives each node's children the first tried offset at which all their cells are free.
-
-        A node is placed when its parent has been, those with most children first as far as that
-        allows; offsets are tried in a fixed pseudo-random order, as most cells stay free.
-        """
-        rng = np.random.default_rng(0)
-        level = list(zip(range(roots), range(roots)))  # (node, cell)
-        span = len(self.check) - len(self.words)
-        while level:
-            level.sort(key=lambda at: -len(children[at[0]]))
-            following = []
-            for node, cell in level:
-                codes = np.fromiter(children[node], np.int64, len(children[node]))
-                if not len(codes):
-                    continue
-                while True:
-                    tries = rng.integers(0, span, 16)
-                    free = (self.check[tries[:, None] + codes] == -1).all(axis=1)
-                    if free.any():
-                        break
-                base = int(tries[free.argmax()])
-                self.base[cell] = base
-                self.check[base + codes] = cell
-                for to, at in zip(children[node].values(), (base + codes).tolist()):
-                    self.accepts[at] = accepts[to]
-                    following.append((to, at))
-            level = following
-
     def count(self, words: PieceWords, langs: Sequence[str], counts: np.ndarray) -> None:
         """Adds the occurrences of every phrase to ``counts``: all positions go down a level at once."""
         if not len(self.words):
@@ -195,14 +165,70 @@ class PhraseTrie:
         root = np.array([self.roots.get(lang, -1) for lang in langs], np.int64)[words.owner]
         at = np.flatnonzero(known & (root >= 0))
         state = root[at]
+        symbols = words_symbols(len(self.words), self.digits)
         for depth in range(LONGEST):
             if depth:
                 inside = at + depth < len(code)
                 at, state = at[inside], state[inside]
                 good = known[at + depth] & (words.piece[at] == words.piece[at + depth])
                 at, state = at[good], state[good]
-            to = self.base[state] + code[at + depth]
-            good = self.check[to] == state
-            at, state = at[good], to[good]
+            for digit in range(self.digits):
+                to = self.base[state] + symbols[code[at + depth], digit]
+                good = self.check[to] == state
+                at, state = at[good], to[good]
             found = self.accepts[state]
             counts += np.bincount(found[found >= 0], minlength=len(counts))
+
+
+def words_symbols(n: int, digits: int) -> np.ndarray:
+    """The symbols of the words 0 to ``n - 1``, a row each."""
+    shifts = 8 * np.arange(digits - 1, -1, -1)
+    return (np.arange(n)[:, None] >> shifts & 255).astype(np.int64)
+
+
+def placed(children: list[dict[int, int]], accepts: list[int], roots: int) -> tuple[np.ndarray, ...]:
+    """The cells of a double array: ``base``, ``check`` and ``accepts``.
+
+    Level by level, nodes with most children first: their cells go into the first of a few recent
+    gaps that has room for all of them, or behind the last cell in use. One child fits into any gap.
+    """
+    size = 512 + roots + 4 * len(children)
+    base, check, marks = (np.full(size, v, np.int32) for v in (0, -1, -1))
+    check[:roots] = -2  # taken, and no cell's child
+    used = roots + 256
+    gaps = list(range(used - 1, roots + 255, -1))
+    level = list(zip(range(roots), range(roots)))  # (node, cell)
+    while level:
+        level.sort(key=lambda at: -len(children[at[0]]))
+        following = []
+        for node, cell in level:
+            kids = sorted(children[node].items())
+            if not kids:
+                continue
+            symbols = np.array([c for c, _ in kids], np.int64)
+            first = None
+            if len(kids) == 1:
+                while gaps and first is None:
+                    gap = gaps.pop()
+                    first = gap if check[gap] == -1 else None
+            elif gaps:
+                tries = np.array(gaps[-GAPS:], np.int64)
+                free = (check[tries[:, None] + (symbols - symbols[0])] == -1).all(axis=1)
+                first = int(tries[free.argmax()]) if free.any() else None
+            if first is None:
+                first = used
+            at = first + symbols - symbols[0]
+            if at[-1] + 512 > len(check):
+                more = len(check)
+                base, check, marks = (np.concatenate((a, np.full(more, v, np.int32))) for a, v in ((base, 0), (check, -1), (marks, -1)))
+            base[cell] = first - symbols[0]
+            check[at] = cell
+            if at[-1] >= used:
+                taken = set(at.tolist())
+                gaps += [i for i in range(used, int(at[-1])) if i not in taken]
+                used = int(at[-1]) + 1
+            for (_, to), own in zip(kids, at.tolist()):
+                marks[own] = accepts[to]
+                following.append((to, own))
+        level = following
+    return base[: used + 256], check[: used + 256], marks[: used + 256]

@@ -176,8 +176,8 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
     """``(lang, phrase, a)``: the occurrences of every phrase.
 
     The tries are built by tasks, one block each, and come to the driver one after another: a trie has
-    at most about BLOCK_PHRASES phrases, LONGEST cells a phrase times the room. The texts are read once for
-    every block.
+    at most about BLOCK_PHRASES phrases, each of which adds a few cells. The texts are read once for every
+    block.
     """
     held = stash(phrases)
     blocks = max(1, -(-held.count() // BLOCK_PHRASES))
@@ -187,7 +187,7 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
         block = block.append_column("number", pa.array(np.arange(len(block), dtype=np.int64)))
         trie = PhraseTrie.built(block["lang"].to_pylist(), block["words"].to_pylist())
         first = {"langs": pa.array([list(trie.roots)] + [None] * (len(block) - 1), pa.list_(pa.string()))}
-        first |= {name: pa.array([raw] + [None] * (len(block) - 1), pa.binary()) for name, raw in zip(arrays, trie.arrays())}
+        first |= {name: pa.array([raw] + [None] * (len(block) - 1), pa.binary()) for name, raw in zip(arrays, trie.to_bytes())}
         kept = block.select(["lang", "phrase", "block", "number"])
         return pa.table({**{c: kept[c] for c in kept.column_names}, **first})
 
@@ -211,7 +211,7 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
 
 def counter(shared) -> Callable:
     def start():
-        trie = PhraseTrie.of_arrays(*shared.value)
+        trie = PhraseTrie.of_bytes(*shared.value)
         counts = np.zeros(int(trie.accepts.max()) + 1, np.int64)
 
         def end() -> Iterator[pa.RecordBatch]:

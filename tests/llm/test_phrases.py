@@ -81,7 +81,8 @@ def test_counts_of_a_trie_are_those_of_every_position():
     counted = Counter(tuple(split[i : i + k]) for k in (2, 3, 4) for i in range(len(split) - k + 1))
     asked = [p for p, _ in counted.most_common(9000)] + [("w1", "w1", "w299", "w299")]
     trie = PhraseTrie.built(["en"] * len(asked), [[hash_of[w] for w in p] for p in asked])
-    trie = PhraseTrie.of_arrays(list(trie.roots), trie.arrays())
+    assert len(trie.base) < 6 * (trie.check >= 0).sum() + 1024
+    trie = PhraseTrie.of_bytes(list(trie.roots), trie.to_bytes())
     counts = np.zeros(len(asked), np.int64)
     trie.count(words, ["en"], counts)
     assert counts.tolist() == [counted[p] for p in asked]
