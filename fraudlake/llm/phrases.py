@@ -176,8 +176,8 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
     """``(lang, phrase, a)``: the occurrences of every phrase.
 
     The tries are built by tasks, one block each, and come to the driver one after another: a trie has
-    at most about BLOCK_PHRASES phrases, each of which adds a few cells. The texts are read once for every
-    block.
+    at most about BLOCK_PHRASES phrases, each of which adds a few cells, and is given up when its block
+    has been counted. The texts are read once for every block.
     """
     held = stash(phrases)
     blocks = max(1, -(-held.count() // BLOCK_PHRASES))
@@ -196,13 +196,14 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
     built = stash(held.groupBy("block").applyInArrow(build, schema))
     sums = None
     for block in range(blocks):
-        part = built.where(F.col("block") == block)
-        row = part.where("langs is not null").select("langs", *arrays).first()
-        if row is None:
+        trie = built.where((F.col("block") == block) & F.col("langs").isNotNull()).select("langs", *arrays).toArrow()
+        if not len(trie):
             continue
-        shared = texts.sparkSession.sparkContext.broadcast((row["langs"], [bytes(row[n]) for n in arrays]))
+        shared = texts.sparkSession.sparkContext.broadcast((trie["langs"][0].as_py(), [trie[n][0].as_py() for n in arrays]))
+        del trie
         counted = scan(texts, seed, "number long, a long", counter(shared)).groupBy("number").agg(F.sum("a").alias("a"))
-        counted = counted.withColumn("block", F.lit(block))
+        counted = stash(counted.withColumn("block", F.lit(block)))
+        shared.destroy()
         sums = counted if sums is None else sums.unionByName(counted)
     if sums is None:
         return built.select("lang", "phrase", F.col("number").alias("a"))
