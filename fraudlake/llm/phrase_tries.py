@@ -46,8 +46,13 @@ class PieceWords:
             at = to
         self.hashes = mixed(np.concatenate(hashes) + np.uint64(seed * MIX % (1 << 64))) | np.uint64(1)
 
-    def text(self, a: int, b: int) -> str:
-        return b" ".join(self.low[self.starts[i] : self.ends[i]].tobytes() for i in range(a, b)).decode()
+    def strings(self, numbers: np.ndarray) -> pa.Array:
+        sizes = (self.ends - self.starts)[numbers]
+        ends = np.cumsum(sizes)
+        steps = np.arange(sizes.sum()) - np.repeat(ends - sizes, sizes)
+        data = self.low[np.repeat(self.starts[numbers], sizes) + steps]
+        offsets = np.concatenate(([0], ends)).astype(np.int32)
+        return pa.StringArray.from_buffers(len(numbers), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes()))
 
     def differ(self, others: np.ndarray) -> np.ndarray:
         """Numbers of the words whose bytes are not those of the word ``others`` has for them."""
@@ -113,6 +118,14 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
+def distinct_rows(rows: np.ndarray) -> np.ndarray:
+    """The different rows of a matrix."""
+    if len(rows) < 2:
+        return rows
+    rows = rows[np.lexsort(rows.T)]
+    return rows[np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))]
+
+
 class PhraseTrie:
     """A double array of phrases: from cell ``s`` the symbol ``c`` leads to ``base[s] + c`` if that cell's
     ``check`` is ``s``. A word is the place of its hash in ``words``, written with ``digits`` symbols of 8

@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from fraudlake.llm.common import stash, table
 from fraudlake.llm.decontaminate import bit_filter, passes
-from fraudlake.llm.phrase_tries import LONGEST, PhraseTrie, PieceWords, Tally, piece_batches, summed
+from fraudlake.llm.phrase_tries import LONGEST, PhraseTrie, PieceWords, Tally, distinct_rows, piece_batches, summed
 from fraudlake.llm.word_grams import Hasher
 
 LEAST = 30
@@ -29,7 +29,6 @@ COVERED = 80  # per cent of a phrase's occurrences
 SCALE = 2_000_000
 BLOCK_PHRASES = 1 << 18
 HELD = 1 << 21  # hashes held by a task before it hands them on
-SEEN = 1 << 19  # candidates that a task knows it has handed on
 PART_KEYS = 1 << 20  # occurrences whose hashes go to one part
 
 
@@ -48,7 +47,7 @@ def scan(texts: DataFrame, seed: int, schema: str, start: Callable) -> DataFrame
 
 
 def word_counts(texts: DataFrame) -> tuple[DataFrame, int]:
-    """``(lang, gram, word, n)`` of all words, and the seed of the hashes, under which no two words of a
+    """``(lang, gram, code, word, n)`` of all words, and the seed of the hashes, under which no two words of a
     language have the same hash: all words are compared, and another seed is taken if two meet."""
 
     def start():
@@ -59,19 +58,20 @@ def word_counts(texts: DataFrame) -> tuple[DataFrame, int]:
             first, n = np.concatenate((first, odd)), np.concatenate((n, np.ones(len(odd), np.int64)))
             grams = all_grams[first]
             names = [langs[i] for i in words.owner[first].tolist()]
-            said = [words.text(i, i + 1) for i in first.tolist()]
+            codes = pa.array(words.hashes[first].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(grams.view(np.int64)), pa.array(said, pa.string()), pa.array(n, pa.int64())],
-                names=["lang", "gram", "word", "n"],
+                [pa.array(names, pa.string()), pa.array(grams.view(np.int64)), codes, words.strings(first), pa.array(n, pa.int64())],
+                names=["lang", "gram", "code", "word", "n"],
             )
 
         return each, lambda: ()
 
     for seed in range(16):
-        found = scan(texts, seed, "lang string, gram long, word string, n long", start)
-        counts = stash(found.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.min("word").alias("word"), F.max("word").alias("other")))
+        found = scan(texts, seed, "lang string, gram long, code long, word string, n long", start)
+        ends = (F.min("code").alias("code"), F.min("word").alias("word"), F.max("word").alias("other"))
+        counts = stash(found.groupBy("lang", "gram").agg(F.sum("n").alias("n"), *ends))
         if counts.where("word <> other").isEmpty():
-            return counts.select("lang", "gram", "word", "n"), seed
+            return counts.select("lang", "gram", "code", "word", "n"), seed
     raise ArithmeticError("word hashes collide under every seed")
 
 
@@ -136,44 +136,65 @@ def frequent_hashes(texts: DataFrame, seed: int, filters, k: int, least: int, pa
     return held.groupBy("part").applyInArrow(total, "gram long")
 
 
-def candidates(texts: DataFrame, seed: int, filters) -> DataFrame:
-    """``(lang, words, phrase)``: distinct phrases of two words and more, all of whose parts pass."""
+def candidates(texts: DataFrame, seed: int, filters, parts: int) -> DataFrame:
+    """``(lang, words)``: distinct phrases of two words and more, as hashes, all of whose parts pass.
+
+    Tasks hand them on in packets, one for each language, length and part of the hashes.
+    """
 
     def start():
-        seen: set[int] = set()
+        held: dict[tuple[str, int], list[np.ndarray]] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            langs, sizes, of, packets = [], [], [], []
+            for (lang, k), rows in held.items():
+                found = np.concatenate(rows)
+                part = ((found[:, 0] ^ found[:, -1] >> np.uint64(7)) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                found, part = found[order], part[order]
+                cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))).tolist()
+                for a, b in zip(cuts, [*cuts[1:], len(part)]):
+                    langs.append(lang), sizes.append(k), of.append(int(part[a])), packets.append(found[a:b].tobytes())
+            held.clear()
+            columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(of, pa.int64()), pa.array(packets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "part", "packet"])
 
         def each(langs, salts, words) -> Iterator[pa.RecordBatch]:
-            names, hashes, said = [], [], []
             passed = passing(words, salts, filters.value)
+            names = np.array(langs)[words.owner] if len(words.owner) else np.zeros(0, str)
             for k in range(2, LONGEST + 1):
-                grams = words.grams(k, salts)
-                at = fits(passed, grams, k)
-                grams = grams[at]
-                _, first, of = np.unique(grams, return_index=True, return_inverse=True)
-                row = np.stack([words.hashes[at + j] for j in range(k)], axis=1)
-                # Different phrases under one hash are all handed on, again and again.
-                odd = (row != row[first[of]]).any(axis=1) if len(at) else np.zeros(0, bool)
-                clash = np.isin(grams, grams[odd])
-                new = [i for i in first.tolist() if int(grams[i]) not in seen and not clash[i]]
-                new = np.array(new + np.flatnonzero(clash).tolist(), np.int64)
-                if len(seen) > SEEN:
-                    seen.clear()
-                seen.update(grams[new].tolist())
-                names += [langs[i] for i in words.owner[at[new]].tolist()]
-                hashes += row[new].view(np.int64).tolist()
-                said += [words.text(i, i + k) for i in at[new].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(said, pa.string())],
-                names=["lang", "words", "phrase"],
-            )
+                at = fits(passed, words.grams(k, salts), k)
+                for lang in np.unique(names[at]).tolist():
+                    some = at[names[at] == lang]
+                    rows = distinct_rows(np.stack([words.hashes[some + j] for j in range(k)], axis=1))
+                    held.setdefault((lang, k), []).append(rows)
+            if sum(len(r) for rows in held.values() for r in rows) > HELD:
+                for key, rows in held.items():
+                    held[key] = [distinct_rows(np.concatenate(rows))]
+                if sum(len(rows[0]) for rows in held.values()) > HELD // 2:
+                    yield from flush()
 
-        return each, lambda: ()
+        def end() -> Iterator[pa.RecordBatch]:
+            for key, rows in held.items():
+                held[key] = [distinct_rows(np.concatenate(rows))]
+            yield from flush()
+
+        return each, end
+
+    def distinct(packets: pa.Table) -> pa.Table:
+        size = packets["size"][0].as_py()
+        rows = [np.frombuffer(p.as_py(), np.uint64).reshape(-1, size) for p in packets["packet"]]
+        found = distinct_rows(np.concatenate(rows))
+        offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * size)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel().view(np.int64)))
+        return pa.table({"lang": pa.array([packets["lang"][0].as_py()] * len(found), pa.string()), "words": lists})
 
-    return scan(texts, seed, "lang string, words array<long>, phrase string", start).distinct()
+    packets = scan(texts, seed, "lang string, size int, part long, packet binary", start)
+    return packets.groupBy("lang", "size", "part").applyInArrow(distinct, "lang string, words array<long>")
 
 
 def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
-    """``(lang, phrase, a)``: the occurrences of every phrase.
+    """``(lang, words, a)``: the occurrences of every phrase, its words as hashes.
 
     The tries are built by tasks, one block each, and come to the driver one after another: a trie has
     at most about BLOCK_PHRASES phrases, each of which adds a few cells, and is given up when its block
@@ -188,11 +209,11 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
         trie = PhraseTrie.built(block["lang"].to_pylist(), block["words"].to_pylist())
         first = {"langs": pa.array([list(trie.roots)] + [None] * (len(block) - 1), pa.list_(pa.string()))}
         first |= {name: pa.array([raw] + [None] * (len(block) - 1), pa.binary()) for name, raw in zip(arrays, trie.to_bytes())}
-        kept = block.select(["lang", "phrase", "block", "number"])
+        kept = block.select(["lang", "words", "block", "number"])
         return pa.table({**{c: kept[c] for c in kept.column_names}, **first})
 
     arrays = [f"trie_{name}" for name in PhraseTrie.ARRAYS]
-    schema = "lang string, phrase string, block int, number long, langs array<string>, " + ", ".join(f"{n} binary" for n in arrays)
+    schema = "lang string, words array<long>, block int, number long, langs array<string>, " + ", ".join(f"{n} binary" for n in arrays)
     built = stash(held.groupBy("block").applyInArrow(build, schema))
     sums = None
     for block in range(blocks):
@@ -206,8 +227,8 @@ def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
         shared.destroy()
         sums = counted if sums is None else sums.unionByName(counted)
     if sums is None:
-        return built.select("lang", "phrase", F.col("number").alias("a"))
-    return built.join(sums, ["block", "number"]).select("lang", "phrase", "a")
+        return built.select("lang", "words", F.col("number").alias("a"))
+    return built.join(sums, ["block", "number"]).select("lang", "words", "a")
 
 
 def counter(shared) -> Callable:
@@ -240,8 +261,11 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST) -> tuple[DataFrame, D
         grams = frequent_hashes(texts, seed, shared, k, least, parts)
         filters.append(bit_filter(stash(grams)))
     shared = spark.sparkContext.broadcast(filters)
-    counted = trie_counts(texts, candidates(texts, seed, shared), seed)
-    return stash(counted.where(F.col("a") >= least).select("lang", "phrase", "a")), words
+    counted = trie_counts(texts, candidates(texts, seed, shared, parts), seed).where(F.col("a") >= least)
+    listed = stash(counted.withColumn("id", F.monotonically_increasing_id()))
+    said = listed.select("id", "lang", "a", F.posexplode("words").alias("at", "code")).join(words.select("lang", "code", "word"), ["lang", "code"])
+    named = said.groupBy("id", "lang", "a").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("said"))
+    return stash(named.select("lang", F.array_join("said.word", " ").alias("phrase"), "a")), words
 
 
 def part(first: Column | int, length: Column | int) -> Column:

@@ -64,7 +64,6 @@ def test_against_brute_force(spark, monkeypatch, least, top):
     rows = random_rows(150, least)
     monkeypatch.setattr(phrases, "BLOCK_PHRASES", 40)
     monkeypatch.setattr(phrases, "HELD", 30)
-    monkeypatch.setattr(phrases, "SEEN", 10)
     monkeypatch.setattr(phrases, "PART_KEYS", 200)
     want = brute(rows, least, top)
     assert got(collocations(frame(spark, rows).repartition(3), least, top)) == sorted(want) and len(want) >= 3 * min(top, 20)
