@@ -187,6 +187,23 @@ ORACLE = {
         FROM ({_RANKED}) WHERE rn <= floor(n * 0.2::DOUBLE + 0.5) GROUP BY isFraud""",
         "txn",
     ),
+    "search_checks": with_views(
+        f"""SELECT isFraud, count(*) AS rows, CAST(3 AS BIGINT) AS trials, CAST(3 * 9 AS BIGINT) AS inside,
+               CAST(1 AS BIGINT) AS ended, true AS best_is_best
+        FROM ({_RANKED}) WHERE rn > floor(n * 0.2::DOUBLE + 0.5) GROUP BY isFraud""",
+        "txn",
+    ),
+    # Two features: half of what a feature adds alone, and half of what it adds to the other.
+    "attribution_known": with_views(
+        """WITH v AS (SELECT -0.4 * 6 / 8 + (0.2 * 0.25 + 0.9 * 0.75) * 2 / 8 AS none,
+               CASE WHEN TransactionAmt <= 100 THEN -0.4 ELSE 0.2 * 0.25 + 0.9 * 0.75 END AS amount,
+               -0.4 * 6 / 8 + CASE WHEN D1 IS NULL OR D1 <= 10 THEN 0.2 ELSE 0.9 END * 2 / 8 AS days,
+               CASE WHEN TransactionAmt <= 100 THEN -0.4 WHEN D1 IS NULL OR D1 <= 10 THEN 0.2 ELSE 0.9 END AS both_
+               FROM txn)
+        SELECT 'TransactionAmt' AS feature, round(avg(abs((amount - none) + (both_ - days)) / 2)::DOUBLE, 6) AS mean_abs_shap FROM v
+        UNION ALL SELECT 'D1', round(avg(abs((days - none) + (both_ - amount)) / 2)::DOUBLE, 6) FROM v""",
+        "txn",
+    ),
     "smote_totals": with_views(
         """WITH n AS (SELECT count(*) FILTER (isFraud = 1) AS minority,
                CAST(floor(0.1 * count(*) FILTER (isFraud = 0)) AS BIGINT)

@@ -13,6 +13,7 @@ from fraudlake.functions import expressions as X
 from fraudlake.operators import attribution, audit, boosting, encoding, entity, evaluate
 from fraudlake.operators import impute as imputing
 from fraudlake.operators import oversample, segment, split, velocity
+from fraudlake.operators.trees import Tree, TreeModel
 from fraudlake.plans import checks, eda, engineer, reports
 from fraudlake.session import ensure_checkpoint_dir, materialize, small_table
 from fraudlake.sources import readers
@@ -30,10 +31,9 @@ SMALL_MODEL = {
     "min_child_weight": 2,
     "gamma": 0.0,
 }
-SEARCH_MODELS = [
-    {**SMALL_MODEL, "n_estimators": 4, "max_depth": 3},
-    {**SMALL_MODEL, "n_estimators": 4, "max_depth": 2, "learning_rate": 0.3},
-]
+# The space of the search with fewer trees.
+SEARCH_SPACE = {**boosting.SEARCH_SPACE, "n_estimators": (2, 4, "int")}
+SEARCH_TRIALS = 3
 FIXTURE_FEATURES = [
     "TransactionAmt", "tx_hour", "tx_count_card1_1h", "tx_count_card1_24h",
     "amt_vs_card1_mean", "card1_addr1_count", "ProductCD", "card4", "card6",
@@ -314,13 +314,14 @@ def smote_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("neighbor_pairs", pairs.scalar())
 
 
-def _written_model_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    """As in the batch job, where the features are a table before anything is fitted."""
-    return _model_rows(spark, sf_dir)
+def _training_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """All numeric features, as in the batch job: a table before anything is fitted."""
+    featured = materialize(engineer.engineer_features(materialize(merged(spark, sf_dir))))
+    return boosting.feature_matrix(featured, mark_missing=False)
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    rows, features = _written_model_rows(spark, sf_dir)
+    rows, features = _training_rows(spark, sf_dir)
     train, test = split.stratified_split(rows)
     return boosting.fit_boosted_trees(train, features, SMALL_MODEL), test, features
 
@@ -345,23 +346,65 @@ def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count(F.lit(1)).alias("rows"),
             F.count_if(~p.between(0, 1)).alias("outside"),
             F.count_if(F.col("predicted_label") != (p >= 0.5).cast("long")).alias("contradicted"),
-            F.count_if(~(F.abs(1 / (1 + F.exp(-2 * F.col("margin"))) - p) < 1e-9)).alias("not_adding_up"),
+            F.count_if(~(F.abs(1 / (1 + F.exp(-F.col("margin"))) - p) < 1e-9)).alias("not_adding_up"),
         )
     )
 
 
-def search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, features = _written_model_rows(spark, sf_dir)
+def _searched(spark: SparkSession, sf_dir: str) -> tuple[list[dict], DataFrame]:
+    rows, features = _training_rows(spark, sf_dir)
     train, _ = split.stratified_split(rows)
-    trials = boosting.trials_table(spark, boosting.search(train, features, SEARCH_MODELS))
+    candidates = boosting.draw_params(SEARCH_TRIALS, space=SEARCH_SPACE)
+    return boosting.search(train, features, candidates), train
+
+
+def search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trials = boosting.trials_table(spark, _searched(spark, sf_dir)[0])
     return trials.drop("datetime_start", "datetime_complete", "duration_sec")
 
 
+def search_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows trained on by class, trials, their parameters inside their ranges, trials that went to the end, and
+    whether the best parameters are those of the best of these."""
+    trials, train = _searched(spark, sf_dir)
+    best = boosting.best_params(trials)
+    ended = [t for t in trials if t["state"] == "COMPLETE"]
+    inside = sum(low <= t[f"params_{k}"] <= high for t in trials for k, (low, high, _) in SEARCH_SPACE.items())
+    right = all(t["value"] < 1.0000001 for t in trials) and any(
+        all(t[f"params_{k}"] == v for k, v in best.items()) and t["value"] == max(e["value"] for e in ended) for t in ended
+    )
+    return train.groupBy("isFraud").agg(F.count("*").alias("rows")).withColumns(
+        {
+            "trials": F.lit(len(trials)).cast("long"),
+            "inside": F.lit(int(inside)).cast("long"),
+            "ended": F.lit(len(ended)).cast("long"),
+            "best_is_best": F.lit(right),
+        }
+    )
+
+
 def attribution_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test, features = _fitted(spark, sf_dir)
     return attribution.top_features(attribution.mean_attribution(model, test, features))
 
 
+def known_tree() -> TreeModel:
+    """Amounts up to 100 have -0.4; larger ones 0.2 if D1 is missing or at most 10, else 0.9."""
+    tree = Tree()
+    _, right = tree.grow(0, 0, 0, 100.0, False, 1.0)
+    low, high = tree.grow(right, 1, 0, 10.0, True, 1.0)
+    tree.value[1], tree.value[low], tree.value[high] = -0.4, 0.2, 0.9
+    for node, cover in ((0, 8.0), (1, 6.0), (right, 2.0), (low, 0.5), (high, 1.5)):
+        tree.cover[node] = cover
+    return TreeModel(["TransactionAmt", "D1"], [tree], {})
+
+
+def attribution_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean attributions of a given tree over all rows."""
+    model = known_tree()
+    return comparable(attribution.mean_attribution(model, V.txn(spark, sf_dir), model.features))
+
+
 # Evaluation
 
 
@@ -536,7 +579,7 @@ QUERIES = {
         fe_amount_bucket, fe_pair_count, fe_log_amount, fe_flags, fe_label_encode,
         fe_frequency_encode, fe_impute, column_medians, fe_all,
         split_stratified, kfold_stratified, class_weight, seeded_sample, feature_matrix,
-        smote, smote_totals, model_checks, gbt_scores, search_trials, attribution_top20,
+        smote, smote_totals, model_checks, gbt_scores, search_trials, search_checks, attribution_top20, attribution_known,
         eval_auc, eval_average_precision, eval_report, eval_confusion, eval_calibration,
         quality_gate, pr_curve, f1_threshold, cost_threshold, threshold_analysis,
         risk_tiers, tier_counts, risk_segments,

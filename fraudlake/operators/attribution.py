@@ -12,80 +12,62 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.operators.split import sample_rows
-from fraudlake.session import ensure_checkpoint_dir
+from fraudlake.operators.trees import TreeModel
 
 SAMPLE_ROWS = 5000
 TOP_FEATURES = 20
 
 
-def model_leaves(model: PipelineModel, folder: str) -> dict[str, np.ndarray]:
-    """The leaves of all trees as flat arrays: weighted value per leaf, and per leaf and feature
-    on its path the interval (low, high] and the share of training rows that passed.
+def model_leaves(model: TreeModel) -> dict[str, np.ndarray]:
+    """The leaves of all trees as flat arrays: value per leaf, and per leaf and feature on its path the
+    interval (low, high], whether missing values pass, and the share of training weight that passed.
 
-    The nodes are read from the saved trees. Their number is that of the model (trees x nodes),
-    which its parameters bound, not the data.
+    Their number is that of the model (trees x leaves), which its parameters bound, not the data.
     """
-    ensemble = model.stages[-1]
-    path = f"{folder.rstrip('/')}/{ensemble.uid}-trees"
-    ensemble.write().overwrite().save(path)
-    table = SparkSession.getActiveSession().read.parquet(f"{path}/data")
-    rows = table.select(
-        "treeID",
-        F.col("nodeData.id").alias("id"),
-        F.col("nodeData.prediction").alias("prediction"),
-        F.get("nodeData.impurityStats", 0).alias("rows"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get("nodeData.split.leftCategoriesOrThreshold", 0).alias("threshold"),
-    ).collect()
-    nodes = {(r["treeID"], r["id"]): r for r in rows}
-
     values, starts, flat = [], [0], []
-    for tree, weight in enumerate(ensemble.treeWeights):
-        stack = [(nodes[(tree, 0)], {})]
+    for tree in model.trees:
+        stack = [(0, {})]
         while stack:
             node, path_features = stack.pop()
-            if node["left"] < 0:
-                values.append(weight * node["prediction"])
+            feature = tree.feature[node]
+            if feature < 0:
+                values.append(tree.value[node])
                 flat.extend((f, *bounds) for f, bounds in path_features.items())
                 starts.append(len(flat))
                 continue
-            feature, threshold = node["feature"], node["threshold"]
-            low, high, cover = path_features.get(feature, (-np.inf, np.inf, 1.0))
-            for child_id, interval in (
-                (node["left"], (low, min(high, threshold))),
-                (node["right"], (max(low, threshold), high)),
+            threshold, missing_left = tree.threshold[node], tree.missing_left[node]
+            low, high, missing, cover = path_features.get(feature, (-np.inf, np.inf, True, 1.0))
+            for child, interval, passes in (
+                (tree.left[node], (low, min(high, threshold)), missing and missing_left),
+                (tree.right[node], (max(low, threshold), high), missing and not missing_left),
             ):
-                child = nodes[(tree, child_id)]
-                passed = cover * child["rows"] / node["rows"]
-                stack.append((child, {**path_features, feature: (*interval, passed)}))
-    table = np.array(flat, dtype=float).reshape(-1, 4)
+                passed = cover * tree.cover[child] / tree.cover[node]
+                stack.append((child, {**path_features, feature: (*interval, passes, passed)}))
+    table = np.array(flat, dtype=float).reshape(-1, 5)
     return {
         "value": np.array(values),
         "start": np.array(starts),
         "feature": table[:, 0].astype(int),
         "low": table[:, 1],
         "high": table[:, 2],
-        "cover": table[:, 3],
+        "missing": table[:, 3] == 1,
+        "cover": table[:, 4],
     }
 
 
 def shapley_rows(
-    model: PipelineModel,
+    model: TreeModel,
     df: DataFrame,
     features: Sequence[str],
     row_id: str = "TransactionID",
-    folder: str | None = None,
 ) -> DataFrame:
     """(id, base, one attribution per feature); base plus attributions is the row's margin."""
     features = list(features)
-    leaves = model_leaves(model, folder or ensure_checkpoint_dir(df.sparkSession))
+    leaves = model_leaves(model)
     start, cover = leaves["start"], leaves["cover"]
     base = float(
         sum(v * cover[start[i] : start[i + 1]].prod() for i, v in enumerate(leaves["value"]))
@@ -107,6 +89,7 @@ def shapley_rows(
                     continue
                 known = x[:, columns]
                 passed = (known > tree["low"][part]) & (known <= tree["high"][part])
+                passed |= np.isnan(known) & tree["missing"][part]
                 gap = passed - cover
                 # terms[row, feature, node] = cover + u * gap, positive inside (0, 1)
                 terms = cover[None, :, None] + gap[:, :, None] * nodes
@@ -118,11 +101,11 @@ def shapley_rows(
             yield out
 
     schema = f"{row_id} long, base double, " + ", ".join(f"`{c}` double" for c in features)
-    return df.select(row_id, *features).mapInPandas(explain, schema)
+    return df.select(row_id, *[F.col(c).cast("double").alias(c) for c in features]).mapInPandas(explain, schema)
 
 
 def mean_attribution(
-    model: PipelineModel,
+    model: TreeModel,
     df: DataFrame,
     features: Sequence[str],
     row_id: str = "TransactionID",

@@ -1,28 +1,26 @@
-"""Boosted trees with Spark ML: matrix, fit, score, search (ML-01, ML-06..09)."""
+"""Boosted trees: matrix, fit, score, search (ML-01, ML-06..09)."""
 
 from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlake.operators.audit import numeric_columns
-from fraudlake.operators.evaluate import auc_roc
 from fraudlake.operators.oversample import oversample
 from fraudlake.operators.split import with_class_weight, with_fold
-from fraudlake.session import ensure_checkpoint_dir, materialize
+from fraudlake.operators.trees import PATIENCE, Booster, TreeModel, blocks_of, cut_points, model_table
+from fraudlake.session import materialize
 
-MODEL_VERSION = "gbt_v1"
+MODEL_VERSION = "trees_v2"
+RUNGS = (0.25, 0.5, 1.0)  # shares of a trial's trees after which the poorer half of the trials ends
 MISSING_VALUE = -999.0
 # Columns that are no features.
 NOT_FEATURES = ["TransactionID", "isFraud", "card4_amt_bucket"]
@@ -36,6 +34,8 @@ SEARCH_SPACE = {
     "colsample_bytree": (0.4, 1.0, "float"),
     "min_child_weight": (1, 10, "int"),
     "gamma": (0.0, 5.0, "float"),
+    "reg_alpha": (1e-8, 10.0, "log"),
+    "reg_lambda": (1e-8, 10.0, "log"),
 }
 DEFAULT_PARAMS = {
     "n_estimators": 200,
@@ -45,19 +45,24 @@ DEFAULT_PARAMS = {
     "colsample_bytree": 0.8,
     "min_child_weight": 2,
     "gamma": 0.0,
+    "reg_alpha": 0.0,
+    "reg_lambda": 1.0,
 }
 
 
 def feature_matrix(
-    df: DataFrame, label: str = "isFraud", row_id: str = "TransactionID"
+    df: DataFrame, label: str = "isFraud", row_id: str = "TransactionID", mark_missing: bool = True
 ) -> tuple[DataFrame, list[str]]:
     """Id, label and the numeric features as doubles; what imputation left missing becomes a
-    value below every real one, so a split can set the missing rows apart.
+    value below every real one, or stays null without ``mark_missing``.
 
-    That is MISSING_VALUE, or the next number below the column's least value where that is not
-    above it; one scan finds the least values.
+    That value is MISSING_VALUE, or the next number below the column's least value where that is not
+    above it; one scan finds the least values. Trees need no mark, distances between rows do.
     """
     features = numeric_columns(df, [*NOT_FEATURES, label, row_id])
+    if not mark_missing:
+        kept = [F.col(c).cast("double").alias(c) for c in features]
+        return df.select(row_id, F.col(label).cast("long").alias(label), *kept), features
     least = df.agg(*[F.min(F.col(c).cast("double")).alias(c) for c in features]).first() if features else {}
     marks = {
         c: MISSING_VALUE if least[c] is None or least[c] > MISSING_VALUE else math.nextafter(least[c], -math.inf)
@@ -67,13 +72,13 @@ def feature_matrix(
     return df.select(row_id, F.col(label).cast("long").alias(label), *filled), features
 
 
-def draw_params(trials: int, seed: int = 42) -> list[dict[str, float]]:
+def draw_params(trials: int, seed: int = 42, space: dict[str, tuple] = SEARCH_SPACE) -> list[dict[str, float]]:
     """Seeded random draws from the search space."""
     rng = np.random.default_rng(seed)
     drawn = []
     for _ in range(trials):
         params = {}
-        for name, (low, high, kind) in SEARCH_SPACE.items():
+        for name, (low, high, kind) in space.items():
             if kind == "int":
                 params[name] = int(rng.integers(low, high + 1))
             elif kind == "log":
@@ -84,23 +89,36 @@ def draw_params(trials: int, seed: int = 42) -> list[dict[str, float]]:
     return drawn
 
 
-def _classifier(params: dict[str, float], label: str, seed: int) -> GBTClassifier:
-    p = {**DEFAULT_PARAMS, **params}
-    return GBTClassifier(
-        featuresCol="features",
-        labelCol=label,
-        weightCol="class_weight",
-        maxIter=int(p["n_estimators"]),
-        maxDepth=int(p["max_depth"]),
-        stepSize=float(p["learning_rate"]),
-        subsamplingRate=float(p["subsample"]),
-        featureSubsetStrategy=str(float(p["colsample_bytree"])) if p["colsample_bytree"] < 1 else "all",
-        minInstancesPerNode=int(p["min_child_weight"]),
-        # Spark's gain is an impurity decrease of the fitted residuals, on a smaller scale.
-        minInfoGain=float(p["gamma"]) / 1000.0,
-        checkpointInterval=10,
-        seed=seed,
-    )
+def booster(
+    train: DataFrame,
+    features: Sequence[str],
+    params: dict[str, float],
+    label: str = "isFraud",
+    row_id: str = "TransactionID",
+    seed: int = 42,
+    validation_flag: str | None = None,
+    patience: int = PATIENCE,
+    prepared: tuple[DataFrame, list] | None = None,
+) -> Booster:
+    """A fit that can be continued; ``prepared`` are the blocks and cut points of ``packed``."""
+    blocks, cuts = prepared or packed(train, features, label, row_id, validation_flag)
+    return Booster(blocks, features, cuts, {**DEFAULT_PARAMS, **params}, seed, validation_flag is not None, patience)
+
+
+def packed(
+    train: DataFrame, features: Sequence[str], label: str = "isFraud", row_id: str = "TransactionID", validation_flag: str | None = None
+) -> tuple[DataFrame, list[list[float]]]:
+    """Written blocks of binned rows, and the cut points, which are those of the fitted rows.
+
+    Positives have the constant class weight. The key that draws rows is a hash of the whole row.
+    """
+    flag = F.col(validation_flag) if validation_flag else F.lit(False)
+    cuts = cut_points(train.where(~flag), features)
+    ready = with_class_weight(train, label).select(
+        F.col(label).alias("label"), F.col("class_weight").alias("weight"), flag.alias("valid"),
+        F.xxhash64(row_id, *features).alias("key"), *features,
+    )
+    return materialize(blocks_of(ready, features, cuts)), cuts
 
 
 def fit_boosted_trees(
@@ -110,39 +128,41 @@ def fit_boosted_trees(
     label: str = "isFraud",
     seed: int = 42,
     validation_flag: str | None = None,
-) -> PipelineModel:
-    """Assembler and boosted trees; positives are weighted by the constant class weight.
+    row_id: str = "TransactionID",
+    patience: int = PATIENCE,
+) -> TreeModel:
+    """Second-order boosted trees, see ``trees``; positives are weighted by the constant class weight.
 
-    With ``validation_flag`` the flagged rows are not fitted; boosting stops when their error no
-    longer improves. Each boosting round aggregates histograms on the executors.
+    With ``validation_flag`` the flagged rows are not fitted: boosting ends when ``patience`` more trees
+    have not raised their AUC, and the model has the trees up to the best round.
     """
-    ensure_checkpoint_dir(train.sparkSession)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    weighted = train.transform(lambda d: with_class_weight(d, label))
-    kept = ["features", label, "class_weight"] + ([validation_flag] if validation_flag else [])
-    assembled = assembler.transform(weighted).select(*kept)
-    trees = _classifier(params, label, seed)
-    if validation_flag:
-        trees = trees.setValidationIndicatorCol(validation_flag)
-    return PipelineModel([assembler, trees.fit(assembled)])
+    fit = booster(train, features, params, label, row_id, seed, validation_flag, patience)
+    fit.advance(int(fit.params["n_estimators"]))
+    return fit.model()
 
 
 def score(
-    model: PipelineModel,
+    model: TreeModel,
     df: DataFrame,
     label: str = "isFraud",
     row_id: str = "TransactionID",
     version: str = MODEL_VERSION,
 ) -> DataFrame:
     """Predictions table: id, label, probability, label at 0.5, model version."""
-    probability = vector_to_array(F.col("probability"))[1]
-    return model.transform(df).select(
-        row_id,
-        label,
-        probability.alias("fraud_prob"),
-        (probability >= 0.5).cast("long").alias("predicted_label"),
-        F.lit(version).alias("model_version"),
-    )
+    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the model's parameters
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            margin = shared.value.margins(batch.iloc[:, 2:].to_numpy(dtype=float))
+            p = 1 / (1 + np.exp(-margin))
+            out = batch.iloc[:, :2].copy()
+            out["fraud_prob"], out["predicted_label"] = p, (p >= 0.5).astype("int64")
+            yield out
+
+    columns = df.select(row_id, F.col(label).cast("long").alias(label), *[F.col(c).cast("double") for c in model.features])
+    kind = df.schema[row_id].dataType.simpleString()
+    scored = columns.mapInPandas(run, f"{row_id} {kind}, {label} long, fraud_prob double, predicted_label long")
+    return scored.withColumn("model_version", F.lit(version))
 
 
 def search(
@@ -155,54 +175,62 @@ def search(
     seed: int = 42,
     parallelism: int = 4,
     use_smote: bool = False,
+    rungs: Sequence[float] = RUNGS,
+    patience: int = PATIENCE,
 ) -> list[dict]:
-    """One record per candidate: parameters, mean fold AUC, times. Best first is not implied.
+    """One record per candidate: parameters, mean fold AUC, times, state. Best first is not implied.
 
-    Fits of different candidates and folds are independent Spark jobs and share the cluster
-    through a small thread pool. The held-out fold stops the boosting and gives the score;
-    oversampling sees the other folds only. The rows of each fold, oversampled ones included, are
-    written once and read by the fits of all candidates.
+    Successive halving: all candidates grow the share of their trees that the first of ``rungs`` names;
+    the better half goes on to the next rung from there, the others end (state PRUNED, with the AUC
+    they had). The held-out fold stops the boosting and gives the score; oversampling sees the other
+    folds only. The rows of each fold, oversampled ones included, are binned and written once and read
+    by the fits of all candidates, which share the cluster through a small thread pool.
     """
     spark = train.sparkSession
     folded = with_fold(train, label, row_id, folds, seed)
     columns = [row_id, label, *features]
 
-    def fold_rows(fold: int) -> DataFrame:
+    def fold_rows(fold: int) -> tuple[DataFrame, list]:
         held = F.col("fold") == fold
         fitted, valid = folded.where(~held), folded.where(held)
         if use_smote:
             fitted = oversample(fitted, features, label, row_id, seed=seed)
-        return materialize(
-            fitted.select(*columns)
-            .withColumn("is_validation", F.lit(False))
-            .unionByName(valid.select(*columns).withColumn("is_validation", F.lit(True)))
-        )
-
-    written = [fold_rows(fold) for fold in range(folds)]
-
-    def run_fold(params: dict[str, float], fold: int) -> float:
-        model = fit_boosted_trees(written[fold], features, params, label, seed, "is_validation")
-        held = written[fold].where("is_validation")
-        return auc_roc(score(model, held, label, row_id), label).first()["auc_roc"]
-
-    def run_trial(number: int) -> dict:
-        params = candidates[number]
+        rows = fitted.select(*columns).withColumn("is_validation", F.lit(False))
+        rows = rows.unionByName(valid.select(*columns).withColumn("is_validation", F.lit(True)))
+        return packed(materialize(rows), features, label, row_id, "is_validation")
+
+    prepared = [fold_rows(fold) for fold in range(folds)]
+    fits = [
+        [booster(train, features, params, label, row_id, seed, "is_validation", patience, prepared[fold]) for fold in range(folds)]
+        for params in candidates
+    ]
+    records = [
+        {"number": i, "value": 0.0, "datetime_start": None, "datetime_complete": None, "duration_sec": 0.0}
+        | {f"params_{k}": float(v) for k, v in {**DEFAULT_PARAMS, **params}.items()} | {"state": "PRUNED"}
+        for i, params in enumerate(candidates)
+    ]
+
+    def climb(number: int, share: float) -> None:
+        record = records[number]
         started = dt.datetime.now()
-        scores = [run_fold(params, fold) for fold in range(folds)]
+        for fit in fits[number]:
+            fit.advance(max(1, math.ceil(share * fit.params["n_estimators"])))
         finished = dt.datetime.now()
-        return {
-            "number": number,
-            "value": float(np.mean(scores)),
-            "datetime_start": started,
-            "datetime_complete": finished,
-            "duration_sec": (finished - started).total_seconds(),
-            **{f"params_{k}": float(v) for k, v in params.items()},
-            "state": "COMPLETE",
-        }
+        record["value"] = float(np.mean([fit.aucs[fit.stop_round()] or 0.0 for fit in fits[number]]))
+        record["datetime_start"] = record["datetime_start"] or started
+        record["datetime_complete"] = finished
+        record["duration_sec"] += (finished - started).total_seconds()
 
+    alive = list(range(len(candidates)))
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        run = inheritable_thread_target(spark)(run_trial)
-        return list(pool.map(run, range(len(candidates))))
+        for rung, share in enumerate(rungs):
+            list(pool.map(inheritable_thread_target(spark)(lambda number: climb(number, share)), alive))
+            if rung + 1 < len(rungs):
+                ranked = sorted(alive, key=lambda i: (-records[i]["value"], i))
+                alive = sorted(ranked[: -(-len(ranked) // 2)])
+    for number in alive:
+        records[number]["state"] = "COMPLETE"
+    return records
 
 
 def trials_table(spark: SparkSession, trials: Sequence[dict]) -> DataFrame:
@@ -210,10 +238,11 @@ def trials_table(spark: SparkSession, trials: Sequence[dict]) -> DataFrame:
 
 
 def best_params(trials: Sequence[dict]) -> dict[str, float]:
-    """Parameters of the best trial, the earliest one on a tie."""
-    best = max(trials, key=lambda t: (t["value"], -t["number"]))
+    """Parameters of the best trial that was not ended early, the earliest one on a tie."""
+    best = max((t for t in trials if t["state"] == "COMPLETE"), key=lambda t: (t["value"], -t["number"]))
     return {k.removeprefix("params_"): v for k, v in best.items() if k.startswith("params_")}
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(spark: SparkSession, model: TreeModel, path: str) -> None:
+    """The nodes of all trees as a table."""
+    model_table(spark, model).write.mode("overwrite").parquet(path)

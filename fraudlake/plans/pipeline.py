@@ -116,7 +116,9 @@ class Pipeline:
 
     def train(self) -> None:
         ensure_checkpoint_dir(self.spark)
-        matrix, names = boosting.feature_matrix(self.store.read("engineered_features"))
+        matrix, names = boosting.feature_matrix(
+            self.store.read("engineered_features"), mark_missing=self.use_smote
+        )
         train, test = stratified_split(matrix)
         candidates = self.candidates or boosting.draw_params(self.trials)
         trials = boosting.search(
@@ -127,7 +129,7 @@ class Pipeline:
 
         fitted = oversample(train, names) if self.use_smote else train
         model = boosting.fit_boosted_trees(fitted, names, params)
-        boosting.save_model(model, self.model_path)
+        boosting.save_model(self.spark, model, self.model_path)
         scored = boosting.score(model, test).withColumns(
             {
                 "fraud_prob": F.col("fraud_prob").cast("float"),

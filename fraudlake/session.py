@@ -73,6 +73,14 @@ def release(spark: SparkSession, paths: Sequence[str]) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def release_copy(df: DataFrame) -> None:
+    """Delete a copy that ``materialize`` made and nothing reads any more."""
+    path = next((p for p in _copies if any(p.split("/")[-1] in f for f in df.inputFiles()[:1])), None)
+    if path is not None:
+        _copies.remove(path)
+        release(df.sparkSession, [path])
+
+
 @contextlib.contextmanager
 def copies_released(spark: SparkSession) -> Iterator[None]:
     """Deletes the copies that were made inside, for a step whose results have been written."""
