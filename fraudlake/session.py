@@ -73,6 +73,34 @@ def release(spark: SparkSession, paths: Sequence[str]) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in ``folder``; none if it does not exist."""
+    system, path = _file_system(spark, folder)
+    return [f.getPath().getName() for f in system.listStatus(path)] if system.exists(path) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    system, target = _file_system(spark, path)
+    stream = system.create(target)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a file; an error if ``to`` exists or the file system refuses."""
+    system, source = _file_system(spark, path)
+    target = _file_system(spark, to)[1]
+    if system.exists(target) or not system.rename(source, target):
+        raise FileExistsError(f"{path} could not be renamed to {to}")
+
+
 def release_copy(df: DataFrame) -> None:
     """Delete a copy that ``materialize`` made and nothing reads any more."""
     path = next((p for p in _copies if any(p.split("/")[-1] in f for f in df.inputFiles()[:1])), None)

@@ -1,4 +1,5 @@
 import json
+import pathlib
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -111,7 +112,7 @@ def test_metrics_files(spark, finished):
 def test_resume_from_tables_in_a_new_store(spark, finished):
     work, old = finished
     for name in ("raw_transactions", "risk_segments"):
-        spark.sql(f"DROP TABLE IF EXISTS {old.store.prefix}{name}")
+        forget(spark, old.store, name)
     again = Pipeline(spark, work, buckets=4)
     assert again.run(only=["segment", "export"]) == 0
     assert report(spark, work, "risk_segments_summary").count() >= 1
@@ -122,20 +123,68 @@ def test_tables_keep_the_buckets_they_were_written_with(spark, tmp_path):
     first = TableStore(spark, str(tmp_path), 8)
     for name in ("left_rows", "right_rows"):
         assert first.replace(name, rows) == 1000
-        spark.sql(f"DROP TABLE {first.prefix}{name}")
+        forget(spark, first, name)
     again = TableStore(spark, str(tmp_path), 4)
     assert again.layout("left_rows") == ("TransactionID", 8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = again.read("left_rows").join(again.read("right_rows"), "TransactionID")
         assert joined.count() == 1000
-        again._record("left_rows", 0)  # as after a write that did not end
-        spark.sql(f"DROP TABLE {again.prefix}left_rows")
-        assert again.read("left_rows").join(again.read("right_rows"), "TransactionID").count() == 1000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def forget(spark, store, name):
+    """As in a new session, whose catalog has no such table."""
+    spark.sql(f"DROP TABLE {store._declared(name, store.current(name)['version'])}")
+
+
+def test_a_killed_write_leaves_the_old_table(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), 4)
+    with pytest.raises(FileNotFoundError):
+        store.read("t")
+    rows = spark.range(1000).withColumnRenamed("id", "TransactionID")
+    store.replace("t", rows)
+    broken = rows.withColumn("x", F.when(F.col("TransactionID") < 999, F.lit(1)).otherwise(F.raise_error(F.lit("killed"))))
+    with pytest.raises(Exception, match="killed"):
+        store.replace("t", broken)
+    forget(spark, store, "t")
+    assert TableStore(spark, str(tmp_path)).read("t").columns == ["TransactionID"]
+    assert store.read("t").count() == 1000
+    # Killed between the write and the manifest.
+    keep, store._publish = store._publish, lambda name, manifest: None
+    store.replace("t", rows.limit(5))
+    store._publish = keep
+    assert store.read("t").count() == 1000
+
+
+def test_a_table_replaces_itself_and_old_versions_go(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), 2)
+    store.replace("t", spark.range(10).withColumnRenamed("id", "TransactionID"))
+    for n in (9, 8, 7):
+        before = store.read("t")
+        assert store.replace("t", before.where(F.col("TransactionID") < n)) == n
+        assert before.count() == n + 1 and store.read("t").count() == n
+    assert len(list((tmp_path / "t").iterdir())) == 2
+
+
+def test_missing_files_of_a_table_are_noticed(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), 4)
+    store.replace("t", spark.range(1000).withColumnRenamed("id", "TransactionID"))
+    folder = tmp_path / "t" / store.current("t")["version"]
+    next(folder.glob("part-*")).unlink()
+    with pytest.raises(FileNotFoundError):
+        TableStore(spark, str(tmp_path)).read("t")
+
+
+def test_reports_are_single_files(finished):
+    work, _ = finished
+    exports = [p for p in (pathlib.Path(work) / "exports").iterdir() if not p.name.startswith(".")]
+    assert len(exports) >= 8 and all(p.is_file() for p in exports)
+
+
 def test_table_joins_need_no_shuffle(spark, finished):
     _, pipeline = finished
     store = pipeline.store
