@@ -3,7 +3,7 @@
 The game of one leaf is a product over the features on its path: a known feature contributes 1
 or 0 (does the row pass the leaf's interval), an unknown one the share of training rows that
 passed. The Shapley value of a product game is an integral of a polynomial over [0, 1], which
-Gauss-Legendre nodes evaluate exactly; no subset is enumerated.
+Gauss-Legendre nodes evaluate exactly; no subset is enumerated, and leaves share their paths.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.operators.split import sample_rows
-from fraudlake.operators.trees import TreeModel
+from fraudlake.operators.trees import Tree, TreeModel
 
 SAMPLE_ROWS = 5000
 TOP_FEATURES = 20
@@ -59,6 +59,49 @@ def model_leaves(model: TreeModel) -> dict[str, np.ndarray]:
     }
 
 
+def tree_attributions(tree: Tree, x: np.ndarray, phi: np.ndarray, nodes: np.ndarray, weights: np.ndarray) -> None:
+    """Adds the attributions of one tree for all rows of ``x`` to ``phi``, in one walk over its nodes.
+
+    Going down, ``product`` [row, point] is that of the path's factors: of each feature on the path
+    ``cover + u * gap`` at the points u. Coming back up, ``below`` is the sum of value times product over
+    the leaves of a subtree. An edge that narrows a feature gives it ``gap / factor`` of what lies below,
+    and takes back what the feature's earlier, wider factor gave it for the same leaves. So leaves
+    share the work of their path: the time grows with the number of nodes.
+    """
+
+    def walk(node: int, product: np.ndarray, path: dict) -> np.ndarray:
+        feature = tree.feature[node]
+        if feature < 0:
+            return tree.value[node] * product
+        own, low = x[:, feature], tree.threshold[node]
+        left = np.where(np.isnan(own), tree.missing_left[node], own <= low)
+        before = path.get(feature)
+        total = 0.0
+        for child, goes in ((tree.left[node], left), (tree.right[node], ~left)):
+            share = tree.cover[child] / tree.cover[node]
+            passed, cover, factor = before or (True, 1.0, 1.0)
+            now, part = goes & passed, cover * share
+            gap = now - part
+            narrower = part + gap[:, None] * nodes
+            below = walk(child, product / factor * narrower, {**path, feature: (now, part, narrower)})
+            phi[:, feature] += gap * ((below / narrower) @ weights)
+            if before:
+                phi[:, feature] -= (passed - cover) * ((below / factor) @ weights)
+            total = total + below
+        return total
+
+    walk(0, np.ones((len(x), len(nodes))), {})
+
+
+def tree_depth(tree: Tree) -> int:
+    """Features on the longest path, counted with repetition."""
+    depth = [0] * len(tree.feature)
+    for node, feature in enumerate(tree.feature):
+        if feature >= 0:
+            depth[tree.left[node]] = depth[tree.right[node]] = depth[node] + 1
+    return max(depth)
+
+
 def shapley_rows(
     model: TreeModel,
     df: DataFrame,
@@ -72,29 +115,18 @@ def shapley_rows(
     base = float(
         sum(v * cover[start[i] : start[i + 1]].prod() for i, v in enumerate(leaves["value"]))
     )
-    depth = int(np.diff(start).max(initial=1))
+    depth = max((tree_depth(tree) for tree in model.trees), default=0)
     nodes, weights = np.polynomial.legendre.leggauss(depth // 2 + 1)
     nodes, weights = (nodes + 1) / 2, weights / 2
-    shared = df.sparkSession.sparkContext.broadcast(leaves)
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree = shared.value
         for batch in batches:
             x = batch[features].to_numpy(dtype=float)
             phi = np.zeros(x.shape)
-            for leaf, value in enumerate(tree["value"]):
-                part = slice(tree["start"][leaf], tree["start"][leaf + 1])
-                columns, cover = tree["feature"][part], tree["cover"][part]
-                if len(columns) == 0:
-                    continue
-                known = x[:, columns]
-                passed = (known > tree["low"][part]) & (known <= tree["high"][part])
-                passed |= np.isnan(known) & tree["missing"][part]
-                gap = passed - cover
-                # terms[row, feature, node] = cover + u * gap, positive inside (0, 1)
-                terms = cover[None, :, None] + gap[:, :, None] * nodes
-                others = terms.prod(axis=1)[:, None, :] / terms
-                phi[:, columns] += value * gap * (others @ weights)
+            for tree in shared.value.trees:
+                if tree.feature[0] >= 0:
+                    tree_attributions(tree, x, phi, nodes, weights)
             out = pd.DataFrame(phi, columns=features)
             out.insert(0, row_id, batch[row_id].to_numpy())
             out.insert(1, "base", base)

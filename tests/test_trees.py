@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fraudlake.operators import boosting, evaluate, trees
+from fraudlake.operators import attribution, boosting, evaluate, trees
 from fraudlake.operators.trees import BINS, Booster, Tree
 
 PARAMS = {**boosting.DEFAULT_PARAMS, "subsample": 1.0, "colsample_bytree": 1.0}
@@ -170,3 +170,49 @@ def test_model_is_saved_as_a_table(spark, tmp_path):
 
 def test_empty_tree_has_one_leaf():
     assert Tree().leaves_of_values(np.zeros((3, 2))).tolist() == [0, 0, 0]
+
+
+def leaf_by_leaf(model, x):
+    """Attributions leaf by leaf, each with its own product."""
+    leaves = attribution.model_leaves(model)
+    u, w = np.polynomial.legendre.leggauss(8)
+    u, w = (u + 1) / 2, w / 2
+    phi = np.zeros(x.shape)
+    for i, value in enumerate(leaves["value"]):
+        part = slice(leaves["start"][i], leaves["start"][i + 1])
+        columns, cover = leaves["feature"][part], leaves["cover"][part]
+        known = x[:, columns]
+        passed = (known > leaves["low"][part]) & (known <= leaves["high"][part]) | np.isnan(known) & leaves["missing"][part]
+        for r in range(len(x)):
+            factors = cover[:, None] + (passed[r] - cover)[:, None] * u
+            for j, c in enumerate(columns):
+                phi[r, c] += value * (passed[r, j] - cover[j]) * (np.delete(factors, j, axis=0).prod(axis=0) @ w)
+    return phi
+
+
+def test_shared_paths_give_the_attributions_of_every_leaf(spark):
+    df, x, _ = table(spark, 200, 7)
+    df = df.withColumn("isFraud", F.when(F.col("TransactionID") % 5 == 0, 1 - F.col("isFraud")).otherwise(F.col("isFraud")))
+    model = boosting.fit_boosted_trees(df, NAMES, {**PARAMS, "n_estimators": 3, "max_depth": 6, "min_child_weight": 0})
+    rows = attribution.shapley_rows(model, df, NAMES).orderBy("TransactionID").toPandas()
+    assert max(len(t.feature) for t in model.trees) > 20
+    assert np.allclose(rows[NAMES].to_numpy(), leaf_by_leaf(model, x), atol=1e-9)
+    assert np.allclose(rows["base"] + rows[NAMES].sum(axis=1), model.margins(x), atol=1e-9)
+
+
+def test_attribution_time_grows_with_the_nodes(monkeypatch):
+    steps = []
+    tree = trees.Tree()
+    level = [0]
+    for depth in range(9):
+        level = [c for node in level for c in tree.grow(node, depth % 3, 5, depth / 9, False, 1.0)]
+    tree.cover = [2.0 ** -d for d in range(10) for _ in range(2**d)][: len(tree.feature)]
+    for node in range(len(tree.feature)):
+        if tree.feature[node] >= 0:
+            for child in (tree.left[node], tree.right[node]):
+                tree.cover[child] = tree.cover[node] / 2
+    real = np.where
+    monkeypatch.setattr(np, "where", lambda *a: (steps.append(1), real(*a))[1])
+    phi = np.zeros((4, 3))
+    attribution.tree_attributions(tree, np.zeros((4, 3)), phi, np.array([0.5]), np.array([1.0]))
+    assert len(steps) == sum(f >= 0 for f in tree.feature) == 511
