@@ -191,7 +191,7 @@ def leaf_by_leaf(model, x):
 
 
 def test_shared_paths_give_the_attributions_of_every_leaf(spark):
-    df, x, _ = table(spark, 200, 7)
+    df, x, _ = table(spark, 600, 7)
     df = df.withColumn("isFraud", F.when(F.col("TransactionID") % 5 == 0, 1 - F.col("isFraud")).otherwise(F.col("isFraud")))
     model = boosting.fit_boosted_trees(df, NAMES, {**PARAMS, "n_estimators": 3, "max_depth": 6, "min_child_weight": 0})
     rows = attribution.shapley_rows(model, df, NAMES).orderBy("TransactionID").toPandas()
