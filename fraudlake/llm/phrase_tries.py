@@ -16,6 +16,7 @@ _codes = np.arange(256)
 ENDS_PIECE = np.isin(_codes, [ord(c) for c in ".,;:!?\n\v\f\r"])
 IN_WORD = ~(ENDS_PIECE | np.isin(_codes, [ord(" "), ord("\t")]))
 NONE, TOP_BIT = np.uint64(0), np.uint64(1 << 63)
+COMPARED = 1 << 15  # words whose bytes are compared at once
 GAPS = 64  # looked at for a node of several children
 
 
@@ -60,9 +61,11 @@ class PieceWords:
         found = sizes != sizes[others]
         at = np.flatnonzero(~found & (others != np.arange(len(others))))
         size = sizes[at]
-        steps = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        unequal = self.low[np.repeat(self.starts[at], size) + steps] != self.low[np.repeat(self.starts[others[at]], size) + steps]
-        found[np.repeat(at, size)[unequal]] = True
+        for a in range(0, len(at), COMPARED):  # in parts, as each byte takes several numbers
+            some, n = at[a : a + COMPARED], size[a : a + COMPARED]
+            steps = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            unequal = self.low[np.repeat(self.starts[some], n) + steps] != self.low[np.repeat(self.starts[others[some]], n) + steps]
+            found[np.repeat(some, n)[unequal]] = True
         return np.flatnonzero(found)
 
     def grams(self, k: int, salt: np.ndarray) -> np.ndarray:
@@ -148,14 +151,13 @@ class PhraseTrie:
         digits = cls(names, [words, empty, empty, empty]).digits
         symbols = words_symbols(len(words), digits)
         root = {lang: i for i, lang in enumerate(names)}
-        children: list[dict[int, int]] = [{} for _ in names]
+        children: dict[int, dict[int, int]] = {}
         accepts = [-1] * len(names)
         for number, (lang, row) in enumerate(zip(langs, rows)):
             node = root[lang]
             for symbol in symbols[np.searchsorted(words, row)].ravel().tolist():
-                to = children[node].setdefault(symbol, len(children))
-                if to == len(children):
-                    children.append({})
+                to = children.setdefault(node, {}).setdefault(symbol, len(accepts))
+                if to == len(accepts):
                     accepts.append(-1)
                 node = to
             accepts[node] = number
@@ -199,25 +201,24 @@ def words_symbols(n: int, digits: int) -> np.ndarray:
     return (np.arange(n)[:, None] >> shifts & 255).astype(np.int64)
 
 
-def placed(children: list[dict[int, int]], accepts: list[int], roots: int) -> tuple[np.ndarray, ...]:
+def placed(children: dict[int, dict[int, int]], accepts: list[int], roots: int) -> tuple[np.ndarray, ...]:
     """The cells of a double array: ``base``, ``check`` and ``accepts``.
 
     Level by level, nodes with most children first: their cells go into the first of a few recent
     gaps that has room for all of them, or behind the last cell in use. One child fits into any gap.
     """
-    size = 512 + roots + 4 * len(children)
+    size = 512 + roots + 2 * len(accepts)
     base, check, marks = (np.full(size, v, np.int32) for v in (0, -1, -1))
     check[:roots] = -2  # taken, and no cell's child
     used = roots + 256
     gaps = list(range(used - 1, roots + 255, -1))
     level = list(zip(range(roots), range(roots)))  # (node, cell)
     while level:
+        level = [at for at in level if at[0] in children]
         level.sort(key=lambda at: -len(children[at[0]]))
         following = []
         for node, cell in level:
-            kids = sorted(children[node].items())
-            if not kids:
-                continue
+            kids = sorted(children.pop(node).items())
             symbols = np.array([c for c, _ in kids], np.int64)
             first = None
             if len(kids) == 1:

@@ -28,7 +28,7 @@ TOP = 2000
 COVERED = 80  # per cent of a phrase's occurrences
 SCALE = 2_000_000
 BLOCK_PHRASES = 1 << 18
-HELD = 1 << 21  # hashes held by a task before it hands them on
+HELD = 1 << 20  # hashes held by a task before it hands them on
 PART_KEYS = 1 << 20  # occurrences whose hashes go to one part
 
 
