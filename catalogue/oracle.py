@@ -212,6 +212,15 @@ ORACLE = {
                (missing + minority - 1) // minority AS most, 5 * minority AS neighbor_pairs FROM n""",
         "txn",
     ),
+    "smote_neighbors": with_views(
+        """WITH m AS (SELECT TransactionID, TransactionAmt AS a, coalesce(D1, 0)::DOUBLE AS d, coalesce(C1, 0)::DOUBLE AS c
+               FROM txn WHERE isFraud = 1),
+        p AS (SELECT x.TransactionID, (x.a - y.a) * (x.a - y.a) + (x.d - y.d) * (x.d - y.d) + (x.c - y.c) * (x.c - y.c) AS distance
+              FROM m x JOIN m y ON x.TransactionID <> y.TransactionID),
+        r AS (SELECT *, row_number() OVER (PARTITION BY TransactionID ORDER BY distance) AS rank FROM p)
+        SELECT TransactionID, rank, round(distance, 6) AS distance FROM r WHERE rank <= 5""",
+        "txn",
+    ),
     "rep_amount_counts": with_views(
         f"""SELECT amount_range, isFraud, count(*) AS transaction_count,
                CASE amount_range WHEN '<$10' THEN 1 WHEN '$10-$50' THEN 2 WHEN '$50-$200' THEN 3

@@ -314,6 +314,18 @@ def smote_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("neighbor_pairs", pairs.scalar())
 
 
+def smote_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squared distances of each minority row's five nearest; they do not depend on how ties are broken."""
+    features = ["TransactionAmt", "D1", "C1"]
+    points = materialize(
+        V.txn(spark, sf_dir)
+        .where("isFraud = 1")
+        .select("TransactionID", F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]).alias("features"))
+    )
+    near = oversample.neighbor_distances(points, points.count(), dimensions=len(features))
+    return comparable(near.select("TransactionID", F.col("rank").cast("long").alias("rank"), "distance"))
+
+
 def _training_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """All numeric features, as in the batch job: a table before anything is fitted."""
     featured = materialize(engineer.engineer_features(materialize(merged(spark, sf_dir))))
@@ -579,7 +591,7 @@ QUERIES = {
         fe_amount_bucket, fe_pair_count, fe_log_amount, fe_flags, fe_label_encode,
         fe_frequency_encode, fe_impute, column_medians, fe_all,
         split_stratified, kfold_stratified, class_weight, seeded_sample, feature_matrix,
-        smote, smote_totals, model_checks, gbt_scores, search_trials, search_checks, attribution_top20, attribution_known,
+        smote, smote_totals, smote_neighbors, model_checks, gbt_scores, search_trials, search_checks, attribution_top20, attribution_known,
         eval_auc, eval_average_precision, eval_report, eval_confusion, eval_calibration,
         quality_gate, pr_curve, f1_threshold, cost_threshold, threshold_analysis,
         risk_tiers, tier_counts, risk_segments,

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,16 +16,19 @@ from fraudlake.operators.split import first_key
 from fraudlake.session import materialize
 
 BLOCK_ROWS = 2048
-DIRECTIONS = 3
-ASKED_ROWS = 8192  # points that one task compares with a block
+MAX_PIVOTS = 1024
+ASKED_ROWS = 8192  # points that one task compares with a group of blocks
+GROUP_VALUES = 1 << 20  # numbers in the vectors of a group of blocks
+TILE = 1 << 22  # numbers in a matrix inside a task
+EPS = np.finfo("float64").eps
 
 
-def _direction(size: int, seed: int) -> list[float]:
-    vector = np.random.default_rng(seed).standard_normal(size)
-    return [float(v) for v in vector / np.linalg.norm(vector)]
+def nearest_neighbors(points: DataFrame, rows: int, *args, **kwargs) -> DataFrame:
+    """(id, neighbor, rank 1..k): ``neighbor_distances`` without the distances."""
+    return neighbor_distances(points, rows, *args, **kwargs).drop("distance")
 
 
-def nearest_neighbors(
+def neighbor_distances(
     points: DataFrame,
     rows: int,
     row_id: str = "TransactionID",
@@ -33,139 +37,215 @@ def nearest_neighbors(
     k: int = 5,
     seed: int = 42,
 ) -> DataFrame:
-    """(id, neighbor, rank 1..k) among ``points`` (id, array<double>): the exact nearest.
-
-    The points are ranked along a few random directions, cut into equal blocks of at most 2048
-    consecutive ranks and searched inside each block. The k-th distance found so bounds the search:
-    no projection of two points differs by more than their distance, so a point is then compared with
-    those other blocks of the first direction whose ranges in all directions its bound reaches. Few
-    do where the data have few directions of their own; at worst all pairs are compared, block by
-    block. A point whose k-th distance is 0 needs no more. Ranks are exact, so blocks never exceed
-    2048 points however the data cluster, and the result depends on the seed only.
+    """(id, neighbor, rank 1..k, squared distance) among ``points`` (id, array<double>): the exact nearest.
+
+    A metric partition. At most 1024 points, drawn by a seeded hash, are pivots; every point belongs to
+    the ball of its nearest pivot. The points are ranked by (ball, distance to its pivot) and cut into
+    equal blocks of at most 2048 consecutive ranks, so a ball of any size, or a value that a third of
+    the points share, is spread over blocks. A search inside the own block gives a bound, and by the
+    triangle inequality a point then visits only blocks with a ring of a ball that its bound reaches:
+    the ring is neither too far from nor too near to its pivot, and the border between the two balls
+    is near enough. A point travels once for a group of blocks of about 8 MB. Pairs are first
+    judged by a matrix product with its rounding error; only those that may be among the nearest have their
+    distance taken, term by term. With many independent features the bound may reach all blocks; the
+    products then grow with the square of the points, the distances taken do not.
+
+    Ties go to the smaller id among the points compared. A point with k others at distance 0 in its own
+    block looks no further, so repeated points are not paired with all their copies.
     """
     blocks = max(1, -(-rows // BLOCK_ROWS))
-    projections = [f"_along{d}" for d in range(DIRECTIONS)]
-    along = {}
-    for d, name in enumerate(projections):
-        weights = F.array(*[F.lit(w) for w in _direction(dimensions, seed + d)])
-        along[name] = F.aggregate(
-            F.zip_with(F.col(vector), weights, lambda x, w: x * w),
-            F.lit(0.0),
-            lambda total, x: total + x,
-        )
     found_schema = f"{row_id} long, neighbor long, distance double"
-    found = first = None
-    for name in projections:
-        # Ranked without the vectors, which join their block at the end.
-        projected = materialize(points.select(row_id, along[name].alias("_along")))
-        ranked = running_totals(projected, "_along", {"_position": F.lit(1)}, ties=row_id)
-        block = F.floor((F.col("_position") - 1) * blocks / rows).alias("_block")
-        blocked = points.join(ranked.select(row_id, block), row_id)
-        if first is None:
-            first = blocked = materialize(blocked.select(row_id, vector, "_block", *(e.alias(n) for n, e in along.items())))
-        part = blocked.select(row_id, vector, "_block").groupBy("_block").applyInPandas(_block_search(row_id, vector, k), found_schema)
-        found = part if found is None else found.unionByName(part)
-        if blocks == 1:
-            break  # all pairs are compared
     best = Window.partitionBy(row_id).orderBy("distance", "neighbor")
 
     def nearest(pairs: DataFrame) -> DataFrame:
-        ranked = pairs.distinct().withColumn("rank", F.row_number().over(best))
-        return ranked.where(F.col("rank") <= k)
+        ranked = pairs.withColumn("rank", F.row_number().over(best))
+        return ranked.where(F.col("rank") <= k).select(row_id, "neighbor", "rank", "distance")
 
     if blocks == 1:
-        return nearest(found).select(row_id, "neighbor", "rank")
-    found = materialize(nearest(found).drop("rank"))
-    more = _beyond_blocks(first, found, projections, row_id, vector, k, found_schema)
-    return nearest(found.unionByName(more)).select(row_id, "neighbor", "rank")
+        found = points.select(row_id, vector, F.lit(0).alias("_block"))
+        return nearest(found.groupBy("_block").applyInPandas(_block_search(row_id, vector, k), found_schema))
+
+    drawn = points.orderBy(hash_order(F.col(row_id), seed), row_id).limit(min(MAX_PIVOTS, 2 * blocks))
+    pivots = np.array([r[0] for r in drawn.select(vector).collect()], dtype="float64")
+    pivots = pivots[np.isfinite(pivots).all(axis=1)]
+    if not len(pivots):
+        pivots = np.zeros((1, dimensions))
+
+    def to_balls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(vector), dimensions)
+            distance, slack = _pivot_distances(x, pivots)
+            ball = np.argmin(np.nan_to_num(distance, nan=np.inf), axis=1)
+            own = distance[np.arange(len(x)), ball]
+            # One number that orders by ball, then by distance; balls meet at whole numbers.
+            along = ball + np.nan_to_num(own / (1 + own), nan=1.0) * 0.5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(row_id), *(pa.array(v) for v in (ball.astype("int64"), own, slack, along))],
+                names=[row_id, "_ball", "_from", "_slack", "_along"],
+            )
+
+    balls = materialize(
+        points.select(row_id, vector).mapInArrow(
+            to_balls, f"{row_id} long, _ball long, _from double, _slack double, _along double"
+        )
+    )
+    ranked = running_totals(balls, "_along", {"_position": F.lit(1)}, ties=row_id)
+    block = F.floor((F.col("_position") - 1) * blocks / rows).cast("long").alias("_block")
+    blocked = materialize(points.select(row_id, vector).join(ranked.select(row_id, "_ball", "_from", "_slack", block), row_id))
+    inside = blocked.select(row_id, vector, "_block").groupBy("_block")
+    found = materialize(inside.applyInPandas(_block_search(row_id, vector, k), found_schema))
+    more = _other_blocks(blocked, found, pivots, row_id, vector, dimensions, k, found_schema)
+    return nearest(found.unionByName(more))
+
 
+def _matrix(column: pa.Array, dimensions: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, dimensions)
 
-def _beyond_blocks(
-    blocked: DataFrame, found: DataFrame, projections: list[str], row_id: str, vector: str, k: int, schema: str
+
+def _pivot_distances(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of rows to pivots, and per row how far rounding may have moved them."""
+    with np.errstate(all="ignore"):
+        centre = pivots.mean(axis=0)
+        x, p = x - centre, pivots - centre
+        lengths, ends = (x * x).sum(axis=1), (p * p).sum(axis=1)
+        squares = lengths[:, None] + ends[None] - 2 * (x @ p.T)
+        return np.sqrt(np.maximum(squares, 0)), np.sqrt(8 * (x.shape[1] + 4) * EPS * (lengths + ends.max()))
+
+
+def _other_blocks(
+    blocked: DataFrame, found: DataFrame, pivots: np.ndarray, row_id: str, vector: str, dimensions: int, k: int, schema: str
 ) -> DataFrame:
     """Pairs of points and their nearest in the other blocks that may hold something nearer than found.
 
-    The ranges of the blocks, one row per 2048 points, go through the driver.
+    The rings, at most one per block and pivot together, go through the driver.
     """
-    bounds = blocked.groupBy("_block").agg(
-        *(f(c).alias(f"{n}{c}") for c in projections for n, f in (("low", F.min), ("high", F.max)))
+    rings = (
+        blocked.groupBy("_block", "_ball")
+        .agg(
+            F.min(F.col("_from") - F.col("_slack")).alias("low"),
+            F.max(F.col("_from") + F.col("_slack")).alias("high"),
+            F.max("_slack").alias("slack"),
+        )
+        .orderBy("_block", "_ball")
+        .toPandas()
     )
-    ranges = bounds.orderBy("_block").toPandas()
-    numbers = ranges["_block"].to_numpy()
-    low = ranges[[f"low{c}" for c in projections]].to_numpy()
-    high = ranges[[f"high{c}" for c in projections]].to_numpy()
+    ring_block, ring_ball = rings["_block"].to_numpy(), rings["_ball"].to_numpy()
+    low, high, loose = (rings[c].to_numpy() for c in ("low", "high", "slack"))
+    together = max(1, GROUP_VALUES // (BLOCK_ROWS * dimensions))
+    step = max(1, TILE // len(rings))
 
-    def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch[projections].to_numpy()
-            x = np.stack(batch[vector].to_numpy()) if len(batch) else np.zeros((0, 1))
-            radius = np.sqrt(batch["distance"].to_numpy())
-            # A little more than the distance, for what rounding takes off a projection.
-            radius = radius + 1e-12 * x.shape[1] * (radius + np.sqrt((x * x).sum(axis=1)))
-            begin = np.searchsorted(high[:, 0], place[:, 0] - radius, "left")
-            end = np.searchsorted(low[:, 0], place[:, 0] + radius, "right")
-            for i, own in enumerate(batch["_block"].to_numpy()):
-                some = slice(begin[i], end[i])
-                near = (low[some] <= place[i] + radius[i]) & (high[some] >= place[i] - radius[i])
-                to = numbers[some][near.all(axis=1)]
-                to = to[to != own]
-                if len(to):
-                    yield pd.DataFrame({row_id: batch[row_id].iat[i], "_to": to})
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                distance, slack = _pivot_distances(_matrix(part.column(vector), dimensions), pivots)
+                bound = part.column("distance").to_numpy()
+                radius = (np.sqrt(bound) * (1 + 1e-12) + slack)[:, None]
+                own_ball, own_block = part.column("_ball").to_numpy(), part.column("_block").to_numpy()
+                to = distance[:, ring_ball]
+                border = (to - distance[np.arange(len(to)), own_ball][:, None]) / 2
+                # Comparisons that fail where a value is not finite keep the ring.
+                away = (to - radius > high) | (to + radius < low) | (border > radius + loose)
+                row, ring = np.nonzero(~away)
+                block = ring_block[ring]
+                visits = np.unique(np.stack([row, block], axis=1)[block != own_block[row]], axis=0)
+                if not len(visits):
+                    continue
+                row, block = visits[:, 0], visits[:, 1]
+                group = block // together
+                first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (group[1:] != group[:-1])])
+                offsets = pa.array(np.r_[first, len(row)].astype("int32"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(row_id).take(pa.array(row[first])), pa.array(group[first]),
+                        pa.array(bound[row[first]]), pa.ListArray.from_arrays(offsets, pa.array(block)),
+                    ],
+                    names=[row_id, "_group", "_bound", "_visits"],
+                )
 
     bound = F.when(F.count("*") < k, float("inf")).otherwise(F.max("distance")).alias("distance")
     bound = found.groupBy(row_id).agg(bound).where("distance > 0")
-    sent = materialize(blocked.join(bound, row_id).mapInPandas(reached, f"{row_id} long, _to long"))
-    parts = sent.groupBy(F.col("_to").alias("_block")).agg(F.ceil(F.count("*") / ASKED_ROWS).alias("_parts"))
-    parts = materialize(parts)
-    asked = sent.join(F.broadcast(parts), F.col("_to") == F.col("_block")).select(
-        row_id, "_to", F.pmod(F.xxhash64(row_id), F.col("_parts")).alias("_part")
+    asking = blocked.join(bound, row_id).select(row_id, vector, "_ball", "_block", "distance")
+    sent = materialize(asking.mapInArrow(reached, f"{row_id} long, _group long, _bound double, _visits array<long>"))
+    parts = materialize(sent.groupBy("_group").agg(F.ceil(F.count("*") / ASKED_ROWS).alias("_parts")))
+    asked = (
+        sent.join(F.broadcast(parts), "_group")
+        .withColumn("_part", F.pmod(F.xxhash64(row_id), F.col("_parts")))
+        .drop("_parts")
+        .join(blocked.select(row_id, vector), row_id)
     )
-    asked = asked.join(blocked.select(row_id, vector), row_id)
-    copies = blocked.select(row_id, vector, "_block").join(F.broadcast(parts), "_block")
-    copies = copies.select(
-        F.col(row_id).alias("neighbor"), F.col(vector).alias("_toward"), "_block",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_copy"),
-    )
-
-    def compare(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked) or not len(block):
+    group = F.floor(F.col("_block") / together).cast("long").alias("_group")
+    copies = blocked.select(F.col(row_id).alias("neighbor"), F.col(vector).alias("_toward"), "_block", group)
+    copies = copies.join(F.broadcast(parts), "_group").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
+    )
+
+    def compare(asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(asked) and len(group):
+            ids, bound = asked[row_id].to_numpy(), asked["_bound"].to_numpy().copy()
+            x = np.stack(asked[vector].to_numpy())
+            row = np.repeat(np.arange(len(ids)), asked["_visits"].str.len())
+            visit = np.concatenate(asked["_visits"].to_numpy())
+            for number, block in group.sort_values("neighbor").groupby("_block"):
+                some = row[visit == number]
+                if len(some):
+                    y = np.stack(block["_toward"].to_numpy())
+                    pairs, _ = nearest_pairs(ids[some], x[some], block["neighbor"].to_numpy(), y, k, bound[some])
+                    out.append(pairs)
+        if not out:
             return pd.DataFrame({row_id: [], "neighbor": [], "distance": []})
-        block = block.sort_values("neighbor")
-        return _nearest_pairs(
-            asked[row_id].to_numpy(), np.stack(asked[vector].to_numpy()),
-            block["neighbor"].to_numpy(), np.stack(block["_toward"].to_numpy()), row_id, k,
-        )
+        return pd.concat(out).rename(columns={"id": row_id})
 
-    return asked.groupBy("_to", "_part").cogroup(copies.groupBy("_block", "_copy")).applyInPandas(compare, schema)
+    return asked.groupBy("_group", "_part").cogroup(copies.groupBy("_group", "_part")).applyInPandas(compare, schema)
 
 
-def _nearest_pairs(ids, x, others, y, row_id: str, k: int) -> pd.DataFrame:
-    """The k nearest of ``others`` (in id order) to each of ``ids``, itself left out.
+def nearest_pairs(ids, x, others, y, k: int, bound=None) -> tuple[pd.DataFrame, int]:
+    """(id, neighbor, squared distance) of the k nearest of ``others`` (in id order) to each of ``ids``, itself
+    left out and none beyond its ``bound``; and the number of distances taken.
 
-    Squared distances are sums of squared differences in the order of the dimensions, so that a
-    pair has one distance wherever it is compared.
+    A matrix product gives every squared distance up to a known error. Pairs that even with the error cannot be
+    among the k nearest are left; the others' distances are sums of squared differences in the order of
+    the dimensions, so that a pair has one distance wherever it is compared.
     """
-    out = []
-    for a in range(0, len(ids), 256):
-        distance = np.zeros((len(ids[a : a + 256]), len(others)))
-        for j in range(x.shape[1]):
-            distance += (x[a : a + 256, j, None] - y[None, :, j]) ** 2
-        same = ids[a : a + 256, None] == others[None]
-        distance[same] = np.inf
-        order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        least = np.take_along_axis(distance, order, axis=1).ravel()
-        pairs = pd.DataFrame(
-            {row_id: np.repeat(ids[a : a + 256], order.shape[1]), "neighbor": others[order].ravel(), "distance": least}
-        )
-        out.append(pairs[~np.take_along_axis(same, order, axis=1).ravel()])
-    return pd.concat(out)
+    out, taken = [], 0
+    with np.errstate(all="ignore"):
+        centre = y.mean(axis=0)
+        ends = y - centre
+        end_lengths = (ends * ends).sum(axis=1)
+        step = max(1, TILE // (4 * max(1, len(others))))
+        for a in range(0, len(ids), step):
+            own, part = ids[a : a + step], x[a : a + step]
+            starts = part - centre
+            lengths = (starts * starts).sum(axis=1)
+            scale = lengths[:, None] + end_lengths[None]
+            squares = scale - 2 * (starts @ ends.T)
+            error = scale * (8 * (x.shape[1] + 4) * EPS)
+            most = squares + error
+            most[np.isnan(most)] = np.inf
+            same = own[:, None] == others[None]
+            most[same] = np.inf
+            limit = np.full(len(own), np.inf) if bound is None else bound[a : a + step].astype("float64")
+            if len(others) > k:
+                limit = np.minimum(limit, np.partition(most, k - 1, axis=1)[:, k - 1])
+            row, column = np.nonzero(~(squares - error > limit[:, None]) & ~same)
+            taken += len(row)
+            distance = np.zeros(len(row))
+            for j in range(x.shape[1]):
+                distance += (part[row, j] - y[column, j]) ** 2
+            order = np.lexsort((column, distance, row))
+            row, column, distance = row[order], column[order], distance[order]
+            begins = np.searchsorted(row, np.arange(len(own)))
+            kept = np.arange(len(row)) - begins[row] < k
+            out.append(pd.DataFrame({"id": own[row[kept]], "neighbor": others[column[kept]], "distance": distance[kept]}))
+    return pd.concat(out), taken
 
 
 def _block_search(row_id: str, vector: str, k: int):
     def search(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(row_id)
         ids, x = block[row_id].to_numpy(), np.stack(block[vector].to_numpy())
-        return _nearest_pairs(ids, x, ids, x, row_id, k)
+        return nearest_pairs(ids, x, ids, x, k)[0].rename(columns={"id": row_id})
 
     return search
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -315,3 +316,48 @@ def test_neighbors_above_one_block_are_those_of_brute_force(spark):
     squares = ((x[:, None] - x[None]) ** 2).sum(axis=2)
     np.fill_diagonal(squares, np.inf)
     assert np.allclose(np.take_along_axis(squares, got, axis=1), np.sort(squares, axis=1)[:, :5], rtol=1e-9, atol=0)
+
+
+def test_neighbors_of_many_independent_features_take_few_distances(spark):
+    rng = np.random.default_rng(30)
+    x = rng.normal(size=(20_000, 30)) * rng.uniform(0.5, 2, 30)
+    frame = pd.DataFrame({"TransactionID": np.arange(len(x)), "features": x.tolist()})
+    points = spark.createDataFrame(frame, "TransactionID long, features array<double>")
+    got = np.full((len(x), 5), -1)
+    found = oversample.neighbor_distances(points, len(x), dimensions=30).toPandas()
+    got[found["TransactionID"], found["rank"] - 1] = found["neighbor"]
+    lengths = (x * x).sum(axis=1)
+    for a in range(0, len(x), 1000):
+        squares = lengths[a : a + 1000, None] + lengths[None] - 2 * x[a : a + 1000] @ x.T
+        squares[np.arange(1000), np.arange(a, a + 1000)] = np.inf
+        assert (np.argsort(squares, axis=1)[:, :5] == got[a : a + 1000]).all()
+    # Distances that a block of points takes of all the others, nothing known before.
+    ids = np.arange(len(x))
+    taken = sum(
+        oversample.nearest_pairs(ids[:2048], x[:2048], ids[b : b + 2048], x[b : b + 2048], 5)[1]
+        for b in range(0, len(x), 2048)
+    )
+    assert taken < 0.01 * 2048 * len(x)
+
+
+@pytest.mark.parametrize("odd", [None, float("nan"), float("inf"), 1e200])
+def test_neighbors_with_a_value_that_has_no_distance(spark, monkeypatch, odd):
+    monkeypatch.setattr(oversample, "BLOCK_ROWS", 40)
+    x = np.random.default_rng(5).normal(size=(200, 2)).tolist()
+    x[3][0] = odd
+    points = spark.createDataFrame(list(enumerate(x)), "TransactionID long, features array<double>")
+    found = oversample.neighbor_distances(points, 200, dimensions=2, k=3).where("TransactionID <> 3").toPandas()
+    known = np.array([v for i, v in enumerate(x) if i != 3])
+    squares = ((known[:, None] - known[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(squares, np.inf)
+    want = np.sort(squares, axis=1)[:, :3].ravel()
+    assert np.allclose(found.sort_values(["TransactionID", "rank"])["distance"], want, rtol=1e-9, atol=0)
+
+
+def test_repeated_points_are_not_paired_with_all_their_copies(spark, monkeypatch):
+    monkeypatch.setattr(oversample, "BLOCK_ROWS", 40)
+    x = [[1.0, 2.0]] * 150 + np.random.default_rng(6).normal(size=(150, 2)).tolist()
+    points = spark.createDataFrame(list(enumerate(x)), "TransactionID long, features array<double>")
+    found = oversample.neighbor_distances(points, 300, dimensions=2, k=5).toPandas()
+    assert (found.groupby("TransactionID").size() == 5).all()
+    assert (found[found["TransactionID"] < 150]["distance"] == 0).all()
