@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.session import small_table
@@ -15,15 +16,9 @@ from fraudlake.session import small_table
 ZERO_COLUMNS = [f"C{i}" for i in range(1, 15)]
 MEDIAN_IDENTITY = [f"id_{i:02d}" for i in (*range(1, 12), 13, 14, 17, 18, 19, 20, 32)]
 MEDIAN_BASE = ["card2", "card3", "card5", "addr1", "addr2", "dist1", "dist2"]
-CELLS = 4096
-SKETCH_SIZE = 1024
-SKETCH_LANES = 256
-BRACKET = 0.01
-# Columns per scan. Up to 90 columns are read vectorised; the counting scans take fewer, so
-# that the generated code of one stage stays small enough to be compiled.
-SKETCH_CHUNK = 90
-COUNT_CHUNK = 24
-SEARCH_CHUNK = 16
+DIGIT_BITS = 16  # of a 64-bit key that one pass decides
+HELD_DIGITS = 1 << 24  # of 2 bytes, that a task gathers before it counts them
+SIGN = np.uint64(63)
 
 
 def median_targets(df: DataFrame) -> list[str]:
@@ -34,152 +29,101 @@ def median_targets(df: DataFrame) -> list[str]:
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Interpolated median of each column over its non-missing values; None if it has none.
 
-    No task ever holds the values of a column. A quantile sketch brackets the median between two
-    values, one scan counts the rows below and up to the bracket exactly, and the search goes
-    on inside it: the bracket is cut into 4096 cells, the cells are counted (combined before
-    the shuffle), and the cell that holds the wanted rank is the next bracket, until it has a
-    single value. A bracket that misses the rank is replaced by the full range of the column,
-    so the result is exact whatever the sketch said. The driver keeps two numbers per column.
-
-    ``df`` is scanned a few times, only its open columns each time.
+    Doubles are read as 64-bit numbers of the same order, and the two middle ranks of all columns are
+    found together, 16 bits a pass from the top: one aggregation counts, for every column, the next 16
+    bits of the values that begin like a value in the middle. Four passes over ``df`` find the medians
+    of any number of columns, whatever their values. Counts are taken in the tasks and combined before the
+    shuffle, so no task holds the values of a column, and a window sees at most 2^16 counts. The driver
+    gets two numbers per column and pass. NaN is missing; 0.0 and -0.0 are equal.
     """
     columns = list(columns)
     medians: dict[str, float | None] = {c: None for c in columns}
-    brackets = _brackets(df, columns)
-    counts = _bracket_counts(df, brackets)
-    ranks = {c: ((b["n"] + 1) // 2, b["n"] // 2 + 1) for c, b in brackets.items()}
-
-    # Open searches: (column, overall rank) -> (low, high, rank counted from low).
-    searches: dict[tuple[str, int], tuple[float, float, int]] = {}
-    for c, b in brackets.items():
-        below, upto = counts[c]
-        for rank in set(ranks[c]):
-            if below < rank <= upto:
-                searches[(c, rank)] = (b["low"], b["high"], rank - below)
-            else:
-                searches[(c, rank)] = (b["least"], b["greatest"], rank)
-
-    found: dict[tuple[str, int], float] = {}
-    while searches:
-        for target, (low, high, _) in list(searches.items()):
-            if low == high:
-                found[target] = low
-                del searches[target]
-        if searches:
-            searches = _narrow(df, searches)
-
-    for c, (lower, upper) in ranks.items():
-        a, b = found[(c, lower)], found[(c, upper)]
-        medians[c] = a if a == b else (a + b) / 2 if math.isfinite(a + b) else a / 2 + b / 2
+    if not columns:
+        return medians
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    # (column, lower or upper middle) -> (bits known so far, rank among the values that begin so)
+    middle: dict[tuple[int, int], tuple[int, int | None]] = {(i, w): (0, None) for i in range(len(columns)) for w in (0, 1)}
+    for known in range(0, 64, DIGIT_BITS):
+        counts = _digit_counts(values, {k: prefix for k, (prefix, _) in middle.items()}, known)
+        middle = _middle_digits(counts, middle, known == 0)
+        if not middle:
+            return medians
+    for i, c in enumerate(columns):
+        if (i, 0) in middle:
+            a, b = _values_of([middle[i, 0][0], middle[i, 1][0]])
+            medians[c] = a if a == b else (a + b) / 2 if math.isfinite(a + b) else a / 2 + b / 2
     return medians
 
 
-def _brackets(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
-    """Per column with values: their number, least, greatest, and two values around the median.
-
-    The sketches of all tasks are merged in two steps, first in 256 groups of tasks, then per
-    column, so that no reducer receives the sketches of the whole table.
-    """
-    found = {}
-    size = F.lit(SKETCH_SIZE)
-    for start in range(0, len(columns), SKETCH_CHUNK):
-        part = list(columns[start : start + SKETCH_CHUNK])
-        lane = F.pmod(F.spark_partition_id(), F.lit(SKETCH_LANES)).alias("_lane")
-        merged = (
-            df.select(lane, *[F.col(c).cast("double").alias(c) for c in part])
-            .groupBy("_lane")
-            .agg(*[F.kll_sketch_agg_double(c, size).alias(c) for c in part])
-            .unpivot("_lane", part, "col", "sketch")
-            .where(F.kll_sketch_get_n_double("sketch") > 0)
-            .groupBy("col")
-            .agg(F.kll_merge_agg_double("sketch", size).alias("sketch"))
-        )
-        at = F.array(*[F.lit(q) for q in (0.0, 0.5 - BRACKET, 0.5 + BRACKET, 1.0)])
-        rows = merged.select(
-            "col",
-            F.kll_sketch_get_n_double("sketch").alias("n"),
-            F.kll_sketch_get_quantile_double("sketch", at).alias("q"),
-        ).collect()
-        for r in rows:
-            least, low, high, greatest = r["q"]
-            found[r["col"]] = {
-                "n": r["n"], "least": least, "low": low, "high": high, "greatest": greatest,
-            }
-    return found
-
-
-def _bracket_counts(df: DataFrame, brackets: dict[str, dict]) -> dict[str, tuple[int, int]]:
-    """Per column: rows below its bracket, and rows below its upper end or equal to it."""
-    counts = {}
-    columns = list(brackets)
-    for start in range(0, len(columns), COUNT_CHUNK):
-        part = columns[start : start + COUNT_CHUNK]
-        row = df.agg(
-            *[F.count_if(F.col(c).cast("double") < brackets[c]["low"]) for c in part],
-            *[F.count_if(F.col(c).cast("double") <= brackets[c]["high"]) for c in part],
-        ).first()
-        counts.update({c: (row[i], row[i + len(part)]) for i, c in enumerate(part)})
-    return counts
-
-
-def _cell(value: Column, low: float, high: float) -> Column:
-    """The cell of a value in a bracket: 0 to CELLS, -1 and CELLS + 1 for the infinities.
-
-    ``low`` is in the first cell and a finite ``high`` alone in the last, so every pass narrows a
-    bracket. Halves are taken where the width itself is beyond the largest double.
-    """
-    least, most = max(low, -sys.float_info.max), min(high, sys.float_info.max)
-    scale = 1.0 if math.isfinite(most - least) else 0.5
-    width = most * scale - least * scale
-    share = (value * scale - least * scale) / F.lit(width) if width else F.lit(0.0)
-    inside = F.least(F.floor(share * CELLS), F.lit(CELLS)).cast("int")
-    return (
-        F.when(value == float("-inf"), -1).when(value == float("inf"), CELLS + 1).otherwise(inside)
-    )
-
-
-def _narrow(df: DataFrame, searches: dict) -> dict:
-    """One pass: replace each open interval by the cell that holds its rank."""
-    intervals = sorted({(c, low, high) for (c, _), (low, high, _) in searches.items()})
-    narrowed = {}
-    for start in range(0, len(intervals), SEARCH_CHUNK):
-        part = intervals[start : start + SEARCH_CHUNK]
-        number = {interval: i for i, interval in enumerate(part)}
-        entries = []
-        for (c, low, high), i in number.items():
-            value = F.col(c).cast("double")
-            cell = _cell(value, low, high)
-            entry = F.struct(F.lit(i).alias("i"), cell.alias("cell"), value.alias("v"))
-            entries.append(F.when(value.between(low, high), entry))
-        cells = (
-            df.select(F.explode(F.array(*entries)).alias("e"))
-            .where(F.col("e").isNotNull())
-            .groupBy("e.i", "e.cell")
-            .agg(F.count("*").alias("n"), F.min("e.v").alias("low"), F.max("e.v").alias("high"))
-        )
-        ranks = {
-            (number[(target[0], low, high)], target, rank)
-            for target, (low, high, rank) in searches.items()
-            if (target[0], low, high) in number
-        }
-        wanted = small_table(
-            df.sparkSession, sorted({(i, rank) for i, _, rank in ranks}), "i int, rank long"
-        )
-        upto = F.sum("n").over(Window.partitionBy("i").orderBy("cell"))
-        located = (
-            cells.withColumn("upto", upto)
-            .withColumn("before", F.col("upto") - F.col("n"))
-            .join(F.broadcast(wanted), "i")
-            .where((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
-            .collect()
-        )
-        cell_of = {(r["i"], r["rank"]): r for r in located}
-        for i, target, rank in ranks:
-            r = cell_of[(i, rank)]
-            if (r["low"], r["high"]) == searches[target][:2]:
-                raise ArithmeticError(f"the search for the median of {target[0]} does not narrow")
-            narrowed[target] = (r["low"], r["high"], rank - r["before"])
-    return narrowed
+def _ordered_keys(values: np.ndarray) -> np.ndarray:
+    """64-bit numbers in the order of the doubles."""
+    bits = (values + 0.0).view(np.uint64)
+    return np.where(bits >> SIGN, ~bits, bits | np.uint64(1) << SIGN)
+
+
+def _values_of(keys: Sequence[int]) -> list[float]:
+    keys = np.array(keys, dtype=np.uint64)
+    return np.where(keys >> SIGN, keys ^ np.uint64(1) << SIGN, ~keys).view(np.float64).tolist()
+
+
+def _digit_counts(values: DataFrame, prefixes: dict[tuple[int, int], int], known: int) -> DataFrame:
+    """(i, prefix, digit, n): how many values of column i continue a wanted prefix of ``known`` bits so."""
+    wanted: dict[int, list[int]] = {}
+    for (i, _), prefix in prefixes.items():
+        wanted[i] = sorted({*wanted.get(i, ()), prefix})
+    shift = np.uint64(64 - known - DIGIT_BITS)
+
+    mask = np.uint64((1 << DIGIT_BITS) - 1)
+
+    def counts(held: dict[tuple[int, int], list[np.ndarray]]) -> pa.RecordBatch:
+        found = [np.zeros((4, 0), np.int64)]
+        for (i, prefix), parts in held.items():
+            n = np.bincount(np.concatenate(parts))
+            digit = np.flatnonzero(n)
+            found.append(np.stack([np.full(len(digit), i), np.full(len(digit), prefix), digit, n[digit]]))
+        arrays = [pa.array(v) for v in np.concatenate(found, axis=1)]
+        return pa.RecordBatch.from_arrays(arrays, names=["i", "prefix", "digit", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list[np.ndarray]] = {(i, p): [] for i, starts in wanted.items() for p in starts}
+        size = 0
+        for batch in batches:
+            for i, starts in wanted.items():
+                column = batch.column(f"c{i}").drop_null().to_numpy()
+                tops = _ordered_keys(column[~np.isnan(column)]) >> shift
+                begin = tops >> np.uint64(DIGIT_BITS)
+                for prefix in starts:
+                    digits = (tops[begin == prefix] & mask).astype(np.uint16)
+                    if len(digits):
+                        held[i, prefix].append(digits)
+                        size += len(digits)
+            if size > HELD_DIGITS:
+                yield counts({k: parts for k, parts in held.items() if parts})
+                held, size = {k: [] for k in held}, 0
+        yield counts({k: parts for k, parts in held.items() if parts})
+
+    counted = values.select(*[f"c{i}" for i in wanted]).mapInArrow(count, "i long, prefix long, digit long, n long")
+    return counted.groupBy("i", "prefix", "digit").agg(F.sum("n").alias("n"))
+
+
+def _middle_digits(counts: DataFrame, middle: dict, first: bool) -> dict:
+    """The searches one digit further; in the ``first`` pass the number of values gives the ranks."""
+    group = Window.partitionBy("i", "prefix")
+    placed = counts.withColumn("upto", F.sum("n").over(group.orderBy("digit")))
+    if first:
+        n = F.sum("n").over(group)
+        ranks = F.array(F.floor((n + 1) / 2), F.floor(n / 2) + 1)
+        placed = placed.withColumn("ranks", ranks).select("*", F.posexplode("ranks").alias("which", "rank"))
+    else:
+        searches = [(i, which, prefix, rank) for (i, which), (prefix, rank) in middle.items()]
+        wanted = small_table(counts.sparkSession, searches, "i long, which long, prefix long, rank long")
+        placed = placed.join(F.broadcast(wanted), ["i", "prefix"])
+    before = F.col("upto") - F.col("n")
+    found = placed.where((before < F.col("rank")) & (F.col("rank") <= F.col("upto")))
+    return {
+        (r["i"], r["which"]): (r["prefix"] << DIGIT_BITS | r["digit"], r["rank"] - r["before"])
+        for r in found.select("i", "which", "prefix", "digit", "rank", before.alias("before")).collect()
+    }
 
 
 def impute(df: DataFrame, medians: dict[str, float | None] | None = None) -> DataFrame:

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -295,3 +297,18 @@ def test_features_learned_on_training_rows_only(spark):
     out = engineer.engineer_features(df, fit_on=df.where("TransactionID < 3"))
     got = by_id(out, "amt_vs_card1_mean", "card4", "tx_count_card1_1h")
     assert got[3] == (93.0, -1, 2)
+
+
+def test_medians_take_four_passes_and_leave_out_nan(spark, monkeypatch):
+    scans = []
+    counted = impute._digit_counts
+    monkeypatch.setattr(impute, "_digit_counts", lambda *a: scans.append(1) or counted(*a))
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(301, 365)) * 10.0 ** rng.integers(-300, 300, 365)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7], x[:, 8], x[:3, 9], x[3:, 9] = np.nan, -0.0, 4.0, np.nan
+    df = spark.createDataFrame(pd.DataFrame(x, columns=[f"c{i}" for i in range(365)]))
+    got = impute.exact_medians(df, df.columns)
+    assert len(scans) == 4 and got["c7"] is None and got["c8"] == 0.0 and got["c9"] == 4.0
+    want = np.nanmedian(np.delete(x, 7, axis=1), axis=0)
+    assert [got[c] for c in df.columns if c != "c7"] == want.tolist()
