@@ -81,3 +81,30 @@ def digest_bucket(digest: str, rows: int) -> Column:
     """Leading hex digits of an evenly spread digest, for pieces of about 2^13 of ``rows`` rows."""
     digits = hex_digits_for(rows)
     return F.substring(digest, 1, digits) if digits else F.lit("")
+
+
+def different_texts(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, digest, copies)``, written: the different texts of each group of ``rows`` (text not null)."""
+    return stash(rows.select(*by, F.md5("text").alias("digest")).groupBy(*by, "digest").agg(F.count("*").alias("copies")))
+
+
+def drawn_texts(rows: DataFrame, different: DataFrame, about: int, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, text)``: of each group all its different texts, or ``about`` of them chosen by their digests.
+
+    Copies are folded before the draw, so a text that many rows share is one candidate: it neither fills
+    the sample nor empties it, and a group is never without a text. Digests that a first cut leaves are
+    about 1.25 times the sample and are ranked in a window; only the texts drawn are shuffled, and the rows of one text
+    are folded in their tasks. ``about`` times the groups must be few enough to broadcast their digests.
+    """
+    group = list(by) or [F.lit(0)]
+    size = F.sum(F.lit(1)).alias("_different")
+    place = F.conv(F.substring("digest", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    if by:
+        sized = different.join(F.broadcast(different.groupBy(*by).agg(size)), list(by))
+    else:
+        sized = different.withColumn("_different", different.agg(size).scalar())
+    near = sized.where(place * F.col("_different") <= 1.25 * about + 64)
+    first = F.row_number().over(Window.partitionBy(*group).orderBy("digest"))
+    drawn = near.withColumn("_rank", first).where(F.col("_rank") <= about).select(*by, "digest")
+    texts = rows.select(*by, "text", F.md5("text").alias("digest")).join(F.broadcast(drawn), [*by, "digest"])
+    return texts.groupBy(*by, "digest").agg(F.first("text").alias("text")).drop("digest")

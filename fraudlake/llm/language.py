@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fraudlake.llm.common import stash, table
+from fraudlake.llm.common import different_texts, drawn_texts, stash, table
 from fraudlake.llm.language_filter import LENGTHS, LanguageFilter, grams, letters
 from fraudlake.llm.word_grams import text_parts
 
-TEXTS_PER_LANGUAGE = 4000  # about so many labelled texts of a language are learned from
+TEXTS_PER_LANGUAGE = 4000  # so many different labelled texts of a language are learned from
+MOST_LANGUAGES = 128
 LEAST_SHARE = 2e-6  # of a language's n-grams
 LEAST_RATIO = 0.1  # of the largest share that any language has
 UNKNOWN = "und"
@@ -50,22 +51,31 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", about: int = TEXTS_PER_LANGUAGE) -> LanguageFilter:
+def learn(
+    labelled: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    about: int = TEXTS_PER_LANGUAGE,
+    most: int = MOST_LANGUAGES,
+) -> LanguageFilter:
     """A filter from the rows of ``labelled`` that have a text and a language.
 
-    Of each language about ``about`` texts are read, chosen by a hash of the text; that bounds the
-    work and the n-grams. Languages are in the order of their number of rows, then by code point,
-    so that ties go to the more frequent one.
+    Of each language at most ``about`` different texts are read, chosen by their digests; that bounds
+    the work and the n-grams. A text counts once however many copies it has, so every language with
+    a row is learned. Languages are in the order of their number of rows, then by code point, so
+    that ties go to the more frequent one. More than ``most`` languages, as a column of dirty labels
+    would have, are refused: the filter takes at most 16 MB for each 8 of them.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    ranks = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
-    languages = [r["lang"] for r in ranks]
+    different = different_texts(rows, ["lang"])
+    sizes = different.groupBy("lang").agg(F.sum("copies").alias("n"))
+    languages = [r["lang"] for r in sizes.orderBy(F.desc("n"), "lang").limit(most + 1).collect()]
+    if len(languages) > most:
+        raise ValueError(f"more than {most} languages: clean the labels, or allow more of them")
     model = LanguageFilter(languages, 10)
     if not languages:
         return model
-    place = F.pmod(F.xxhash64(F.lit("language"), "text"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*(x for r in ranks for x in (F.lit(r["lang"]), F.lit(about / r["count"]))))
-    counts = stash(gram_counts(rows.where(place < share[F.col("lang")])))
+    counts = stash(gram_counts(drawn_texts(rows, different, about, ["lang"])))
     of_lang = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     shares = counts.join(F.broadcast(of_lang), "lang").withColumn("share", F.col("n") / F.col("total"))
     shares = shares.where(F.col("share") >= LEAST_SHARE)

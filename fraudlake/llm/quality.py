@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import stash, table
+from fraudlake.llm.common import different_texts, drawn_texts, table
 from fraudlake.llm.quality_signals import LABELLERS, Scorer, estimate, features, signals, votes
 from fraudlake.llm.word_grams import LOWER, Hasher, Words, text_parts
 
@@ -47,10 +47,10 @@ def voted(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     return out.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), "pattern")
 
 
-def fit_scorer(docs: DataFrame, posterior: dict[int, float], rows: int, text: str = "text", about: int = SAMPLE) -> Scorer:
-    """A scorer for the posteriors of the votes on about ``about`` of the ``rows`` documents."""
-    place = F.pmod(F.xxhash64(F.lit("quality"), text), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.where(F.col(text).isNotNull() & (place < about / max(1, rows))).select(F.col(text).alias("text"))
+def fit_scorer(docs: DataFrame, posterior: dict[int, float], text: str = "text", about: int = SAMPLE) -> Scorer:
+    """A scorer for the posteriors of the votes on at most ``about`` different texts, each taken once."""
+    rows = docs.select(F.col(text).alias("text")).where("text is not null")
+    sample = drawn_texts(rows, different_texts(rows), about)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -110,7 +110,7 @@ def classify(docs: DataFrame, keep: list[str], text: str = "text") -> tuple[Data
     patterns, counts = counted["pattern"].to_numpy(), counted["count"].to_numpy()
     good, accuracies, _ = estimate(patterns, counts)
     posterior = dict(zip(patterns.tolist(), good.tolist()))
-    scorer = fit_scorer(docs, posterior, int(counts.sum()), text)
+    scorer = fit_scorer(docs, posterior, text)
     empty = ~F.coalesce(F.col("_text_known"), F.lit(False))
     known = docs.withColumn("_text_known", F.col(text).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     scored = with_score(known, scorer, [*keep, "_text_known"], text)

@@ -1,11 +1,13 @@
+import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import table
+from fraudlake.llm.common import different_texts, drawn_texts, table
 from fraudlake.llm.language import learn, op7_language, with_language
 from fraudlake.llm.language_filter import LanguageFilter, grams, letters
 
@@ -63,3 +65,51 @@ def test_hard_rows(spark):
     assert with_language(docs.limit(0), model, ["doc_id"]).count() == 0
     empty = learn(docs.limit(0))
     assert {r.lang_pred for r in with_language(docs, empty, ["doc_id"]).collect()} == {"und"}
+
+
+@pytest.mark.parametrize("text", ["kota mira sol", "the same words", "xq", "año nuevo", "z z z", "many of one", "eight", "a b c d"])
+def test_a_language_of_one_repeated_text_is_learned(spark, text):
+    rows = [("aa", f"vprt number {chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(600)] + [("zz", text)] * 3000
+    model = learn(spark.createDataFrame(rows, "lang string, text string"), about=100)
+    assert model.languages == ["zz", "aa"]
+    got = with_language(spark.createDataFrame([(text,)], "text string"), model, ["text"]).first()
+    assert got.lang_pred == "zz" and got.score > 0.9
+
+
+def test_draw_is_bounded_and_takes_each_text_once(spark):
+    rows = [("aa", f"text {i}") for i in range(2000)] + [("aa", "hot")] * 1000 + [("bb", "x"), ("bb", "x"), ("bb", "y")]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    drawn = drawn_texts(frame, different_texts(frame, ["lang"]), 50, ["lang"]).collect()
+    assert sorted(r.text for r in drawn if r.lang == "bb") == ["x", "y"]
+    assert len({r.text for r in drawn if r.lang == "aa"}) == 50 == sum(r.lang == "aa" for r in drawn)
+    digests = sorted((hashlib.md5(t.encode()).hexdigest(), t) for t in {t for _, t in rows})
+    whole = drawn_texts(frame, different_texts(frame), 70)
+    assert sorted(r.text for r in whole.collect()) == sorted(t for _, t in digests[:70])
+
+
+def test_too_many_languages_are_refused(spark):
+    rows = spark.createDataFrame([(f"l{i}", "a text") for i in range(9)], "lang string, text string")
+    assert len(learn(rows, most=9).languages) == 9
+    with pytest.raises(ValueError, match="more than 8 languages"):
+        learn(rows, most=8)
+
+
+def test_predictions_equal_plain_counting(spark):
+    """The learned sets as plain Python sets; a filter may only add false hits, which are rare and taken off."""
+    rng = random.Random(3)
+    words = {l: ["".join(rng.choices(a, k=5)) for _ in range(30)] for l, a in (("aa", "abcdef"), ("bb", "defghi"), ("cc", "pqrst"))}
+    texts = [(l, " ".join(rng.choices(words[l], k=12))) for l in words for _ in range(60)]
+    model = learn(spark.createDataFrame(texts, "lang string, text string"))
+    counts = {l: Counter() for l in words}
+    for l, t in texts:
+        counts[l].update(f" {t} "[i : i + k] for k in (3, 5) for i in range(len(t) + 3 - k))
+    share = {l: {g: n / sum(c.values()) for g, n in c.items()} for l, c in counts.items()}
+    known = {
+        l: {g for g, s in share[l].items() if s >= 2e-6 and s >= 0.1 * max(o.get(g, 0) for o in share.values())} for l in words
+    }
+    asked = [" ".join(rng.choices(words[rng.choice(list(words))], k=6)) for _ in range(200)]
+    got = with_language(spark.createDataFrame([(t,) for t in asked], "text string"), model, ["text"])
+    for r in got.collect():
+        seen = [f" {r.text} "[i : i + k] for k in (3, 5) for i in range(len(r.text) + 3 - k)]
+        plain = {l: sum(g in known[l] for g in seen) / len(seen) for l in words}
+        assert plain[r.lang_pred] == max(plain.values()) and abs(r.score - plain[r.lang_pred]) < 0.02
