@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import lru_cache
 
 WINDOW = 3  # lines in a window
@@ -133,6 +134,8 @@ def read_lines(page: str, opened: frozenset[int]) -> tuple[list[Line], list[int]
     # and the group around it.
     stack: list[tuple[str, bool, int, int, int, int]] = []
     marks: list[tuple[int, int, int]] = []
+    still_open: Counter[str] = Counter()  # elements of the stack by name: a stray end tag costs no search
+    unended: set[str] = set()  # raw elements that have no end tag from here on
     furniture = sure = main = links = total = 0
     seen_main = False
     at, end = 0, len(page)
@@ -149,6 +152,7 @@ def read_lines(page: str, opened: frozenset[int]) -> tuple[list[Line], list[int]
         nonlocal furniture, sure, main, group
         group = stack[count][5] if count < len(stack) else group
         for name, marked, place, kind, before, _ in stack[count:]:
+            still_open[name] -= 1
             furniture -= marked
             sure -= kind == SURE
             if kind > SURE:
@@ -173,7 +177,11 @@ def read_lines(page: str, opened: frozenset[int]) -> tuple[list[Line], list[int]
             continue
         closing, attributes = found[1], found[3]
         if name in RAW and not closing and not attributes.endswith("/>"):
-            shut = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            shut = None
+            if name not in unended:
+                shut = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            if shut is None:
+                unended.add(name)
             if shut is None and name in ("head", "select", "object", "svg", "noscript", "template"):
                 continue  # never closed: read on inside it
             at = shut.end() if shut else end
@@ -189,10 +197,8 @@ def read_lines(page: str, opened: frozenset[int]) -> tuple[list[Line], list[int]
         if name in VOID:
             continue
         if closing:
-            for count in range(len(stack) - 1, -1, -1):
-                if stack[count][0] == name:
-                    leave(count)
-                    break
+            if still_open[name]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             continue
         if name == "p" and stack and stack[-1][0] == "p":
             leave(len(stack) - 1)  # a paragraph ends the one before
@@ -208,6 +214,7 @@ def read_lines(page: str, opened: frozenset[int]) -> tuple[list[Line], list[int]
         main += name in MAIN and not marked
         seen_main |= main > 0
         stack.append((name, marked, found.start(), kind, total, group))
+        still_open[name] += 1
         if name in GROUPS and not furniture:
             parents.append(group)
             group = len(parents) - 1

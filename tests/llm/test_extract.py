@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,10 @@ def test_marks_are_whole_words_of_parsed_attributes(page, want):
 )
 def test_windows_bound_one_region_per_container(page, want):
     assert main_text(page) == want
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</span>" * 70_000, "<svg>" * 200_000, "<div><svg>a</p>" * 70_000, "</div>" * 170_000])
+def test_a_megabyte_of_broken_markup_takes_a_second(page):
+    start = time.perf_counter()
+    main_text(page + "<p>The end.</p>")
+    assert len(page) > 900_000 and time.perf_counter() - start < 5
