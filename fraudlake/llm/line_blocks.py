@@ -251,7 +251,9 @@ def main_text(page: str | None) -> str:
     every line inside is kept and none outside. Else a window of SURGE characters begins a main text,
     which reaches in both directions up to a line of furniture or a window without length, and beyond
     these from the first to the last line with a length in the container of the window. What is in no
-    container but the page is kept from the first surge on.
+    container but the page is kept from the first surge on. If one container fills a window of
+    its own, surges in it and holds over two thirds of the unlinked text, only containers with such a window are
+    main text: a notice or an imprint beside them goes, however long, whatever its name.
     """
     lines, parents = lines_of(page or "")
     inside = sum(n for _, n, d, _ in lines if d)
@@ -261,6 +263,7 @@ def main_text(page: str | None) -> str:
     nearest, first, last = containers(lines, parents)
     kept = [False] * len(lines)
     regions = set()
+    held: Counter[int] = Counter()  # lengths of the containers that fill a window and surge in it
     begin = 0
     while begin < len(lines):
         stop = begin
@@ -271,7 +274,22 @@ def main_text(page: str | None) -> str:
         if surges:
             kept[begin:stop] = [True] * (stop - begin)
             regions.update(nearest[lines[i][3]] for i in surges)
+        for i in surges:
+            window = {nearest[lines[j][3]] for j in range(i, min(i + WINDOW, stop))}
+            if len(window) == 1 and i + WINDOW <= stop:
+                held[window.pop()] = 0
         begin = stop + 1
+    around = [0] * len(parents)
+    for group in range(1, len(parents)):
+        around[group] = group if group in held else around[parents[group]]
+    for _, length, _, group in lines:
+        if around[group]:
+            held[around[group]] += length
+    main, most = max(held.items(), key=lambda item: item[1], default=(0, 0))
+    if main and 3 * most > 2 * sum(lengths):
+        # The windows rise and dive with this container: lines in no other that surges are beside it.
+        regions = {region for region in held if region}
+        kept = [False] * len(lines)
     if 0 in regions:
         first[0] = kept.index(True)
     if not regions:  # no window is long enough: the page is short, all its own text is the text

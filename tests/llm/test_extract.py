@@ -113,3 +113,12 @@ def test_a_megabyte_of_broken_markup_takes_a_second(page):
     start = time.perf_counter()
     main_text(page + "<p>The end.</p>")
     assert len(page) > 900_000 and time.perf_counter() - start < 5
+
+
+def test_windows_decide_without_names(spark):
+    """The given pages without article, nav, footer and other names, and without class, id and role."""
+    pages = [r.html for r in table(spark, "/root/testdata/sf0.01", "pages").collect()]
+    plain = [re.sub(r"<(/?)(article|main|nav|aside|footer|header|form)\b", r"<\1div", p) for p in pages]
+    plain = [re.sub(r"""\s(class|id|role)=("[^"]*"|'[^']*'|[^\s>]+)""", "", p) for p in plain]
+    same = sum(main_text(a) == main_text(b) for a, b in zip(plain, pages))
+    assert same >= 0.95 * len(pages)
