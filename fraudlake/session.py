@@ -59,12 +59,18 @@ def materialize(df: DataFrame) -> DataFrame:
     driver ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    _copies.append(path)
+    path = scratch_folder(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """The path of a new folder in the shared one, which is deleted like the copies of ``materialize``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _copies.append(path)
+    return path
+
+
 def release(spark: SparkSession, paths: Sequence[str]) -> None:
     """Delete copies, on whatever file system they are."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
