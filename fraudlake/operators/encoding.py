@@ -26,15 +26,24 @@ def _text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
 
 
-def label_dictionary(df: DataFrame, column: str) -> DataFrame:
-    """(value, code, rows) with code = 0-based rank in code-point order, for any number of values.
+def label_dictionaries(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(position, value, code, rows) with code = 0-based rank in code-point order within a column.
 
-    The ranks are running counts over ranges of the values, so the values of a large dictionary
-    never meet in one task.
+    ``position`` is that of the column in ``columns``. All columns are counted in one scan. The ranks
+    are running counts over ranges of (position, value), so the values of a large dictionary never
+    meet in one task; the number of values of the columns before, one per column, is taken off.
     """
-    counted = df.groupBy(_text(column).alias("value")).agg(F.count("*").alias("rows"))
-    ranked = running_totals(counted, "value", {"code": F.lit(1).cast("long")})
-    return materialize(ranked.withColumn("code", F.col("code") - 1))
+    values = F.array(*[F.struct(F.lit(i).alias("position"), _text(c).alias("value")) for i, c in enumerate(columns)])
+    counted = (
+        df.select(F.explode(values).alias("_label"))
+        .groupBy("_label.position", "_label.value")
+        .agg(F.count("*").alias("rows"))
+    )
+    ranked = materialize(running_totals(counted, "position", {"_place": F.lit(1).cast("long")}, ties="value"))
+    first = ranked.groupBy("position").agg(F.min("_place").alias("_first"))
+    return ranked.join(F.broadcast(first), "position").select(
+        "position", "value", (F.col("_place") - F.col("_first")).alias("code"), "rows"
+    )
 
 
 def with_label_codes(
@@ -44,14 +53,17 @@ def with_label_codes(
 ) -> DataFrame:
     """Replace each category by its code; a value unknown to ``fit_on`` gets -1.
 
-    The rows are joined with the written dictionary, whose size Spark knows: it broadcasts a small
-    one, and the rows are then not moved.
+    The rows are joined with the written dictionaries, whose size Spark knows: it broadcasts small
+    ones, and the rows are then not moved.
     """
     order = df.columns
-    source = fit_on if fit_on is not None else df
+    present = [c for c in columns if c in order]
+    if not present:
+        return df
+    dictionaries = label_dictionaries(fit_on if fit_on is not None else df, present)
     result = df
-    for c in [c for c in columns if c in order]:
-        codes = label_dictionary(source, c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    for i, c in enumerate(present):
+        codes = dictionaries.where(F.col("position") == i).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
         joined = result.join(codes, _text(c) == F.col("_value"), "left")
         result = joined.withColumn(c, F.coalesce(F.col("_code"), F.lit(-1)).cast("long")).select(*order)
     return result
