@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from fraudlake.operators.audit import numeric_columns
 from fraudlake.operators.oversample import oversample
 from fraudlake.operators.split import with_class_weight, with_fold
-from fraudlake.operators.trees import PATIENCE, Booster, TreeModel, blocks_of, cut_points, model_table
-from fraudlake.session import materialize
+from fraudlake.operators.trees import PATIENCE, Booster, TreeModel, blocks_of, cut_points, model_of, model_table
+from fraudlake.session import materialize, small_table
 
 MODEL_VERSION = "trees_v2"
 RUNGS = (0.25, 0.5, 1.0)  # shares of a trial's trees after which the poorer half of the trials ends
@@ -244,5 +244,20 @@ def best_params(trials: Sequence[dict]) -> dict[str, float]:
 
 
 def save_model(spark: SparkSession, model: TreeModel, path: str) -> None:
-    """The nodes of all trees as a table."""
-    model_table(spark, model).write.mode("overwrite").parquet(path)
+    """Three tables: the nodes of all trees, the names of the features, the parameters."""
+    names = [(i, c) for i, c in enumerate(model.features)]
+    params = [(k, float(v)) for k, v in model.params.items()]
+    tables = {
+        "nodes": model_table(spark, model),
+        "features": small_table(spark, names, "position long, name string"),
+        "params": small_table(spark, params, "name string, value double"),
+    }
+    for part, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path}/{part}")
+
+
+def load_model(spark: SparkSession, path: str) -> TreeModel:
+    features = spark.read.parquet(f"{path}/features").orderBy("position").collect()
+    params = spark.read.parquet(f"{path}/params").collect()
+    nodes = spark.read.parquet(f"{path}/nodes")
+    return model_of(nodes, [r["name"] for r in features], {r["name"]: r["value"] for r in params})

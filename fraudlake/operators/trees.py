@@ -392,3 +392,13 @@ def model_table(spark: SparkSession, model: TreeModel) -> DataFrame:
     kinds = {"threshold": pa.float64(), "missing_left": pa.bool_(), "value": pa.float64(), "gain": pa.float64(), "cover": pa.float64()}
     arrays = [pa.array(c, kinds.get(n, pa.int32())) for n, c in zip(["tree", "node", *names], columns)]
     return spark.createDataFrame(pa.table(arrays, names=["tree", "node", *names]))
+
+
+def model_of(nodes: DataFrame, features: Sequence[str], params: dict[str, float]) -> TreeModel:
+    """The model whose ``model_table`` is ``nodes``."""
+    trees: dict[int, Tree] = {}
+    for row in nodes.orderBy("tree", "node").collect():  # as many rows as the model has nodes
+        tree = trees.setdefault(row["tree"], Tree(*([] for _ in vars(Tree()))))
+        for name in vars(tree):
+            getattr(tree, name).append(row[name])
+    return TreeModel(list(features), list(trees.values()), params)

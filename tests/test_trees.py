@@ -159,12 +159,16 @@ def test_search_halves_and_continues(spark):
         assert params.keys() == space.keys() and all(low <= params[k] <= high for k, (low, high, _) in space.items())
 
 
-def test_model_is_saved_as_a_table(spark, tmp_path):
+def test_model_is_saved_and_read_again(spark, tmp_path):
     df, _, _ = table(spark)
     model = boosting.fit_boosted_trees(df, NAMES, {**PARAMS, "n_estimators": 2})
     boosting.save_model(spark, model, str(tmp_path / "m"))
-    saved = spark.read.parquet(str(tmp_path / "m"))
+    saved = spark.read.parquet(str(tmp_path / "m" / "nodes"))
     assert saved.count() == sum(len(t.feature) for t in model.trees)
+    again = boosting.load_model(spark, str(tmp_path / "m"))
+    assert again.trees == model.trees and again.features == model.features and again.params == model.params
+    x = np.array([[r[c] if r[c] is not None else np.nan for c in NAMES] for r in df.select(*NAMES).collect()], float)
+    assert np.array_equal(again.margins(x), model.margins(x))
     assert evaluate.auc_roc(boosting.score(model, df)).first()[0] > 0.95
 
 
