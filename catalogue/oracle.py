@@ -237,12 +237,28 @@ ORACLE = {
         GROUP BY amount_range, isFraud""",
         "txn",
     ),
-    "schema_listing": "SELECT CAST(position AS BIGINT) AS position, column_name, data_type FROM ("
-    + " UNION ALL ".join(
-        f"SELECT {i} AS position, '{c}' AS column_name, '{_TYPES.get(c, 'string')}' AS data_type"
-        for i, c in enumerate(_MERGED_COLUMNS)
-    )
-    + ")",
+    "schema_listing": with_views(
+        "SELECT CAST(position AS BIGINT) AS position, column_name, data_type, filled FROM ("
+        + " UNION ALL ".join(
+            f"SELECT {i} AS position, '{c}' AS column_name, '{_TYPES.get(c, 'string')}' AS data_type, "
+            f"count({c}) AS filled FROM merged"
+            for i, c in enumerate(_MERGED_COLUMNS)
+        )
+        + ")",
+        "merged",
+    ),
+    "audit_csv_roundtrip": with_views(_audit("merged", _MERGED_COLUMNS), "merged"),
+    "snapshot_roundtrip": with_views(
+        "SELECT 'once' AS snapshot, TransactionID FROM txn UNION ALL SELECT 'latest', TransactionID FROM idn",
+        "txn", "idn",
+    ),
+    "model_roundtrip": with_views(
+        """WITH m AS (SELECT TransactionID, isFraud, CASE WHEN TransactionAmt <= 100 THEN -0.4
+               WHEN D1 IS NULL OR D1 <= 10 THEN 0.2 ELSE 0.9 END::DOUBLE AS margin FROM txn)
+        SELECT TransactionID, isFraud, round(1 / (1 + exp(-margin)), 6) AS fraud_prob,
+               CAST(margin >= 0 AS BIGINT) AS predicted_label FROM m""",
+        "txn",
+    ),
     "merge_identity": with_views("SELECT * FROM merged", "merged"),
     "identity_coverage": with_views(
         "SELECT 100.0::DOUBLE * count(i.TransactionID) / count(t.TransactionID) "
@@ -582,3 +598,33 @@ ORACLE = {
         "merged",
     ),
 }
+
+# The parameters that metrics_files writes.
+_PARAMS = {
+    "n_estimators": 10, "max_depth": 4, "learning_rate": 0.2, "subsample": 0.9, "colsample_bytree": 0.9,
+    "min_child_weight": 2, "gamma": 0,
+}
+ORACLE["threshold_file"] = ORACLE["threshold_analysis"]
+ORACLE["metrics_files"] = (
+    f"WITH long AS ({ORACLE['rep_metrics_long']}) SELECT 'json' AS file, * FROM long UNION ALL SELECT 'csv', * FROM long "
+    + " ".join(f"UNION ALL SELECT 'params', '{n}', {v}::DOUBLE" for n, v in _PARAMS.items())
+)
+# Rows of the job's outputs; without training there are no attributions.
+_JOB = {
+    "merged_data.parquet": "csv_roundtrip_scan",
+    "engineered_features.parquet": "csv_roundtrip_scan",
+    "v_null_rates": "null_rate_audit",
+    "threshold_analysis": "threshold_analysis",
+    "fraud_summary_by_card_type": "rep_card_type",
+    "fraud_summary_by_device": "rep_device",
+    "fraud_rate_over_time": "rep_fraud_rate_over_time",
+    "risk_segments_summary": "rep_tier_summary",
+    "transaction_amount_distribution": "rep_amount_distribution",
+    "model_performance_metrics": "rep_metrics_long",
+    "observed": "csv_roundtrip_scan",
+}
+ORACLE["job_outputs"] = (
+    f"SELECT * FROM ({ORACLE['table_counts']}) "
+    + " ".join(f"UNION ALL SELECT '{n}', count(*) FROM ({ORACLE[q]})" for n, q in _JOB.items())
+    + " UNION ALL SELECT 'feature_importance_shap', 0"
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +15,10 @@ from fraudlake.operators import impute as imputing
 from fraudlake.operators import oversample, segment, split, velocity
 from fraudlake.operators.trees import Tree, TreeModel
 from fraudlake.plans import checks, eda, engineer, reports
-from fraudlake.session import ensure_checkpoint_dir, materialize, small_table
+from fraudlake.plans.pipeline import Pipeline
+from fraudlake.session import materialize, scratch_folder, small_table
 from fraudlake.sources import readers
-from fraudlake.sources.tables import TableStore, write_report
+from fraudlake.sources.tables import TableStore, snapshot, snapshot_once, write_metrics_json, write_report
 
 DIGITS = 6
 FLOAT_SUMS = ["amt_vs_card1_mean", "amt_vs_card1_zscore"]
@@ -34,6 +35,13 @@ SMALL_MODEL = {
 # The space of the search with fewer trees.
 SEARCH_SPACE = {**boosting.SEARCH_SPACE, "n_estimators": (2, 4, "int")}
 SEARCH_TRIALS = 3
+# Names of the job's tables and files. Nothing writes the last report without training.
+JOB_TABLES = ["raw_transactions", "raw_identity", "merged_data", "engineered_features", "model_predictions", "risk_segments"]
+JOB_SNAPSHOTS = ["merged_data.parquet", "engineered_features.parquet"]
+JOB_REPORTS = [
+    "threshold_analysis", "fraud_summary_by_card_type", "fraud_summary_by_device", "fraud_rate_over_time",
+    "risk_segments_summary", "transaction_amount_distribution", "model_performance_metrics", "feature_importance_shap",
+]
 FIXTURE_FEATURES = [
     "TransactionAmt", "tx_hour", "tx_count_card1_1h", "tx_count_card1_24h",
     "amt_vs_card1_mean", "card1_addr1_count", "ProductCD", "card4", "card6",
@@ -66,13 +74,13 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "csv")
     V.txn(spark, sf_dir).write.csv(folder, header=True)
     return readers.read_transactions_csv(spark, folder)
 
 
 def identity_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "csv")
     V.idn(spark, sf_dir).write.csv(folder, header=True)
     return readers.read_identity_csv(spark, folder)
 
@@ -80,7 +88,7 @@ def identity_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report as its file has it."""
     report = reports.amount_counts(V.txn(spark, sf_dir))
-    path = f"{ensure_checkpoint_dir(spark)}/report-{uuid.uuid4().hex}.csv"
+    path = f"{scratch_folder(spark, 'report')}/report.csv"
     write_report(report, path)
     return spark.read.schema(report.schema).csv(path, header=True)
 
@@ -97,12 +105,85 @@ def limit_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both inputs written as bucketed tables, read and joined on the id, without their rows moving."""
-    store = TableStore(spark, f"{ensure_checkpoint_dir(spark)}/store-{uuid.uuid4().hex}", 8)
+    store = TableStore(spark, scratch_folder(spark, "store"), 8)
     store.replace("raw_transactions", V.txn(spark, sf_dir))
     store.replace("raw_identity", V.idn(spark, sf_dir))
     return readers.with_identity(store.read("raw_transactions"), store.read("raw_identity"))
 
 
+def audit_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The null rates as their file has them."""
+    path = f"{scratch_folder(spark, 'report')}/null_rates.csv"
+    write_report(audit.null_rate_audit(merged(spark, sf_dir)), path)
+    return readers.read_audit_csv(spark, path)
+
+
+def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot that is written once keeps its first rows, the other kind has the latest."""
+    folder = scratch_folder(spark, "snapshots")
+    ids = [V.txn(spark, sf_dir).select("TransactionID"), V.idn(spark, sf_dir).select("TransactionID")]
+    for rows in ids:
+        snapshot_once(rows, f"{folder}/once")
+        snapshot(rows, f"{folder}/latest")
+    kept = [spark.read.parquet(f"{folder}/{n}").withColumn("snapshot", F.lit(n)) for n in ("once", "latest")]
+    return kept[0].unionByName(kept[1])
+
+
+def metrics_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics and parameters as the JSON file has them, and the metrics again as the long CSV has them."""
+    folder = scratch_folder(spark, "report")
+    metrics = materialize(evaluate.metrics_row(V.scored(spark, sf_dir)))
+    write_metrics_json(metrics, SMALL_MODEL, f"{folder}/metrics.json")
+    write_report(evaluate.metrics_long(metrics), f"{folder}/metrics.csv")
+    schema = T.StructType([*metrics.schema.fields, T.StructField("best_params", T.MapType(T.StringType(), T.DoubleType()))])
+    written = spark.read.schema(schema).json(f"{folder}/metrics.json")
+    params = written.select(F.explode("best_params").alias("metric_name", "value"))
+    long = spark.read.schema("metric_name string, value double").csv(f"{folder}/metrics.csv", header=True)
+    parts = [("json", evaluate.metrics_long(written)), ("params", params), ("csv", long)]
+    frames = [df.select(F.lit(name).alias("file"), "metric_name", "value") for name, df in parts]
+    return comparable(frames[0].unionByName(frames[1]).unionByName(frames[2]))
+
+
+def threshold_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four thresholds as their file has them."""
+    analysis = evaluate.threshold_analysis(V.scored(spark, sf_dir))
+    path = f"{scratch_folder(spark, 'report')}/thresholds.csv"
+    write_report(analysis, path)
+    return spark.read.schema(analysis.schema).csv(path, header=True)
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of all rows by a given tree that was saved and read again."""
+    path = f"{scratch_folder(spark, 'model')}/model"
+    boosting.save_model(spark, known_tree(), path)
+    scored = boosting.score(boosting.load_model(spark, path), V.txn(spark, sf_dir))
+    return comparable(scored.select("TransactionID", "isFraud", "fraud_prob", "predicted_label"))
+
+
+def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table, snapshot and report of the batch job, run from the two CSV files.
+
+    Training is left out (``model_checks`` and ``search_checks`` run it): the given scores take the place of its predictions.
+    """
+    work = scratch_folder(spark, "job")
+    V.txn(spark, sf_dir).write.csv(f"{work}/csv/{readers.TRANSACTIONS_FILE}", header=True)
+    V.idn(spark, sf_dir).write.csv(f"{work}/csv/{readers.IDENTITY_FILE}", header=True)
+    job = Pipeline(spark, f"{work}/out", f"{work}/csv", buckets=8)
+    job.run(only=["ingest", "etl", "features"])
+    loaded = job.store.replace("model_predictions", V.scored(spark, sf_dir))
+    write_report(evaluate.metrics_long(job.evaluate(job.store.read("model_predictions"))), f"{job.exports}/model_performance_metrics.csv")
+    job.run(only=["segment", "export"])
+    counts = [readers.count_rows(job.store.read(n), n) for n in JOB_TABLES]
+    counts += [readers.count_rows(spark.read.parquet(f"{job.processed}/{n}"), n) for n in JOB_SNAPSHOTS]
+    counts += [
+        checks.verify_report(spark, f"{folder}/{n}.csv", n).select(F.col("report").alias("tbl"), "rows")
+        for folder, names in ((job.processed, ["v_null_rates"]), (job.exports, JOB_REPORTS))
+        for n in names
+    ]
+    counts.append(small_table(spark, [("observed", loaded)], "tbl string, rows long"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.list_columns(merged(spark, sf_dir))
 
@@ -584,7 +665,8 @@ def eda_device_info_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        csv_roundtrip_scan, identity_csv_roundtrip, report_roundtrip, pruned_scan, limit_scan, schema_listing, table_roundtrip,
+        csv_roundtrip_scan, identity_csv_roundtrip, report_roundtrip, audit_csv_roundtrip, snapshot_roundtrip,
+        metrics_files, threshold_file, model_roundtrip, job_outputs, pruned_scan, limit_scan, schema_listing, table_roundtrip,
         merge_identity, identity_coverage, table_counts, class_share, null_spot_check,
         null_rate_audit, null_rate_audit_lineitem, sparse_column_ranking, drop_sparse_columns,
         fe_time, fe_velocity, fe_velocity_orders, fe_amount_deviation, fe_entity_counts,

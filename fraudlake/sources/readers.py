@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlake.operators.audit import nan_to_null
-from fraudlake.session import small_table
 
 TRANSACTIONS_FILE = "train_transaction.csv"
 IDENTITY_FILE = "train_identity.csv"
@@ -92,11 +91,20 @@ def read_limited(df: DataFrame, rows: int = 200_000, row_id: str = "TransactionI
 
 
 def list_columns(df: DataFrame) -> DataFrame:
-    """(position, column_name, data_type) of a table."""
-    listing = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return small_table(
-        df.sparkSession, listing, "position long, column_name string, data_type string"
-    )
+    """(position, column_name, data_type, filled) of a table; ``filled`` counts values that are not null.
+
+    All columns are counted in one scan.
+    """
+    lines = [
+        F.struct(
+            F.lit(i).cast("long").alias("position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.count(F.col(f"`{f.name}`")).alias("filled"),
+        )
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return df.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
 
 
 def read_audit_csv(spark: SparkSession, path: str) -> DataFrame:
