@@ -10,7 +10,6 @@ attempts whose result Spark took, so a lost executor leaves nothing but unused f
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,11 +19,12 @@ from pyspark.sql import functions as F
 
 from fraudlake.llm.common import stash, table
 from fraudlake.llm.warc_files import IndexReader, IndexWriter, index_key, make_record, open_folder, read_record
-from fraudlake.session import ensure_checkpoint_dir
+from fraudlake.session import scratch_folder
 
 LEAST_REVISIT = 1000  # bytes
 LANES = 16
 ROLL = 1 << 30  # bytes of an archive file
+TASK_BYTES = 64 << 20  # of an archive, read by a task
 CAPTURES = "surt string, page_id long, file string, offset long, length long"
 RECORDS = (
     "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -70,8 +70,8 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A new folder of the shared one."""
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/archive-{uuid.uuid4().hex}"
+    """A new folder of the shared one, deleted when the driver ends."""
+    folder = scratch_folder(spark, "archive")
     store, path = open_folder(folder)
     store.create_dir(path)
     return folder
@@ -156,7 +156,11 @@ def find_captures(keys: DataFrame, folder: str, parts: list[tuple[tuple, str]])
 
 
 def read_captures(captures: DataFrame, folder: str) -> DataFrame:
-    """The records of captures, see RECORDS: ranges are read in the order of the files."""
+    """The records of captures, see RECORDS: ranges are read in the order of the files.
+
+    The captures are written first, and dealt by file and offset to as many tasks as their records
+    have TASK_BYTES; by their own size, a line a record, one task would read a large archive.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = open_folder(folder)
@@ -176,7 +180,11 @@ def read_captures(captures: DataFrame, folder: str) -> DataFrame:
                     records.append(read_record(file.read_at(row["length"], row["offset"])))
                 yield pa.RecordBatch.from_pylist(records, schema=schema)
 
-    return captures.select("file", "offset", "length").orderBy("file", "offset").mapInArrow(read, RECORDS)
+    found = stash(captures.select("file", "offset", "length"))
+    total = found.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    dealt = found.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
+    return dealt.mapInArrow(read, RECORDS)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
