@@ -77,10 +77,27 @@ def with_running(
     ).drop("_group", "_of", "_bucket", *(f"_o_{n}" for n in sums))
 
 
-def digest_bucket(digest: str, rows: int) -> Column:
-    """Leading hex digits of an evenly spread digest, for pieces of about 2^13 of ``rows`` rows."""
-    digits = hex_digits_for(rows)
-    return F.substring(digest, 1, digits) if digits else F.lit("")
+def with_pieces(rows: DataFrame, digest: str, name: str) -> DataFrame:
+    """``rows`` plus the piece of each along the order of ``digest``, a row key; written and read back.
+
+    A piece has the leading hex digits that make pieces of about 2^13 rows. Equal rows have one digest
+    and would all be in one piece; where more than 2^13 rows are equal, each 2^13 of them that one
+    task of the write has form a piece of their own, after the other digests with these digits and
+    before the next digits. There is at most one such digest per 2^13 rows; they are joined as a written table,
+    which Spark broadcasts only while it is small.
+    """
+    written = stash(rows.withColumn(name, F.monotonically_increasing_id()))
+    digits = hex_digits_for(written.count(), ROWS_PER_BUCKET)
+    heavy = stash(
+        written.groupBy(F.col(digest).alias("_heavy")).agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > ROWS_PER_BUCKET).select("_heavy")
+    )
+    part = F.lpad(F.hex(F.floor(F.col(name) / ROWS_PER_BUCKET)), 16, "0")
+    own = F.concat("_heavy", part)
+    leading = F.substring(digest, 1, digits) if digits else F.lit("")
+    return written.join(heavy, F.col(digest) == F.col("_heavy"), "left").withColumn(
+        name, F.coalesce(own, leading)
+    ).drop("_heavy")
 
 
 def different_texts(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fraudlake.llm.common import digest_bucket, row_key, stash, table, with_running
+from fraudlake.llm.common import row_key, stash, table, with_pieces, with_running
 
 WEIGHTS = (5, 2, 1)  # of the sources in the order of their names, repeating
 MOST_REPEATS = 3
@@ -160,22 +160,24 @@ def mix(
     the target 0. Null sources form one source, the last. Repeated rows are documents of their own.
     Empty tables give empty frames.
     """
-    narrow = stash(
+    narrow = with_pieces(
         docs.select(
             *(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)),
             word_count(text).alias("size"),
             source_key(source).alias("source_key"),
             row_key(*dict.fromkeys([*keep, text])).alias("order"),
-        )
+        ),
+        "order",
+        "piece",
     )
     sizes = narrow.groupBy("source_key").agg(F.sum("size").alias("source_size"))
     sources = stash(plan(targets(sizes, weights, most), block))
     slots = stash(schedule(sources, block))
     placed = stash(
         with_running(
-            narrow, "source_key", digest_bucket("order", narrow.count()), ["order"],
+            narrow, "source_key", F.col("piece"), ["order"],
             {"start": F.col("size")}, sources.select("source_key", "source_size", "target"),
-        ).drop("order")
+        ).drop("order", "piece")
     )
     used = slots.groupBy("source_key", "block").agg(
         F.sum((F.col("take") == F.col("length")).cast("long")).alias("times"),

@@ -22,7 +22,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlake.llm.common import digest_bucket, row_key, stash, table, with_running
+from fraudlake.llm.common import row_key, table, with_pieces, with_running
 
 FIRST_DIGITS, MORE_DIGITS = 3, 2
 SHARDS = 8
@@ -129,13 +129,15 @@ def shard_documents(docs: DataFrame, keep: list[str], text: str = "text", shards
     row. Repeated rows get slots of their own. Shards may stay empty if there are fewer groups.
     """
     texts = F.coalesce(F.col(text), F.lit(""))
-    narrow = stash(
+    narrow = with_pieces(
         docs.select(
             *(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)),
             (F.octet_length(texts).cast("long") + 1).alias("size"),
             F.md5(texts.cast("binary")).alias("digest"),
             row_key(*dict.fromkeys([*keep, text])).alias("order"),
-        )
+        ),
+        "order",
+        "piece",
     )
     alone, cuts = partition(narrow.select("digest", "size"), shards)
     shard = F.lit(len(alone))
@@ -144,8 +146,7 @@ def shard_documents(docs: DataFrame, keep: list[str], text: str = "text", shards
     for i, digest in enumerate(alone):
         shard = F.when(F.col("digest") == digest, i).otherwise(shard)
     placed = narrow.withColumn("shard", shard.cast("int"))
-    pieces = digest_bucket("order", narrow.count())
-    numbered = with_running(placed, "shard", pieces, ["order"], {"slot": F.lit(1).cast("long")})
+    numbered = with_running(placed, "shard", F.col("piece"), ["order"], {"slot": F.lit(1).cast("long")})
     return numbered.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), "size", "digest", "shard", "slot")
 
 

@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from fraudlake.llm import sharding
+from fraudlake.llm import common, sharding
 from fraudlake.llm.common import table
 from fraudlake.llm.sharding import op2_shards, shard_documents
 
@@ -84,3 +84,16 @@ def test_query(spark, sf_dir):
         raw = texts[r.doc_id].encode()
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "bytes", None)
         assert r.shard == want[hashlib.md5(raw).hexdigest()]
+
+
+def test_equal_rows_are_in_pieces_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(common, "ROWS_PER_BUCKET", 16)
+    rows = [(7, "copy")] * 500 + [(i, f"text {i % 90}") for i in range(400)]
+    keyed = spark.createDataFrame(rows, "doc_id long, text string").withColumn("order", common.row_key("doc_id", "text"))
+    pieces = common.with_pieces(keyed, "order", "piece")
+    sizes = {r["piece"]: r["count"] for r in pieces.groupBy("piece").count().collect()}
+    assert sum(sizes.values()) == 900 and max(sizes.values()) < 64
+    places = [(r.piece, r.order) for r in pieces.select("piece", "order").collect()]
+    digits = common.hex_digits_for(900, 16)
+    assert all(order.startswith(piece[:digits]) for piece, order in places)
+    assert len(check(spark, rows)) == 8
