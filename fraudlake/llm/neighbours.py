@@ -22,6 +22,7 @@ from fraudlake.llm.pruned_graph import BATCH, NONE, PrunedGraph, directions, lif
 SHARD_ROWS = 8192
 QUERY_BLOCK = 8192
 BEAM = 96
+MOST_TASKS = 1 << 14  # of a search; beyond it a task has several shards or blocks, one after the other
 NEAREST = 20
 
 INDEX_SQL = "part int, node int, entry boolean, ids array<long>, vector array<float>, edges array<int>"
@@ -93,7 +94,12 @@ def build_index(rows: DataFrame, nearest: int = NEAREST, shard_rows: int = SHARD
             }
         )
 
-    placed = classes.withColumn("part", number).withColumn("order", F.element_at("ids", 1))
+    # A task for each shard: by their bytes alone, Spark would build several graphs in one task.
+    placed = (
+        classes.withColumn("part", number)
+        .withColumn("order", F.element_at("ids", 1))
+        .repartitionById(max(1, base), F.col("part"))
+    )
     return stash(placed.groupBy("part").applyInArrow(build, INDEX_SQL))
 
 
@@ -102,7 +108,8 @@ def search_index(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the ``(id, vector)`` rows of ``queries``.
 
-    A query's own id is left out. Ties go to the smaller ``vec_id``. Queries meet only vectors of
+    The beam is ``beam`` wide, or as wide as vectors are long: in more dimensions the nearest are
+    less far ahead of the others. A query's own id is left out. Ties go to the smaller ``vec_id``. Queries meet only vectors of
     their length.
     """
     parts = index.groupBy("part").agg(F.size(F.first("vector")).alias("length"))
@@ -124,7 +131,7 @@ def search_index(
             wanted, own = matrix(asked["vector"], np.float32), asked["id"].to_numpy()
             for a in range(0, len(own), BATCH):
                 some = wanted[a : a + BATCH]
-                found = graph.search(directions(some), max(beam, nearest + 1))[0]
+                found = graph.search(directions(some), max(beam, some.shape[1], nearest + 1))[0]
                 for query, vector, nodes in zip(own[a : a + BATCH], some.astype(np.float64), found):
                     nodes = nodes[nodes != NONE]
                     scores = vectors[nodes].astype(np.float64) @ vector
@@ -145,6 +152,9 @@ def search_index(
             }
         )
 
+    tasks = min(MOST_TASKS, max(1, parts.count() * blocks))
+    sent = sent.repartition(tasks, "part", "block")
+    copies = copies.repartition(tasks, "of_part", "of_block")
     found = sent.groupBy("part", "block").cogroup(copies.groupBy("of_part", "of_block")).applyInArrow(
         lambda asked, shard: search(shard, asked), FOUND_SQL
     )

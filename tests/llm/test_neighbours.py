@@ -100,3 +100,18 @@ def test_one_graph_over_many_lengths():
     exact = np.argsort(-(queries[:, :-1] @ vectors.astype(np.float64).T), axis=1)[:, :10]
     got = PrunedGraph(points).search(queries, 96)[0]
     assert np.mean([len(set(g[:10]) & set(e)) / 10 for g, e in zip(got, exact)]) > 0.95
+
+
+def test_recall_in_many_dimensions_over_several_shards(spark):
+    vectors = np.random.default_rng(6).normal(size=(3000, 256)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    rows = usable(df, "vec_id", "embedding")
+    index = build_index(rows, shard_rows=1000)
+    assert index.select("part").distinct().count() >= 3
+    asked = list(range(0, 3000, 60))
+    got = found(search_index(index, rows.where(F.col("id") % 60 == 0)))
+    scores = vectors[asked].astype(np.float64) @ vectors.T.astype(np.float64)
+    scores[np.arange(len(asked)), asked] = -np.inf
+    exact = np.argsort(-scores, axis=1)[:, :20]
+    assert np.mean([len({i for i, _ in got[q]} & set(e)) / 20 for q, e in zip(asked, exact)]) >= 0.95
