@@ -168,7 +168,7 @@ def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_folder(spark, "job")
     V.txn(spark, sf_dir).write.csv(f"{work}/csv/{readers.TRANSACTIONS_FILE}", header=True)
     V.idn(spark, sf_dir).write.csv(f"{work}/csv/{readers.IDENTITY_FILE}", header=True)
-    job = Pipeline(spark, f"{work}/out", f"{work}/csv", buckets=8)
+    job = Pipeline(spark, f"{work}/out", f"{work}/csv")
     job.run(only=["ingest", "etl", "features"])
     loaded = job.store.replace("model_predictions", V.scored(spark, sf_dir))
     write_report(evaluate.metrics_long(job.evaluate(job.store.read("model_predictions"))), f"{job.exports}/model_performance_metrics.csv")

@@ -41,8 +41,10 @@ def label_dictionaries(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     ranked = materialize(running_totals(counted, "position", {"_place": F.lit(1).cast("long")}, ties="value"))
     first = ranked.groupBy("position").agg(F.min("_place").alias("_first"))
-    return ranked.join(F.broadcast(first), "position").select(
-        "position", "value", (F.col("_place") - F.col("_first")).alias("code"), "rows"
+    return materialize(
+        ranked.join(F.broadcast(first), "position").select(
+            "position", "value", (F.col("_place") - F.col("_first")).alias("code"), "rows"
+        )
     )
 
 

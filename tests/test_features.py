@@ -312,3 +312,23 @@ def test_medians_take_four_passes_and_leave_out_nan(spark, monkeypatch):
     assert len(scans) == 4 and got["c7"] is None and got["c8"] == 0.0 and got["c9"] == 4.0
     want = np.nanmedian(np.delete(x, 7, axis=1), axis=0)
     assert [got[c] for c in df.columns if c != "c7"] == want.tolist()
+
+
+@pytest.mark.parametrize("light_rows", [1, 12, 1 << 16])
+def test_velocity_of_keys_with_few_and_with_many_rows_in_a_block(spark, monkeypatch, light_rows):
+    monkeypatch.setattr(velocity, "LIGHT_ROWS", light_rows)
+    rng = random.Random(7)
+    times = [rng.randrange(-300, 600) for _ in range(300)]
+    rows = [(rng.getrandbits(62), rng.choice([1, 1, 1, 1, 2, 3, None]), t) for t in times + times[:60]]
+    got = velocity_of(spark, rows, {"short": 9, "long": 30})
+    assert {i: v[0] for i, v in got.items()} == brute_velocity(rows, 9)
+    assert {i: v[1] for i, v in got.items()} == brute_velocity(rows, 30)
+
+
+def test_velocity_of_light_keys_takes_one_shuffle_and_no_moving_sums(spark):
+    df = spark.range(1000).selectExpr("id AS TransactionID", "id % 30 AS card1", "id * 60 AS TransactionDT")
+    plan = velocity.trailing_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    # A frame that moves at both ends is summed anew for each row.
+    frames = [x.split(",")[1].strip() for x in plan.split("specifiedwindowframe(RangeFrame")[1:]]
+    assert frames and set(frames) == {"unboundedpreceding$()"}

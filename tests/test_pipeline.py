@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from catalogue import queries as catalogue
 from catalogue import views as V
 from fraudlake.plans.pipeline import STEPS, Pipeline, run_pipeline, select_steps
 from fraudlake.sources import readers
@@ -206,3 +207,16 @@ def test_snapshot_is_written_once(spark, finished):
     before = spark.read.parquet(path).inputFiles()
     pipeline.run(only=["etl"])
     assert sorted(spark.read.parquet(path).inputFiles()) == sorted(before)
+
+
+def test_the_checked_job_sizes_its_tables_from_its_input(spark, sf_dir, monkeypatch):
+    made = []
+    monkeypatch.setattr(catalogue, "Pipeline", lambda *a, **k: made.append(Pipeline(*a, **k)) or made[0])
+    spark.conf.set("spark.sql.shuffle.partitions", "10")
+    try:
+        catalogue.job_outputs(spark, sf_dir)
+        store = made[0].store
+        # As many buckets as joined rows have partitions: the wide rows stay where they are.
+        assert {store.layout(n)[1] for n in catalogue.JOB_TABLES} == {10}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
