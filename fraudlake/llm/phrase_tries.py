@@ -121,12 +121,22 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
-def distinct_rows(rows: np.ndarray) -> np.ndarray:
-    """The different rows of a matrix."""
+def distinct_rows(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of a matrix and the sums of their counts."""
     if len(rows) < 2:
-        return rows
-    rows = rows[np.lexsort(rows.T)]
-    return rows[np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))]
+        return rows, counts
+    order = np.lexsort(rows.T)
+    rows = rows[order]
+    first = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1))))
+    return rows[first], np.add.reduceat(counts[order], first)
+
+
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    """A hash of every row of a matrix."""
+    out = np.full(len(rows), rows.shape[1], np.uint64)
+    for column in rows.T:
+        out = out * np.uint64(STEP) + column
+    return mixed(out)
 
 
 class PhraseTrie:
@@ -175,25 +185,45 @@ class PhraseTrie:
         """Adds the occurrences of every phrase to ``counts``: all positions go down a level at once."""
         if not len(self.words):
             return
-        code = np.minimum(np.searchsorted(self.words, words.hashes), len(self.words) - 1)
-        known = self.words[code] == words.hashes
+        code, known = self.codes(words.hashes)
         root = np.array([self.roots.get(lang, -1) for lang in langs], np.int64)[words.owner]
         at = np.flatnonzero(known & (root >= 0))
         state = root[at]
-        symbols = words_symbols(len(self.words), self.digits)
         for depth in range(LONGEST):
             if depth:
                 inside = at + depth < len(code)
                 at, state = at[inside], state[inside]
                 good = known[at + depth] & (words.piece[at] == words.piece[at + depth])
                 at, state = at[good], state[good]
-            for digit in range(self.digits):
-                to = self.base[state] + symbols[code[at + depth], digit]
-                good = self.check[to] == state
-                at, state = at[good], to[good]
+            at, state = self.down(at, state, code[at + depth])
             found = self.accepts[state]
             counts += np.bincount(found[found >= 0], minlength=len(counts))
 
+    def add(self, lang: str, rows: np.ndarray, times: np.ndarray, counts: np.ndarray) -> None:
+        """Adds ``times`` of every row, a phrase as hashes, to the count of its phrase: all rows go down a level at once."""
+        if not len(self.words):
+            return
+        code, known = self.codes(rows)
+        at = np.flatnonzero(known.all(axis=1) & (lang in self.roots))
+        state = np.full(len(at), self.roots.get(lang, -1), np.int64)
+        for depth in range(rows.shape[1]):
+            at, state = self.down(at, state, code[at, depth])
+        found = self.accepts[state]
+        np.add.at(counts, found[found >= 0], times[at[found >= 0]])
+
+    def codes(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of words, and whether they are there."""
+        code = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return code, self.words[code] == hashes
+
+    def down(self, at: np.ndarray, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``at`` whose state goes on by their word, and the states that it leads to."""
+        for shift in range(8 * (self.digits - 1), -1, -8):
+            to = self.base[state] + (code >> shift & 255)
+            good = self.check[to] == state
+            at, state, code = at[good], to[good], code[good]
+        return at, state
+
 
 def words_symbols(n: int, digits: int) -> np.ndarray:
     """The symbols of the words 0 to ``n - 1``, a row each."""

@@ -3,9 +3,10 @@
 A phrase can only be frequent if its parts are (Apriori). Words are counted first; then, level by level,
 phrases whose parts passed the level before are counted by a hash of theirs, and hashes that are frequent
 make a bit filter for the next level. What passes the filters of all its parts is a candidate; every
-frequent phrase is one, and few others are. Candidates are dealt to blocks of bounded size. The double-array
-trie of a block is broadcast, numpy advances the states of all text positions through it level by level
-and counts accepting cells, and Spark sums the counts of the tasks, which are exact.
+frequent phrase is one, and few others are. Every task tallies the candidates of its texts and deals them to
+blocks of bounded size by a hash of the phrase. A block's task builds the double-array trie of its phrases; numpy
+advances the states of all tallied phrases through it level by level and adds their counts at accepting
+cells. All occurrences of a phrase are in one block, so the sums are exact, and texts are read five times in all.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql.window import Window
 
 from fraudlake.llm.common import stash, table
 from fraudlake.llm.decontaminate import bit_filter, passes
-from fraudlake.llm.phrase_tries import LONGEST, PhraseTrie, PieceWords, Tally, distinct_rows, piece_batches, summed
+from fraudlake.llm.phrase_tries import LONGEST, PhraseTrie, PieceWords, Tally, distinct_rows, piece_batches, row_hashes, summed
 from fraudlake.llm.word_grams import Hasher
 
 LEAST = 30
@@ -136,28 +137,35 @@ def frequent_hashes(texts: DataFrame, seed: int, filters, k: int, least: int, pa
     return held.groupBy("part").applyInArrow(total, "gram long")
 
 
-def candidates(texts: DataFrame, seed: int, filters, parts: int) -> DataFrame:
-    """``(lang, words)``: distinct phrases of two words and more, as hashes, all of whose parts pass.
+def candidates(texts: DataFrame, seed: int, filters, blocks: int) -> DataFrame:
+    """``(block, lang, size, packet, counts)``: phrases of two words and more, as hashes, all of whose parts pass.
 
-    Tasks hand them on in packets, one for each language, length and part of the hashes.
+    Every task tallies the phrases of its texts and hands them on in packets, one for each block, language and
+    length. All occurrences of a phrase go to one block.
     """
 
     def start():
-        held: dict[tuple[str, int], list[np.ndarray]] = {}
+        held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def merge() -> int:
+            for key, some in held.items():
+                held[key] = [distinct_rows(*map(np.concatenate, zip(*some)))]
+            return sum(len(some[0][0]) for some in held.values())
 
         def flush() -> Iterator[pa.RecordBatch]:
-            langs, sizes, of, packets = [], [], [], []
-            for (lang, k), rows in held.items():
-                found = np.concatenate(rows)
-                part = ((found[:, 0] ^ found[:, -1] >> np.uint64(7)) % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                found, part = found[order], part[order]
-                cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))).tolist()
-                for a, b in zip(cuts, [*cuts[1:], len(part)]):
-                    langs.append(lang), sizes.append(k), of.append(int(part[a])), packets.append(found[a:b].tobytes())
+            of, langs, sizes, packets, tallies = [], [], [], [], []
+            for (lang, k), [(rows, counts)] in held.items():
+                block = (row_hashes(rows) % np.uint64(blocks)).astype(np.int64)
+                order = np.argsort(block, kind="stable")
+                rows, counts, block = rows[order], counts[order], block[order]
+                cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))).tolist() if len(block) else []
+                for a, b in zip(cuts, [*cuts[1:], len(block)]):
+                    of.append(int(block[a])), langs.append(lang), sizes.append(k)
+                    packets.append(rows[a:b].tobytes()), tallies.append(counts[a:b].tobytes())
             held.clear()
-            columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(of, pa.int64()), pa.array(packets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "part", "packet"])
+            columns = [pa.array(of, pa.int64()), pa.array(langs, pa.string()), pa.array(sizes, pa.int32())]
+            columns += [pa.array(packets, pa.binary()), pa.array(tallies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "size", "packet", "counts"])
 
         def each(langs, salts, words) -> Iterator[pa.RecordBatch]:
             passed = passing(words, salts, filters.value)
@@ -166,87 +174,45 @@ def candidates(texts: DataFrame, seed: int, filters, parts: int) -> DataFrame:
                 at = fits(passed, words.grams(k, salts), k)
                 for lang in np.unique(names[at]).tolist():
                     some = at[names[at] == lang]
-                    rows = distinct_rows(np.stack([words.hashes[some + j] for j in range(k)], axis=1))
-                    held.setdefault((lang, k), []).append(rows)
-            if sum(len(r) for rows in held.values() for r in rows) > HELD:
-                for key, rows in held.items():
-                    held[key] = [distinct_rows(np.concatenate(rows))]
-                if sum(len(rows[0]) for rows in held.values()) > HELD // 2:
-                    yield from flush()
+                    rows = np.stack([words.hashes[some + j] for j in range(k)], axis=1)
+                    held.setdefault((lang, k), []).append(distinct_rows(rows, np.ones(len(rows), np.int64)))
+            if sum(len(rows) for some in held.values() for rows, _ in some) > HELD and merge() > HELD // 2:
+                yield from flush()
 
         def end() -> Iterator[pa.RecordBatch]:
-            for key, rows in held.items():
-                held[key] = [distinct_rows(np.concatenate(rows))]
+            merge()
             yield from flush()
 
         return each, end
 
-    def distinct(packets: pa.Table) -> pa.Table:
-        size = packets["size"][0].as_py()
-        rows = [np.frombuffer(p.as_py(), np.uint64).reshape(-1, size) for p in packets["packet"]]
-        found = distinct_rows(np.concatenate(rows))
-        offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * size)
-        lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel().view(np.int64)))
-        return pa.table({"lang": pa.array([packets["lang"][0].as_py()] * len(found), pa.string()), "words": lists})
-
-    packets = scan(texts, seed, "lang string, size int, part long, packet binary", start)
-    return packets.groupBy("lang", "size", "part").applyInArrow(distinct, "lang string, words array<long>")
+    return scan(texts, seed, "block long, lang string, size int, packet binary, counts binary", start)
 
 
-def trie_counts(texts: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
-    """``(lang, words, a)``: the occurrences of every phrase, its words as hashes.
+def trie_counts(packets: DataFrame) -> DataFrame:
+    """``(lang, words, a)``: the occurrences of every phrase in ``packets``, its words as hashes.
 
-    The tries are built by tasks, one block each, and come to the driver one after another: a trie has
-    at most about BLOCK_PHRASES phrases, each of which adds a few cells, and is given up when its block
-    has been counted. The texts are read once for every block.
+    A task builds the trie of the different phrases of a block and takes all packets of the block through it. The
+    texts are not read again, so the work grows with the number of phrases and not with the number of tries.
     """
-    held = stash(phrases)
-    blocks = max(1, -(-held.count() // BLOCK_PHRASES))
-    held = held.withColumn("block", F.pmod(F.xxhash64("lang", "words"), F.lit(blocks)).cast("int"))
-
-    def build(block: pa.Table) -> pa.Table:
-        block = block.append_column("number", pa.array(np.arange(len(block), dtype=np.int64)))
-        trie = PhraseTrie.built(block["lang"].to_pylist(), block["words"].to_pylist())
-        first = {"langs": pa.array([list(trie.roots)] + [None] * (len(block) - 1), pa.list_(pa.string()))}
-        first |= {name: pa.array([raw] + [None] * (len(block) - 1), pa.binary()) for name, raw in zip(arrays, trie.to_bytes())}
-        kept = block.select(["lang", "words", "block", "number"])
-        return pa.table({**{c: kept[c] for c in kept.column_names}, **first})
-
-    arrays = [f"trie_{name}" for name in PhraseTrie.ARRAYS]
-    schema = "lang string, words array<long>, block int, number long, langs array<string>, " + ", ".join(f"{n} binary" for n in arrays)
-    built = stash(held.groupBy("block").applyInArrow(build, schema))
-    sums = None
-    for block in range(blocks):
-        trie = built.where((F.col("block") == block) & F.col("langs").isNotNull()).select("langs", *arrays).toArrow()
-        if not len(trie):
-            continue
-        shared = texts.sparkSession.sparkContext.broadcast((trie["langs"][0].as_py(), [trie[n][0].as_py() for n in arrays]))
-        del trie
-        counted = scan(texts, seed, "number long, a long", counter(shared)).groupBy("number").agg(F.sum("a").alias("a"))
-        counted = stash(counted.withColumn("block", F.lit(block)))
-        shared.destroy()
-        sums = counted if sums is None else sums.unionByName(counted)
-    if sums is None:
-        return built.select("lang", "words", F.col("number").alias("a"))
-    return built.join(sums, ["block", "number"]).select("lang", "words", "a")
-
-
-def counter(shared) -> Callable:
-    def start():
-        trie = PhraseTrie.of_bytes(*shared.value)
-        counts = np.zeros(int(trie.accepts.max()) + 1, np.int64)
-
-        def end() -> Iterator[pa.RecordBatch]:
-            found = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], names=["number", "a"])
-
-        def each(langs, salts, words):
-            trie.count(words, langs, counts)
-            return ()
-
-        return each, end
 
-    return start
+    def count(block: pa.Table) -> pa.Table:
+        held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        for lang, size, packet, counts in zip(*(block[name] for name in ("lang", "size", "packet", "counts"))):
+            rows = np.frombuffer(packet.as_py(), np.uint64).reshape(-1, size.as_py())
+            held.setdefault((lang.as_py(), size.as_py()), []).append((rows, np.frombuffer(counts.as_py(), np.int64)))
+        langs, phrases, taken = [], [], []
+        for (lang, size), some in held.items():
+            taken.append((lang, *map(np.concatenate, zip(*some))))
+            different, _ = distinct_rows(*taken[-1][1:])
+            langs += [lang] * len(different)
+            phrases += different.view(np.int64).tolist()
+        trie = PhraseTrie.built(langs, phrases)
+        sums = np.zeros(len(phrases), np.int64)
+        for lang, rows, counts in taken:
+            trie.add(lang, rows, counts, sums)
+        return pa.table({"lang": pa.array(langs, pa.string()), "words": pa.array(phrases, pa.list_(pa.int64())), "a": pa.array(sums)})
+
+    return packets.groupBy("block").applyInArrow(count, "lang string, words array<long>, a long")
 
 
 def frequent_phrases(texts: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -256,12 +222,15 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST) -> tuple[DataFrame, D
     total = words.agg(F.sum("n")).first()[0] or 0
     parts = 1 << max(0, (total // PART_KEYS).bit_length())
     filters = [bit_filter(words.where(F.col("n") >= least).select("gram"))]
+    frequent = 0
     for k in range(2, LONGEST + 1):
         shared = spark.sparkContext.broadcast(list(filters))
-        grams = frequent_hashes(texts, seed, shared, k, least, parts)
-        filters.append(bit_filter(stash(grams)))
+        grams = stash(frequent_hashes(texts, seed, shared, k, least, parts))
+        filters.append(bit_filter(grams))
+        frequent += grams.count()
     shared = spark.sparkContext.broadcast(filters)
-    counted = trie_counts(texts, candidates(texts, seed, shared, parts), seed).where(F.col("a") >= least)
+    blocks = max(parts, -(-frequent // BLOCK_PHRASES))
+    counted = trie_counts(candidates(texts, seed, shared, blocks)).where(F.col("a") >= least)
     listed = stash(counted.withColumn("id", F.monotonically_increasing_id()))
     said = listed.select("id", "lang", "a", F.posexplode("words").alias("at", "code")).join(words.select("lang", "code", "word"), ["lang", "code"])
     named = said.groupBy("id", "lang", "a").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("said"))

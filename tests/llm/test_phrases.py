@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fraudlake.llm import phrases
-from fraudlake.llm.phrase_tries import PhraseTrie, PieceWords, Tally, summed
+from fraudlake.llm.phrase_tries import PhraseTrie, PieceWords, Tally, distinct_rows, summed
 from fraudlake.llm.phrases import OP12_SQL, collocations, op12_phrases, word_counts
 from fraudlake.llm.word_grams import LOWER, Hasher
 
@@ -89,6 +89,33 @@ def test_counts_of_a_trie_are_those_of_every_position():
     assert counts.tolist() == [counted[p] for p in asked]
 
 
+def test_texts_are_read_as_often_for_many_blocks_as_for_one(spark, monkeypatch):
+    rows, real, scans = random_rows(150, 3), phrases.scan, []
+    monkeypatch.setattr(phrases, "scan", lambda *a: scans.append(a) or real(*a))
+    found = []
+    for size in (1 << 18, 20):
+        monkeypatch.setattr(phrases, "BLOCK_PHRASES", size)
+        found.append((got(collocations(frame(spark, rows), 3)), len(scans)))
+        scans.clear()
+    assert found[0] == found[1] and found[0][1] == 5 and len(found[0][0]) > 60
+
+
+def test_a_trie_adds_tallied_phrases():
+    asked = [("en", [3, 5]), ("en", [3, 5, 3]), ("fr", [3, 5]), ("fr", [9, 1 << 40 | 1])]
+    trie = PhraseTrie.built([lang for lang, _ in asked], [p for _, p in asked])
+    counts = np.zeros(4, np.int64)
+    for lang, rows, times in [
+        ("en", [[3, 5], [5, 3], [3, 5]], [2, 40, 1 << 60]),
+        ("en", [[3, 5, 3], [3, 5, 5]], [7, 40]),
+        ("fr", [[9, 1 << 40 | 1], [9, 7]], [4, 40]),
+        ("de", [[3, 5]], [40]),
+    ]:
+        trie.add(lang, np.array(rows, np.uint64), np.array(times), counts)
+    assert counts.tolist() == [(1 << 60) + 2, 7, 0, 4]
+    rows, times = distinct_rows(np.array([[1, 2], [1, 3], [1, 2]], np.uint64), np.array([1, 5, 1 << 60]))
+    assert rows.tolist() == [[1, 2], [1, 3]] and times.tolist() == [(1 << 60) + 1, 5]
+
+
 def test_tallies_are_cut_where_the_sum_is_decided():
     tally = Tally(3)
     for keys in ([5, 5, 5, 5, 2], [2, 9], [5]):
