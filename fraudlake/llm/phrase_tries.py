@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 
-from fraudlake.llm.word_grams import LOWER, MIX, PART, STEP, Hasher, mixed, text_parts
+from fraudlake.llm.word_grams import LOWER, MIX, STEP, Hasher, mixed, text_parts
 
 LONGEST = 4
 _codes = np.arange(256)
@@ -16,6 +16,7 @@ _codes = np.arange(256)
 ENDS_PIECE = np.isin(_codes, [ord(c) for c in ".,;:!?\n\v\f\r"])
 IN_WORD = ~(ENDS_PIECE | np.isin(_codes, [ord(" "), ord("\t")]))
 NONE, TOP_BIT = np.uint64(0), np.uint64(1 << 63)
+HASHED = 1 << 18  # bytes whose words are hashed at once, as each takes several numbers
 COMPARED = 1 << 15  # words whose bytes are compared at once
 GAPS = 64  # looked at for a node of several children
 
@@ -38,11 +39,11 @@ class PieceWords:
         self.ends = np.flatnonzero(inside & ~after) + 1
         first = np.searchsorted(self.starts, offsets)
         self.owner = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        self.piece = np.cumsum(ENDS_PIECE[low])[self.starts] + self.owner
+        self.piece = np.cumsum(ENDS_PIECE[low], dtype=np.int32)[self.starts] + self.owner
         hashes, at = [np.zeros(0, np.uint64)], 0
         while at < len(self.starts):
             base = self.starts[at]
-            to = max(at + 1, int(np.searchsorted(self.ends, base + PART, side="right")))
+            to = max(at + 1, int(np.searchsorted(self.ends, base + HASHED, side="right")))
             hashes.append(hasher.hash(low[base : self.ends[to - 1]], self.starts[at:to] - base, self.ends[at:to] - base))
             at = to
         self.hashes = mixed(np.concatenate(hashes) + np.uint64(seed * MIX % (1 << 64))) | np.uint64(1)

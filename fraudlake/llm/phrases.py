@@ -30,6 +30,7 @@ COVERED = 80  # per cent of a phrase's occurrences
 SCALE = 2_000_000
 BLOCK_PHRASES = 1 << 18
 HELD = 1 << 20  # hashes held by a task before it hands them on
+SENT = 1 << 15  # phrases handed on at once
 PART_KEYS = 1 << 20  # occurrences whose hashes go to one part
 
 
@@ -153,19 +154,19 @@ def candidates(texts: DataFrame, seed: int, filters, blocks: int) -> DataFrame:
             return sum(len(some[0][0]) for some in held.values())
 
         def flush() -> Iterator[pa.RecordBatch]:
-            of, langs, sizes, packets, tallies = [], [], [], [], []
-            for (lang, k), [(rows, counts)] in held.items():
+            for lang, k in list(held):
+                [(rows, counts)] = held.pop((lang, k))
                 block = (row_hashes(rows) % np.uint64(blocks)).astype(np.int64)
                 order = np.argsort(block, kind="stable")
                 rows, counts, block = rows[order], counts[order], block[order]
-                cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))).tolist() if len(block) else []
-                for a, b in zip(cuts, [*cuts[1:], len(block)]):
-                    of.append(int(block[a])), langs.append(lang), sizes.append(k)
-                    packets.append(rows[a:b].tobytes()), tallies.append(counts[a:b].tobytes())
-            held.clear()
-            columns = [pa.array(of, pa.int64()), pa.array(langs, pa.string()), pa.array(sizes, pa.int32())]
-            columns += [pa.array(packets, pa.binary()), pa.array(tallies, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "size", "packet", "counts"])
+                cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))[: len(block)]
+                spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(block)]))
+                step = max(1, SENT * len(spans) // max(1, len(rows)))
+                for at in range(0, len(spans), step):  # in parts, as a batch is copied several times on its way
+                    some = spans[at : at + step]
+                    columns = [pa.array(block[cuts[at : at + step]]), pa.array([lang] * len(some)), pa.array([k] * len(some), pa.int32())]
+                    columns += [pa.array([x[a:b].tobytes() for a, b in some], pa.binary()) for x in (rows, counts)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "size", "packet", "counts"])
 
         def each(langs, salts, words) -> Iterator[pa.RecordBatch]:
             passed = passing(words, salts, filters.value)
@@ -226,12 +227,14 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST) -> tuple[DataFrame, D
     for k in range(2, LONGEST + 1):
         shared = spark.sparkContext.broadcast(list(filters))
         grams = stash(frequent_hashes(texts, seed, shared, k, least, parts))
+        shared.destroy()
         filters.append(bit_filter(grams))
         frequent += grams.count()
     shared = spark.sparkContext.broadcast(filters)
     blocks = max(parts, -(-frequent // BLOCK_PHRASES))
     counted = trie_counts(candidates(texts, seed, shared, blocks)).where(F.col("a") >= least)
     listed = stash(counted.withColumn("id", F.monotonically_increasing_id()))
+    shared.destroy()
     said = listed.select("id", "lang", "a", F.posexplode("words").alias("at", "code")).join(words.select("lang", "code", "word"), ["lang", "code"])
     named = said.groupBy("id", "lang", "a").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("said"))
     return stash(named.select("lang", F.array_join("said.word", " ").alias("phrase"), "a")), words
